@@ -2,19 +2,27 @@
 
 from __future__ import annotations
 
+import json
 from collections.abc import Sequence
-from dataclasses import dataclass
+from dataclasses import dataclass, fields
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 
+from tablecheck.local import local_frame
 from tablecheck.schemas import REPORT_SCHEMA
 
 # Order of the checks inside a phase; the others of a phase go by ``seq`` alone.
 _STAGES = ("data_type", "not_null", "max_length", "primary_key", "reference_format", "reference")
 
 
+_LABELS = (
+    "struct<phase: int, check_name: string, seq: int, column_name: string, error_type: string,"
+    " before: string, after: string>"
+)
+
+
 @dataclass(frozen=True)
 class Check:
     """One condition and the aggregate that counts its violations.
@@ -32,16 +40,9 @@ class Check:
     before: str
     after: str
 
-    def report_row(self, count: Column) -> Column:
-        return F.struct(
-            F.lit(self.phase).alias("phase"),
-            F.lit(self.check_name).alias("check_name"),
-            F.lit(self.seq).alias("seq"),
-            F.lit(self.column_name).alias("column_name"),
-            F.lit(self.error_type).alias("error_type"),
-            count.alias("n_violations"),
-            F.concat(F.lit(self.before), count.cast("string"), F.lit(self.after)).alias("error_message"),
-        )
+    def labels(self) -> dict:
+        """Everything but the count."""
+        return {f.name: getattr(self, f.name) for f in fields(self) if f.name != "count"}
 
 
 def count_violations(condition: Column) -> Column:
@@ -52,22 +53,33 @@ def count_report(df: DataFrame, checks: Sequence[Check], keep_zero: bool = False
     """All counts in one aggregate over ``df``, one report row for each."""
     if not checks:
         return empty_report(df.sparkSession)
+    zero = F.lit(0).cast("bigint")
     counted = {i: c.count for i, c in enumerate(checks) if isinstance(c.count, Column)}
-    totals = df.agg(
-        F.lit(0).cast("bigint").alias("none"),
-        *[count.alias(f"n{i}") for i, count in counted.items()],
+    totals = df.agg(zero.alias("none"), *[n.alias(f"n{i}") for i, n in counted.items()])
+    counts = F.array(*[f"n{i}" if i in counted else "none" for i in range(len(checks))])
+    # Everything but the counts is known here and travels as one literal.
+    known = F.from_json(F.lit(json.dumps([c.labels() for c in checks])), f"array<{_LABELS}>")
+    rows = totals.select(F.posexplode(counts).alias("place", "n_violations")).select(
+        F.element_at(known, F.col("place") + 1).alias("of"), "n_violations"
+    )
+    report = rows.select(
+        "of.phase",
+        "of.check_name",
+        "of.seq",
+        "of.column_name",
+        "of.error_type",
+        "n_violations",
+        F.concat("of.before", "n_violations", "of.after").alias("error_message"),
     )
-    rows = [c.report_row(F.col(f"n{i}" if i in counted else "none")) for i, c in enumerate(checks)]
-    report = totals.select(F.inline(F.array(*rows)))
     return report if keep_zero else report.filter("n_violations > 0")
 
 
 def empty_report(spark: SparkSession) -> DataFrame:
-    return spark.createDataFrame([], REPORT_SCHEMA)
+    return local_frame(spark, [], REPORT_SCHEMA)
 
 
 def report_of_rows(spark: SparkSession, rows: Sequence[Row]) -> DataFrame:
-    return spark.createDataFrame([tuple(row) for row in rows], REPORT_SCHEMA)
+    return local_frame(spark, rows, REPORT_SCHEMA)
 
 
 def violation(phase, check_name, seq, column_name, error_type, n_violations, message) -> Row:

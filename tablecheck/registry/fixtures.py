@@ -8,7 +8,9 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
+from tablecheck.local import local_frame
 from tablecheck.rules import ColumnRule
 
 # Keys of the template reference table.
@@ -118,7 +120,8 @@ def _from_events(spark, sf_dir, template: str, columns: dict[str, str]) -> DataF
 
 
 def templates(spark: SparkSession) -> DataFrame:
-    return spark.createDataFrame([(code,) for code in TEMPLATE_CODES], "template_code string")
+    schema = T.StructType([T.StructField("template_code", T.StringType())])
+    return local_frame(spark, [(code,) for code in TEMPLATE_CODES], schema)
 
 
 def template_references(spark: SparkSession):

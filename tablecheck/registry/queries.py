@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tablecheck.local import local_frame
 from tablecheck.operators import (
     AtLeastOne,
     CellInRange,
@@ -437,7 +438,7 @@ def config_of_type(spark, sf_dir):
         F.col("c_nationkey").alias("nCols"),
     )
     row = config_for(config, "Customer#000000001")
-    return spark.createDataFrame([row], CONFIG_SCHEMA)
+    return local_frame(spark, [row], CONFIG_SCHEMA)
 
 
 @query

@@ -5,11 +5,12 @@ from __future__ import annotations
 import tempfile
 import uuid
 from collections.abc import Callable
-from datetime import datetime
+from datetime import UTC, datetime
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tablecheck.local import local_frame
 from tablecheck.plans import RequestRunner
 from tablecheck.registry.fixtures import RULES, clean, mixed, template_references
 from tablecheck.schemas import CONFIG_SCHEMA, LOG_SCHEMA, RULE_SCHEMA, STATUS_SCHEMA, TRIGGER_SCHEMA
@@ -75,12 +76,14 @@ def scenario_tables(spark: SparkSession, sf_dir: str) -> Callable[[str], DataFra
 
 def control_tables(spark: SparkSession) -> tuple[DataFrame, DataFrame, DataFrame]:
     """Triggers, configuration and rules."""
-    at = datetime(2024, 1, 1)
-    triggers = spark.createDataFrame(
+    at = datetime(2024, 1, 1, tzinfo=UTC)
+    triggers = local_frame(
+        spark,
         [(i, kind, name, at, 0, None) for i, (name, kind) in enumerate(REQUESTS, 1)],
         TRIGGER_SCHEMA,
     )
-    config = spark.createDataFrame(
+    config = local_frame(
+        spark,
         [
             (NAMED, "named", True, "owner", len(RULES)),
             (POSITIONAL, "positional", False, "owner", len(RULES)),
@@ -88,7 +91,8 @@ def control_tables(spark: SparkSession) -> tuple[DataFrame, DataFrame, DataFrame
         ],
         CONFIG_SCHEMA,
     )
-    rules = spark.createDataFrame(
+    rules = local_frame(
+        spark,
         [
             (
                 kind, position, r.field_name, None, r.pk,

@@ -3,11 +3,12 @@
 from __future__ import annotations
 
 import time
-from datetime import datetime
+from datetime import UTC, datetime
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tablecheck.local import local_frame
 from tablecheck.schemas import STATUS_SCHEMA
 from tablecheck.sinks.targets import Sink
 
@@ -36,5 +37,5 @@ class StatusWriter:
     ) -> None:
         # Clock time also orders the rows of different runs.
         self._seq = max(self._seq + 1, time.time_ns())
-        row = (id_trigger, flag, row_count, self._seq, datetime.now(), duration_s)
-        self._sink(self._spark.createDataFrame([row], STATUS_SCHEMA))
+        row = (id_trigger, flag, row_count, self._seq, datetime.now(UTC), duration_s)
+        self._sink(local_frame(self._spark, [row], STATUS_SCHEMA))

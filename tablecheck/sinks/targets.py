@@ -7,6 +7,8 @@ from collections.abc import Callable, Mapping
 from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql.types import StructType
 
+from tablecheck.local import local_frame
+
 Sink = Callable[[DataFrame], None]
 
 
@@ -46,4 +48,4 @@ class MemorySink:
         self.rows += df.select(*self.schema.fieldNames()).collect()
 
     def df(self, spark: SparkSession) -> DataFrame:
-        return spark.createDataFrame([tuple(row) for row in self.rows], self.schema)
+        return local_frame(spark, self.rows, self.schema)
