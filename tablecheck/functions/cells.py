@@ -11,6 +11,7 @@ _ALPHABET = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 # One or two leading letters that no third letter follows.
 _LETTERS = "^([A-Za-z]{1,2})(?:[^A-Za-z]|$)"
 _DIGITS_AT_END = "([0-9]+)$"
+_BEYOND_ANY_SIZE = 2**63 - 1
 
 
 def cell_column(cell: Column) -> Column:
@@ -27,6 +28,10 @@ def cell_row(cell: Column) -> Column:
 
 def outside_cell_range(cell: Column, n_cols: int, n_rows: int) -> Column:
     """Not blank and outside; a row number that cannot be read counts as inside."""
-    column_inside = cell_column(cell).between(1, n_cols)
-    row_inside = F.coalesce(cell_row(cell).between(1, n_rows), F.lit(True))
-    return not_blank(cell) & ~(column_inside & row_inside)
+    row_inside = F.coalesce(_from_one_to(cell_row(cell), n_rows), F.lit(True))
+    return not_blank(cell) & ~(_from_one_to(cell_column(cell), n_cols) & row_inside)
+
+
+def _from_one_to(number: Column, limit: int) -> Column:
+    """1 <= number <= limit for numbers from 0, computing ``number`` once: 0 wraps around."""
+    return F.pmod(number - 1, F.lit(_BEYOND_ANY_SIZE)) < limit

@@ -18,20 +18,25 @@ def not_blank(value: Column) -> Column:
 
 
 def not_an_int(value: Column) -> Column:
-    return not_blank(value) & ~value.rlike(INT_PATTERN)
+    """The pattern first: most values match it, and need no look for blanks."""
+    return ~value.rlike(INT_PATTERN) & not_blank(value)
 
 
 def not_a_decimal(value: Column) -> Column:
-    return not_blank(value) & ~value.rlike(DECIMAL_PATTERN)
+    return ~value.rlike(DECIMAL_PATTERN) & not_blank(value)
 
 
 def not_a_date(value: Column, date_format: str) -> Column:
+    """Blanks first: a text that is no date is the dear case of parsing."""
     return not_blank(value) & F.try_to_date(value, date_format).isNull()
 
 
 def too_long(value: Column, limit: int) -> Column:
-    """More characters than ``limit``, trailing spaces included."""
-    return F.length(value) > limit
+    """More characters than ``limit``, trailing spaces included.
+
+    A text has no more characters than bytes, and its bytes need no counting.
+    """
+    return (F.octet_length(value) > limit) & (F.length(value) > limit)
 
 
 def lacks_prefix(value: Column, prefix: str) -> Column:
