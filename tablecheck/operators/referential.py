@@ -14,6 +14,7 @@ from tablecheck.operators.report import (
     Check,
     collect_report,
     count_report,
+    in_order,
     report_of_rows,
     union_reports,
     violation,
@@ -154,7 +155,7 @@ class ReferencePlan:
                 rows += collect_report(plan)
             except Exception as error:
                 rows += failed_group(group, error)
-        return rows
+        return in_order(rows)
 
 
 def plan_references(

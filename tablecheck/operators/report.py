@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import json
-from collections.abc import Sequence
+from collections.abc import Iterable, Sequence
 from dataclasses import dataclass, fields
 from functools import reduce
 
@@ -96,9 +96,14 @@ def union_reports(spark: SparkSession, reports: Sequence[DataFrame]) -> DataFram
 
 def collect_report(report: DataFrame) -> list[Row]:
     """Report rows in order. Their number is that of the rules, never that of the data."""
-    return sorted(report.select(*REPORT_SCHEMA.fieldNames()).collect(), key=_place)
+    return in_order(report.select(*REPORT_SCHEMA.fieldNames()).collect())
 
 
-def _place(row: Row) -> tuple:
-    stage = _STAGES.index(row.check_name) if row.check_name in _STAGES else 0
-    return row.phase, stage, row.seq
+def in_order(rows: Iterable[Row]) -> list[Row]:
+    """By phase, then kind of check, then place in the rules."""
+
+    def place(row: Row) -> tuple:
+        stage = _STAGES.index(row.check_name) if row.check_name in _STAGES else 0
+        return row.phase, stage, row.seq
+
+    return sorted(rows, key=place)

@@ -28,6 +28,7 @@ from tablecheck.operators.report import (
     Check,
     collect_report,
     count_report,
+    in_order,
     report_of_rows,
     union_reports,
     violation,
@@ -149,7 +150,7 @@ def _after_rows(job: _Job) -> _Steps:
     yield 3, True, job.references().run_each()
     by_row = _count(job, job.business_row_checks())
     by_group = [row for report in job.group_reports() for row in collect_report(report)]
-    yield 4, True, sorted(by_row + by_group, key=lambda row: row.seq)
+    yield 4, True, in_order(by_row + by_group)
 
 
 def _fused(job: _Job) -> _Steps:
@@ -179,11 +180,11 @@ def _fused(job: _Job) -> _Steps:
         return
     yield 2, True, [row for row in found if row.phase == 2]
     references.raise_if_failed()
-    yield 3, True, references.result.rows + [row for row in found if row.phase == 3]
+    yield 3, True, in_order(references.result.rows + [row for row in found if row.phase == 3])
     for stage in (stages["business"], groups):
         stage.raise_if_failed()
     in_rows = [row for row in counted if row.phase == 4]
-    yield 4, True, sorted(in_rows + [r for r in found if r.phase == 4], key=lambda row: row.seq)
+    yield 4, True, in_order(in_rows + [row for row in found if row.phase == 4])
 
 
 class _Attempt:
