@@ -1,5 +1,5 @@
 from tablecheck.functions.cells import cell_column, cell_row, outside_cell_range
-from tablecheck.functions.columns import quoted, text_column
+from tablecheck.functions.columns import blank_column, is_whole_number, quoted, text_column
 from tablecheck.functions.predicates import (
     blank,
     lacks_prefix,
@@ -12,8 +12,10 @@ from tablecheck.functions.predicates import (
 
 __all__ = [
     "blank",
+    "blank_column",
     "cell_column",
     "cell_row",
+    "is_whole_number",
     "lacks_prefix",
     "not_a_date",
     "not_a_decimal",

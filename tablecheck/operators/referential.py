@@ -2,18 +2,20 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
+from collections.abc import Callable, Iterable, Sequence
 from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame, Row
+from pyspark.sql import Column, DataFrame, Row
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from tablecheck.fixed_values import REF_INTEGRITY_ERROR
-from tablecheck.functions import text_column
+from tablecheck.functions import is_whole_number, quoted, text_column
 from tablecheck.operators.report import (
     Check,
     collect_report,
     count_report,
+    count_violations,
     in_order,
     report_of_rows,
     union_reports,
@@ -64,18 +66,35 @@ def reference_groups(rules: Sequence[ColumnRule]) -> list[ReferenceGroup]:
 
 def reference_values(reference: DataFrame, column: str) -> DataFrame:
     """The distinct values of a reference column as text, in a column ``value``."""
-    return _text_values(reference, column).distinct()
+    return _known_values(reference, column, text_column).distinct()
 
 
-def _text_values(reference: DataFrame, column: str) -> DataFrame:
-    value = text_column(reference.schema, column).alias("value")
+# (schema, column name) -> the column in the form in which values are compared.
+_Form = Callable[[StructType, str], Column]
+
+
+def _whole_number(schema: StructType, name: str) -> Column:
+    return quoted(name).cast("bigint")
+
+
+def _form(df: DataFrame, columns: Iterable[str], reference: DataFrame, column: str) -> _Form:
+    """Values are compared as text; whole numbers on both sides give the same result unconverted."""
+    numbers = all(is_whole_number(df.schema, name) for name in columns)
+    return _whole_number if numbers and is_whole_number(reference.schema, column) else text_column
+
+
+def _known_values(reference: DataFrame, column: str, form: _Form) -> DataFrame:
+    value = form(reference.schema, column).alias("value")
     return reference.select(value).filter(F.col("value").isNotNull())
 
 
 def is_broadcastable(reference: DataFrame, values: DataFrame) -> bool:
     """Count the rows (footers answer that for parquet), then measure what is short enough."""
-    if reference.count() > BROADCAST_ROWS:
+    n_rows = reference.count()
+    if n_rows > BROADCAST_ROWS:
         return False
+    if is_whole_number(values.schema, "value"):
+        return n_rows * 8 <= BROADCAST_BYTES
     size = values.agg(F.sum(F.octet_length("value")).alias("bytes")).first()
     return (size["bytes"] or 0) <= BROADCAST_BYTES
 
@@ -90,8 +109,9 @@ def missing_values_report(
     on the join key, so the join needs no other, and a value held by many rows weighs no more than
     any other.
     """
-    values = _column_values(df, group)
-    known = _text_values(reference, group.reference.column)
+    form = _form(df, group.columns.values(), reference, group.reference.column)
+    values = _column_values(df, group, form)
+    known = _known_values(reference, group.reference.column, form)
     if is_broadcastable(reference, known):
         missing = _by_value(values.join(F.broadcast(known), "value", "left_anti"), group)
     else:
@@ -100,7 +120,7 @@ def missing_values_report(
     checks = [
         Check(
             PHASE, "reference", seq, name, REF_INTEGRITY_ERROR,
-            F.count_if(F.col(f"in_{seq}")),
+            count_violations(F.col(f"in_{seq}")),
             f"{name}: ", f" values do not exist in {place}",
         )
         for seq, name in group.columns.items()
@@ -108,10 +128,10 @@ def missing_values_report(
     return count_report(missing, checks, keep_zero)
 
 
-def _column_values(df: DataFrame, group: ReferenceGroup) -> DataFrame:
+def _column_values(df: DataFrame, group: ReferenceGroup, form: _Form) -> DataFrame:
     """(seq, value) for every checked column, without NULLs."""
     values = df.select(
-        *[text_column(df.schema, name).alias(str(seq)) for seq, name in group.columns.items()]
+        *[form(df.schema, name).alias(str(seq)) for seq, name in group.columns.items()]
     )
     if len(group.columns) == 1:
         (seq,) = group.columns

@@ -10,7 +10,8 @@ from pyspark.sql import types as T
 
 from tablecheck.fixed_values import DATA_TYPE_ERROR, LENGTH_ERROR, NOT_NULL_ERROR, PK_ERROR
 from tablecheck.functions import (
-    blank,
+    blank_column,
+    is_whole_number,
     not_a_date,
     not_a_decimal,
     not_an_int,
@@ -18,7 +19,6 @@ from tablecheck.functions import (
     text_column,
     too_long,
 )
-from tablecheck.functions.columns import field_of
 from tablecheck.operators.report import (
     Check,
     count_report,
@@ -49,10 +49,9 @@ def type_checks(schema: T.StructType, rules: Iterable[ColumnRule]) -> list[Check
 
 def _type_violations(schema: T.StructType, name: str, kind: LogicalType) -> Column | int:
     value = text_column(schema, name)
-    stored_as_whole_number = isinstance(field_of(schema, name).dataType, T.IntegralType)
     if kind.name == "DATE":
         return count_violations(not_a_date(value, kind.date_format))
-    if stored_as_whole_number:
+    if is_whole_number(schema, name):
         return 0
     broken = not_an_int(value) if kind.name == "INT" else not_a_decimal(value)
     return count_violations(broken)
@@ -63,7 +62,7 @@ def null_checks(schema: T.StructType, rules: Iterable[ColumnRule]) -> list[Check
     return [
         Check(
             PHASE, "not_null", seq, rule.field_name, NOT_NULL_ERROR,
-            count_violations(blank(text_column(schema, rule.field_name))),
+            count_violations(blank_column(schema, rule.field_name)),
             f"{rule.field_name}: ", " values are null or blank",
         )
         for seq, rule in enumerate(rules)

@@ -151,3 +151,20 @@ def test_small_reference_shuffles_missing_values_only(text, load):
     plan = references_report(df, [rule("a")], load)._jdf.queryExecution().executedPlan().toString()
     assert "BroadcastHashJoin" in plan
     assert plan.index("Exchange hashpartitioning") < plan.index("BroadcastHashJoin")
+
+
+def test_whole_numbers_are_compared_unconverted(spark, either_join):
+    df = spark.sql("SELECT * FROM VALUES (1, 7L), (2, 8L), (2, NULL), (300, 9L) AS t(a, b)")
+    known = spark.sql("SELECT CAST(c AS SMALLINT) AS c FROM VALUES (2), (7), (NULL) AS t(c)")
+    rules = [rule("a", place="t.c"), rule("b", place="t.c")]
+    report = references_report(df, rules, lambda *_: known)
+    assert sorted(r.n_violations for r in report.collect()) == [2, 2]
+    assert "as string" not in report._jdf.queryExecution().sparkPlan().toString().split("Generate")[1]
+
+
+def test_mixed_types_are_compared_as_text(spark, either_join):
+    df = spark.sql("SELECT * FROM VALUES (1, '1'), (2, '02') AS t(a, b)")
+    known = spark.sql("SELECT * FROM VALUES (1), (2) AS t(c)")
+    rules = [rule("a", place="t.c"), rule("b", place="t.c")]
+    report = references_report(df, rules, lambda *_: known, keep_zero=True)
+    assert {r.column_name: r.n_violations for r in report.collect()} == {"a": 0, "b": 1}
