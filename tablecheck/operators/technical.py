@@ -19,6 +19,7 @@ from tablecheck.functions import (
     text_column,
     too_long,
 )
+from tablecheck.functions.columns import field_of
 from tablecheck.operators.report import (
     Check,
     count_report,
@@ -28,6 +29,14 @@ from tablecheck.operators.report import (
 from tablecheck.rules import ColumnRule, LogicalType, RuleError, primary_key
 
 PHASE = 2
+_HASHED_ALIKE = (
+    T.IntegralType,
+    T.DecimalType,
+    T.BooleanType,
+    T.DateType,
+    T.TimestampType,
+    T.TimestampNTZType,
+)
 
 
 def type_checks(schema: T.StructType, rules: Iterable[ColumnRule]) -> list[Check]:
@@ -117,11 +126,32 @@ def primary_key_report(df: DataFrame, columns: Sequence[str], keep_zero: bool =
     The key is grouped in its stored type, and copies of a key collapse before the shuffle, so a key
     that holds a large share of the rows costs each reducer one row per map task.
     """
+    return _surplus_report(df, columns, [quoted(name) for name in columns], keep_zero)
+
+
+def suspected_key_report(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """Like :func:`primary_key_report`, over fingerprints of 96 bits instead of the keys.
+
+    Equal keys have equal fingerprints: an empty report proves the key unique, with about half the
+    shuffle that wide keys need. Anything else has to be counted on the keys.
+    """
+    key = [quoted(name) for name in columns]
+    return _surplus_report(df, columns, [F.xxhash64(*key), F.hash(*key)], keep_zero=False)
+
+
+def fingerprints_pay(schema: T.StructType, columns: Sequence[str]) -> bool:
+    """Wide keys, of types whose equal values are sure to hash alike."""
+    kinds = [field_of(schema, name).dataType for name in columns]
+    text = [kind for kind in kinds if kind == T.StringType()]
+    return (bool(text) or len(kinds) > 2) and all(
+        kind in text or isinstance(kind, _HASHED_ALIKE) for kind in kinds
+    )
+
+
+def _surplus_report(df, columns, key: list[Column], keep_zero: bool) -> DataFrame:
     if not columns:
         return empty_report(df.sparkSession)
-    copies = df.groupBy(*[quoted(name) for name in columns]).agg(
-        (F.count(F.lit(1)) - 1).alias("surplus")
-    )
+    copies = df.groupBy(*key).agg((F.count(F.lit(1)) - 1).alias("surplus"))
     check = Check(
         PHASE, "primary_key", 0, ",".join(columns), PK_ERROR,
         F.coalesce(F.sum("surplus"), F.lit(0).cast("bigint")),

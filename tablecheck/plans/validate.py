@@ -34,7 +34,6 @@ from tablecheck.operators.report import (
     violation,
 )
 from tablecheck.operators.structure import check_structure
-from tablecheck.operators.technical import primary_key_report
 from tablecheck.rules import ColumnRule, primary_key
 
 Mode = Literal["fused", "gated"]
@@ -79,8 +78,21 @@ class _Job:
             self.df.schema, self.business, len(self.df.columns), self.n_rows
         )
 
-    def key_report(self) -> DataFrame:
-        return primary_key_report(self.df, primary_key(self.rules))
+    def key_reports(self) -> list[DataFrame]:
+        """The key check in its cheapest form, if there is a key."""
+        key = primary_key(self.rules)
+        if not key:
+            return []
+        quick = technical.fingerprints_pay(self.df.schema, key)
+        report = technical.suspected_key_report if quick else technical.primary_key_report
+        return [report(self.df, key)]
+
+    def confirmed_key(self, found: list[Row]) -> list[Row]:
+        """What is left of a suspicion once the keys themselves are counted."""
+        key = primary_key(self.rules)
+        if found and technical.fingerprints_pay(self.df.schema, key):
+            return collect_report(technical.primary_key_report(self.df, key))
+        return found
 
     def references(self) -> ReferencePlan:
         return referential.plan_references(self.df, self.rules, self.load_reference)
@@ -146,7 +158,8 @@ def _gated(job: _Job) -> _Steps:
 
 def _after_rows(job: _Job) -> _Steps:
     """From the key on, one action per kind of check."""
-    yield 2, True, collect_report(job.key_report()) if primary_key(job.rules) else []
+    suspected = [row for report in job.key_reports() for row in collect_report(report)]
+    yield 2, True, job.confirmed_key(suspected)
     yield 3, True, job.references().run_each()
     by_row = _count(job, job.business_row_checks())
     by_group = [row for report in job.group_reports() for row in collect_report(report)]
@@ -169,7 +182,7 @@ def _fused(job: _Job) -> _Steps:
         yield 2, False, [row for row in counted if row.check_name == name]
 
     references, groups = _Attempt(job.references), _Attempt(job.group_reports)
-    plans = [job.key_report()] if primary_key(job.rules) else []
+    plans = job.key_reports()
     plans += [plan for _, plan in references.result.plans] if references.result else []
     plans += groups.result or []
     try:
@@ -178,7 +191,7 @@ def _fused(job: _Job) -> _Steps:
         # Something broke while it was read: find out what, with the others unharmed.
         yield from _after_rows(job)
         return
-    yield 2, True, [row for row in found if row.phase == 2]
+    yield 2, True, job.confirmed_key([row for row in found if row.phase == 2])
     references.raise_if_failed()
     yield 3, True, in_order(references.result.rows + [row for row in found if row.phase == 3])
     for stage in (stages["business"], groups):

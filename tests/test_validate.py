@@ -2,7 +2,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tablecheck import ColumnRule, RuleError, StartsWith, validate_table
-from tablecheck.operators import referential
+from tablecheck.operators import referential, technical
 from tablecheck.plans import validate
 
 RULES = [
@@ -172,3 +172,13 @@ def test_fused_run_reads_a_clean_table_twice(spark, text, monkeypatch):
         load_reference=lambda *_: text("code", ["a"]),
     )
     assert len(reads) == 2
+
+
+def test_a_suspected_key_is_counted_before_it_fails(check, spark, monkeypatch):
+    """Different keys with one fingerprint are no violation."""
+    alike = lambda df, columns: technical.primary_key_report(
+        df.withColumn("k", F.lit("same")), ["k"]
+    )
+    monkeypatch.setattr(technical, "suspected_key_report", alike)
+    assert check([GOOD, ("b", "2", None, "_c2")])[0] == 2
+    assert check([GOOD, GOOD, ("b", "2", None, "_c2")])[:2] == (32, [("primary_key", "k", 1)])
