@@ -44,7 +44,15 @@ def _replace(column: str, condition: str, value: str) -> Callable[[DataFrame], D
     return lambda df: df.withColumn(column, changed)
 
 
-def scenario_tables(spark: SparkSession, sf_dir: str) -> Callable[[str], DataFrame]:
+def stored(df: DataFrame, path: str) -> DataFrame:
+    """The frame as a written table, which every later pass reads by column."""
+    df.write.parquet(path)
+    return df.sparkSession.read.parquet(path)
+
+
+def scenario_tables(
+    clean_table: DataFrame, mixed_table: DataFrame
+) -> Callable[[str], DataFrame]:
     """Loader of the tables named in ``REQUESTS``."""
     variants = {
         "clean": lambda df: df,
@@ -66,10 +74,10 @@ def scenario_tables(spark: SparkSession, sf_dir: str) -> Callable[[str], DataFra
 
     def load(name: str) -> DataFrame:
         if name == "mixed":
-            return mixed(spark, sf_dir)
+            return mixed_table
         if name not in variants:
             raise LookupError(f"no table {name}")
-        return variants[name](clean(spark, sf_dir))
+        return variants[name](clean_table)
 
     return load
 
@@ -126,11 +134,15 @@ def run_requests(spark: SparkSession, sf_dir: str, mode: str = "fused") -> tuple
     triggers, config, rules = control_tables(spark)
     folder = shared_folder(spark)
     log, status = f"{folder}/log", f"{folder}/status"
+    load_table = scenario_tables(
+        stored(clean(spark, sf_dir), f"{folder}/clean"),
+        stored(mixed(spark, sf_dir), f"{folder}/mixed"),
+    )
     RequestRunner(
         spark,
         config,
         rules,
-        load_table=scenario_tables(spark, sf_dir),
+        load_table=load_table,
         load_reference=template_references(spark),
         log_sink=file_sink(log),
         status_sink=file_sink(status),

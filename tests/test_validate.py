@@ -145,11 +145,11 @@ def test_references_without_a_loader(text):
 
 def test_fused_and_gated_agree_over_whole_tables(spark):
     from tablecheck.registry.fixtures import RULES as rules
-    from tablecheck.registry.fixtures import template_references
+    from tablecheck.registry.fixtures import clean, mixed, template_references
     from tablecheck.registry.scenarios import REQUESTS, scenario_tables
 
     sf_dir = "/root/testdata/sf0.001"
-    load = scenario_tables(spark, sf_dir)
+    load = scenario_tables(clean(spark, sf_dir), mixed(spark, sf_dir))
     for name in {name for name, _ in REQUESTS} - {"nowhere"}:
         outcomes = [
             validate_table(
