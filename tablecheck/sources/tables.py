@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import re
 from collections.abc import Callable, Mapping
-from datetime import date, timedelta
+from datetime import date, datetime, timedelta
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -44,9 +44,11 @@ def range_predicates(
 
     The ranges from ``lower`` to ``upper`` are half-open, of one size rounded up, at least 1; high
     ones may stay empty. The outer ranges are open, so bounds that have become stale lose no row;
-    NULL keys go with the first.
+    NULL keys go with the first. Times are cut between days.
     """
     _require_name(column)
+    if isinstance(lower, datetime):
+        lower, upper = lower.date(), upper.date()
     if partitions < 1:
         raise ValueError("partitions must be at least 1")
     span = _distance(lower, upper) + 1

@@ -80,6 +80,13 @@ def test_date_ranges():
     ]
 
 
+def test_time_ranges_are_cut_between_days(spark):
+    conditions = range_predicates("t", datetime(2024, 1, 1, 5, 30), datetime(2024, 1, 4, 23), 2)
+    assert conditions == ["t < DATE '2024-01-03' OR t IS NULL", "t >= DATE '2024-01-03'"]
+    rows = spark.sql("SELECT TIMESTAMP'2024-01-02 23:59:59' AS t UNION ALL SELECT NULL")
+    assert [rows.filter(c).count() for c in conditions] == [2, 0]
+
+
 @pytest.mark.parametrize("name", ["k; DROP TABLE t", "a b", "", "1k", 'k"'])
 def test_names_must_be_plain(name):
     with pytest.raises(ValueError, match="plain SQL name"):
