@@ -1,3 +1,4 @@
+import re
 from collections import Counter, defaultdict
 
 import pytest
@@ -171,3 +172,28 @@ def test_groups_against_plain_python(text, rows):
     rules = [ExactlyOne(("k",), "n", ("a", "b")), AtLeastOne(("k",), "n", "CCY")]
     found = business_report(text(("k", "n"), rows), rules, keep_zero=True).orderBy("seq").collect()
     assert [r.n_violations for r in found] == expected
+
+
+def outside(cell, n_cols, n_rows):
+    """The rule for one cell, in plain Python."""
+    if cell is None or not cell.strip(" "):
+        return False
+    letters = re.match("[A-Za-z]*", cell)[0].upper()
+    column = 0
+    if len(letters) in (1, 2):
+        for letter in letters:
+            column = 26 * column + ord(letter) - 64
+    digits = re.search("[0-9]+$", cell)
+    row = int(digits[0]) if digits and int(digits[0]) < 2**63 else None
+    return not 1 <= column <= n_cols or (row is not None and not 1 <= row <= n_rows)
+
+
+@settings(max_examples=40, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(
+    st.lists(st.one_of(st.none(), st.text("aBzÑı103 $-\n", max_size=6),
+                       st.from_regex(r"\A[A-Ca-c]{1,2}[0-9]{1,21}\Z")), max_size=30),
+    st.integers(1, 60),
+    st.integers(1, 40),
+)
+def test_cells_against_plain_python(text, values, n_cols, n_rows):
+    assert cells(text, values, n_cols, n_rows) == sum(outside(v, n_cols, n_rows) for v in values)
