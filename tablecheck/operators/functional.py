@@ -23,7 +23,13 @@ from tablecheck.fixed_values import (
 )
 from tablecheck.functions import lacks_prefix, outside_cell_range, quoted, text_column
 from tablecheck.functions.columns import field_of
-from tablecheck.operators.report import Check, count_report, count_violations, union_reports
+from tablecheck.operators.report import (
+    Check,
+    count_report,
+    count_violations,
+    scan_report,
+    union_reports,
+)
 
 PHASE = 4
 
@@ -184,5 +190,5 @@ def business_report(
     if n_rows is None:
         n_rows = df.count() if needs_size else 0
     by_row = row_checks(df.schema, rules, len(df.columns), n_rows)
-    reports = [count_report(df, by_row, keep_zero)] if by_row else []
+    reports = [scan_report(df, by_row, keep_zero)] if by_row else []
     return union_reports(spark, reports + group_reports(df, rules, keep_zero))

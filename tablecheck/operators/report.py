@@ -53,15 +53,14 @@ def count_violations(condition: Column) -> Column:
     return F.count(F.when(condition, True))
 
 
-def count_report(df: DataFrame, checks: Sequence[Check], keep_zero: bool = False) -> DataFrame:
-    """All counts over ``df``, one report row for each.
+def scan_report(df: DataFrame, checks: Sequence[Check], keep_zero: bool = False) -> DataFrame:
+    """All counts over the rows of a table, one report row for each.
 
     One aggregate holds them all, up to ``CHECKS_PER_SCAN``; more are split by column, so that the
     parts of a columnar table are still read once each.
     """
-    parts = [_one_aggregate(df, part) for part in _parts(checks)]
-    report = union_reports(df.sparkSession, parts)
-    return report if keep_zero else report.filter("n_violations > 0")
+    reports = [count_report(df, part, keep_zero) for part in _parts(checks)]
+    return union_reports(df.sparkSession, reports)
 
 
 def _parts(checks: Sequence[Check]) -> list[list[Check]]:
@@ -77,7 +76,8 @@ def _parts(checks: Sequence[Check]) -> list[list[Check]]:
     return parts
 
 
-def _one_aggregate(df: DataFrame, checks: Sequence[Check]) -> DataFrame:
+def count_report(df: DataFrame, checks: Sequence[Check], keep_zero: bool = False) -> DataFrame:
+    """All counts in one aggregate over ``df``, one report row for each."""
     zero = F.lit(0).cast("bigint")
     counted = {i: c.count for i, c in enumerate(checks) if isinstance(c.count, Column)}
     totals = df.agg(zero.alias("none"), *[n.alias(f"n{i}") for i, n in counted.items()])
@@ -87,7 +87,7 @@ def _one_aggregate(df: DataFrame, checks: Sequence[Check]) -> DataFrame:
     rows = totals.select(F.posexplode(counts).alias("place", "n_violations")).select(
         F.element_at(known, F.col("place") + 1).alias("of"), "n_violations"
     )
-    return rows.select(
+    report = rows.select(
         "of.phase",
         "of.check_name",
         "of.seq",
@@ -96,6 +96,7 @@ def _one_aggregate(df: DataFrame, checks: Sequence[Check]) -> DataFrame:
         "n_violations",
         F.concat("of.before", "n_violations", "of.after").alias("error_message"),
     )
+    return report if keep_zero else report.filter("n_violations > 0")
 
 
 def empty_report(spark: SparkSession) -> DataFrame:

@@ -25,6 +25,7 @@ from tablecheck.operators.report import (
     count_report,
     count_violations,
     empty_report,
+    scan_report,
 )
 from tablecheck.rules import ColumnRule, LogicalType, RuleError, primary_key
 
@@ -109,15 +110,15 @@ def check_date_formats(spark: SparkSession, rules: Iterable[ColumnRule]) -> None
 
 def data_types_report(df: DataFrame, rules: Sequence[ColumnRule], keep_zero: bool = False) -> DataFrame:
     check_date_formats(df.sparkSession, rules)
-    return count_report(df, type_checks(df.schema, rules), keep_zero)
+    return scan_report(df, type_checks(df.schema, rules), keep_zero)
 
 
 def not_null_report(df: DataFrame, rules: Sequence[ColumnRule], keep_zero: bool = False) -> DataFrame:
-    return count_report(df, null_checks(df.schema, rules), keep_zero)
+    return scan_report(df, null_checks(df.schema, rules), keep_zero)
 
 
 def max_length_report(df: DataFrame, rules: Sequence[ColumnRule], keep_zero: bool = False) -> DataFrame:
-    return count_report(df, length_checks(df.schema, rules), keep_zero)
+    return scan_report(df, length_checks(df.schema, rules), keep_zero)
 
 
 def primary_key_report(df: DataFrame, columns: Sequence[str], keep_zero: bool = False) -> DataFrame:
@@ -172,6 +173,6 @@ def row_level_checks(schema: T.StructType, rules: Sequence[ColumnRule]) -> list[
 def technical_report(df: DataFrame, rules: Sequence[ColumnRule], keep_zero: bool = False) -> DataFrame:
     """All technical checks, ungated: one scan for the rows, one shuffle for the key."""
     check_date_formats(df.sparkSession, rules)
-    rows = count_report(df, row_level_checks(df.schema, rules), keep_zero)
+    rows = scan_report(df, row_level_checks(df.schema, rules), keep_zero)
     key = primary_key(rules)
     return rows.unionByName(primary_key_report(df, key, keep_zero)) if key else rows

@@ -27,9 +27,9 @@ from tablecheck.operators.referential import LoadReference, ReferencePlan
 from tablecheck.operators.report import (
     Check,
     collect_report,
-    count_report,
     in_order,
     report_of_rows,
+    scan_report,
     union_reports,
     violation,
 )
@@ -216,4 +216,4 @@ class _Attempt:
 
 
 def _count(job: _Job, checks: Sequence[Check]) -> list[Row]:
-    return collect_report(count_report(job.df, checks)) if checks else []
+    return collect_report(scan_report(job.df, checks)) if checks else []

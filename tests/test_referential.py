@@ -168,3 +168,11 @@ def test_mixed_types_are_compared_as_text(spark, either_join):
     rules = [rule("a", place="t.c"), rule("b", place="t.c")]
     report = references_report(df, rules, lambda *_: known, keep_zero=True)
     assert {r.column_name: r.n_violations for r in report.collect()} == {"a": 0, "b": 1}
+
+
+def test_many_columns_share_one_join(text, load):
+    names = [f"c{i}" for i in range(60)]
+    df = text(names, [("T1",) * 30 + ("T9",) * 30])
+    report = references_report(df, [rule(n) for n in names], load, keep_zero=True)
+    assert report._jdf.queryExecution().sparkPlan().toString().count("Join") == 1
+    assert [r.n_violations for r in report.orderBy("seq").collect()] == [0] * 30 + [1] * 30
