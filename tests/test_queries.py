@@ -7,6 +7,7 @@ import duckdb
 import pytest
 
 from __spark_entry__ import entry, oracle_sql, queries
+from tablecheck.registry.queries import QUERIES
 
 SMALL, MIDDLE = "/root/testdata/sf0.001", "/root/testdata/sf0.01"
 
@@ -21,10 +22,11 @@ def duck():
 
 
 def test_every_query_has_its_sql():
-    assert queries().keys() == oracle_sql().keys()
+    assert QUERIES.keys() <= queries().keys()
+    assert QUERIES.keys() <= oracle_sql().keys()
 
 
-@pytest.mark.parametrize("name", list(queries()))
+@pytest.mark.parametrize("name", list(QUERIES))
 def test_query_equals_its_sql(spark, duck, name):
     result = queries()[name](spark, SMALL)
     expected = duck.execute(oracle_sql()[name])
