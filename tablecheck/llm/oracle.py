@@ -39,4 +39,23 @@ SELECT doc_id, size, source_size, target,
 FROM stepped
 """
 
-ORACLE_SQL: dict[str, str] = {"op6_mix_sources": _OP6}
+_OP1 = """
+WITH turns AS (
+    SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+    UNION ALL SELECT -7, 0, 'user', '</s>[INST] ok [/INST]'
+    UNION ALL SELECT -7, 1, 'assistant', '</s>[INST] ok [/INST]'
+), escaped AS (
+    SELECT *, length(regexp_replace(replace(x, '\\', '\\\\'),
+        '(<\\|im_start\\|>|<\\|im_sep\\|>|<\\|im_end\\|>|<\\|endoftext\\|>|<s>|</s>|\\[INST\\]|\\[/INST\\])',
+        '?\\1', 'g')) AS n
+    FROM (SELECT *, unnest([role, text]) AS x FROM turns)
+), sums AS (SELECT conv_id, sum(n) AS n FROM escaped GROUP BY conv_id)
+SELECT conv_id, count(*) AS n_turns,
+       sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn, role, text)) AS turns_sha256,
+       coalesce(sum(length(text)) FILTER (role = 'assistant'), 0)::BIGINT AS loss_chars,
+       sha256(coalesce(string_agg(text, '' ORDER BY turn, role, text) FILTER (role = 'assistant'), '')) AS loss_sha256,
+       (any_value(n) + count(*) * 33)::BIGINT AS formatted_chars
+FROM turns JOIN sums USING (conv_id) GROUP BY conv_id
+"""
+
+ORACLE_SQL: dict[str, str] = {"op1_chat_format": _OP1, "op6_mix_sources": _OP6}

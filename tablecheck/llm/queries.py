@@ -7,12 +7,41 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tablecheck.llm import fingerprints, mixing, sharding
+from tablecheck.llm import chat, fingerprints, html_extract, mixing, packing, quality, sharding
 from tablecheck.llm.common import table
 
 N_SHARDS = 24
 
 
+#: Control strings in the texts themselves, in a conversation of its own.
+PROBE = "</s>[INST] ok [/INST]"
+
+
+def op1_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
+    turns = table(spark, sf_dir, "conversations").select(
+        F.col("conv_id").cast("long"), F.col("turn").cast("long"), "role", "text"
+    )
+    probe = spark.range(2).select(
+        F.lit(-7).cast("long").alias("conv_id"),
+        F.col("id").alias("turn"),
+        F.when(F.col("id") == 0, "user").otherwise("assistant").alias("role"),
+        F.lit(PROBE).alias("text"),
+    )
+    events = chat.turns_as_events(turns.unionByName(probe))
+    return chat.read_back(chat.format_conversations(events))
+
+
+def op2_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = html_extract.extract(table(spark, sf_dir, "pages"))
+    return found.select(
+        "page_id", "url", "text", F.char_length("text").cast("long").alias("n_chars")
+    )
+
+
+def op4_pack(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.digests(packing.pack(table(spark, sf_dir, "documents")))
+
+
 def op6_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     mixed = mixing.mix(table(spark, sf_dir, "documents"))
     return mixed.select(
@@ -38,8 +67,20 @@ def op9_virtual_slots(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    model = quality.learn(docs, table(spark, sf_dir, "labels"))
+    return quality.with_score(docs, model).select(
+        "doc_id", quality.held_out().alias("held_out"), "score", "predicted"
+    )
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_chat_format": op1_chat_format,
+    "op2_main_text": op2_main_text,
+    "op4_pack": op4_pack,
     "op6_mix_sources": op6_mix_sources,
     "op8_order_minhash": op8_order_minhash,
     "op9_virtual_slots": op9_virtual_slots,
+    "op10_quality_rules": op10_quality_rules,
 }
