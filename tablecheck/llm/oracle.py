@@ -58,4 +58,27 @@ SELECT conv_id, count(*) AS n_turns,
 FROM turns JOIN sums USING (conv_id) GROUP BY conv_id
 """
 
-ORACLE_SQL: dict[str, str] = {"op1_chat_format": _OP1, "op6_mix_sources": _OP6}
+_OP5 = """
+WITH RECURSIVE good AS (
+    SELECT vec_id, embedding::DOUBLE[] AS v FROM embeddings
+    WHERE len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+      AND len(list_filter(embedding, lambda x: x <> 0)) > 0
+), links AS (
+    SELECT a.vec_id AS a, b.vec_id AS b FROM good a, good b
+    WHERE a.vec_id <> b.vec_id AND list_cosine_similarity(a.v, b.v) >= 0.9
+), reach AS (
+    SELECT a AS node, a AS other FROM (SELECT DISTINCT a FROM links)
+    UNION
+    SELECT node, b FROM reach JOIN links ON other = a
+), tops AS (SELECT node, min(other) AS top FROM reach GROUP BY node),
+counts AS (SELECT a, count(*) AS n FROM links GROUP BY a)
+SELECT vec_id, coalesce(n, 0)::BIGINT AS n_links, coalesce(top, vec_id) AS component_id,
+       coalesce(top, vec_id) = vec_id AS kept
+FROM embeddings LEFT JOIN counts ON vec_id = a LEFT JOIN tops ON vec_id = node
+"""
+
+ORACLE_SQL: dict[str, str] = {
+    "op1_chat_format": _OP1,
+    "op5_cover_tree": _OP5,
+    "op6_mix_sources": _OP6,
+}

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tablecheck.llm import chat, fingerprints, html_extract, mixing, packing, quality, sharding
+from tablecheck.llm import chat, cover_tree, fingerprints, html_extract, mixing, packing, quality, sharding
 from tablecheck.llm.common import table
 
 N_SHARDS = 24
@@ -42,6 +42,10 @@ def op4_pack(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.digests(packing.pack(table(spark, sf_dir, "documents")))
 
 
+def op5_cover_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return cover_tree.near_duplicates(spark, table(spark, sf_dir, "embeddings"), 0.9)
+
+
 def op6_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     mixed = mixing.mix(table(spark, sf_dir, "documents"))
     return mixed.select(
@@ -79,6 +83,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_chat_format": op1_chat_format,
     "op2_main_text": op2_main_text,
     "op4_pack": op4_pack,
+    "op5_cover_tree": op5_cover_tree,
     "op6_mix_sources": op6_mix_sources,
     "op8_order_minhash": op8_order_minhash,
     "op9_virtual_slots": op9_virtual_slots,
