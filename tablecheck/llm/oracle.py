@@ -77,8 +77,37 @@ SELECT vec_id, coalesce(n, 0)::BIGINT AS n_links, coalesce(top, vec_id) AS compo
 FROM embeddings LEFT JOIN counts ON vec_id = a LEFT JOIN tops ON vec_id = node
 """
 
+_OP7 = r"""
+WITH RECURSIVE words AS (
+    SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+           'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w
+    FROM documents
+), sets AS (
+    SELECT doc_id, CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 3 THEN [array_to_string(w, ' ')]
+           ELSE list_distinct(list_transform(range(1, len(w) - 1),
+                lambda i: w[i] || ' ' || w[i + 1] || ' ' || w[i + 2])) END AS s
+    FROM words
+), items AS (
+    SELECT doc_id, unnest(s) AS item FROM sets
+), shared AS (
+    SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS n
+    FROM items a JOIN items b USING (item) WHERE a.doc_id <> b.doc_id GROUP BY ALL
+), links AS (
+    SELECT a, b FROM shared JOIN sets x ON x.doc_id = a JOIN sets y ON y.doc_id = b
+    WHERE 100 * n >= 85 * (len(x.s) + len(y.s) - n)
+), reach AS (
+    SELECT a AS node, a AS other FROM (SELECT DISTINCT a FROM links)
+    UNION
+    SELECT node, b FROM reach JOIN links ON other = a
+), tops AS (SELECT node, min(other) AS top FROM reach GROUP BY node)
+SELECT doc_id, len(s)::BIGINT AS n_shingles, coalesce(top, doc_id) AS component_id,
+       coalesce(top, doc_id) = doc_id AS kept
+FROM sets LEFT JOIN tops ON doc_id = node
+"""
+
 ORACLE_SQL: dict[str, str] = {
     "op1_chat_format": _OP1,
     "op5_cover_tree": _OP5,
     "op6_mix_sources": _OP6,
+    "op7_minhash": _OP7,
 }

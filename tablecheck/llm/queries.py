@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tablecheck.llm import chat, cover_tree, fingerprints, html_extract, mixing, packing, quality, sharding
+from tablecheck.llm import chat, cover_tree, fingerprints, html_extract, minhash, mixing, packing, quality, sharding
 from tablecheck.llm.common import table
 
 N_SHARDS = 24
@@ -53,6 +53,10 @@ def op6_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op7_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return minhash.near_duplicates(spark, table(spark, sf_dir, "documents"), k=3, percent=85)
+
+
 def op8_order_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprints.against_edited_and_next(spark, table(spark, sf_dir, "documents"))
 
@@ -85,6 +89,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_pack": op4_pack,
     "op5_cover_tree": op5_cover_tree,
     "op6_mix_sources": op6_mix_sources,
+    "op7_minhash": op7_minhash,
     "op8_order_minhash": op8_order_minhash,
     "op9_virtual_slots": op9_virtual_slots,
     "op10_quality_rules": op10_quality_rules,
