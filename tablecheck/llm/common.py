@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import tempfile
 import uuid
 
@@ -31,6 +32,15 @@ def stored(spark: SparkSession, df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def release(spark: SparkSession) -> None:
+    """Lets Spark's cleaner drop shuffle files that nothing refers to any more.
+
+    It goes by the driver's garbage collection, which a driver with little to do may never start.
+    """
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 

@@ -7,7 +7,18 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tablecheck.llm import chat, cover_tree, fingerprints, html_extract, minhash, mixing, packing, quality, sharding
+from tablecheck.llm import (
+    chat,
+    cover_tree,
+    fingerprints,
+    html_extract,
+    minhash,
+    mixing,
+    packing,
+    quality,
+    sharding,
+    suffix_dedup,
+)
 from tablecheck.llm.common import table
 
 N_SHARDS = 24
@@ -38,6 +49,11 @@ def op2_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op3_suffix_array(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return suffix_dedup.digests(suffix_dedup.deduplicate(spark, docs))
+
+
 def op4_pack(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.digests(packing.pack(table(spark, sf_dir, "documents")))
 
@@ -86,6 +102,7 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_chat_format": op1_chat_format,
     "op2_main_text": op2_main_text,
+    "op3_suffix_array": op3_suffix_array,
     "op4_pack": op4_pack,
     "op5_cover_tree": op5_cover_tree,
     "op6_mix_sources": op6_mix_sources,
