@@ -27,7 +27,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tablecheck.llm.common import release, shuffle_partitions, stored
@@ -55,13 +55,14 @@ SEGMENT = np.dtype(
 )
 
 
-def keyed(docs: DataFrame) -> DataFrame:
-    """(id, variant, text): never null."""
+def keyed(docs: DataFrame, *others: Column) -> DataFrame:
+    """(id, variant, text, *others): the first three are never null."""
     text = F.coalesce(F.col("text").cast("string"), F.lit(""))
     return docs.select(
         F.coalesce(F.col("doc_id").cast("long"), F.lit(NULL_ID)).alias("id"),
         F.pmod(F.xxhash64(text), F.lit(1 << 16)).cast("int").alias("variant"),
         text.alias("text"),
+        *others,
     )
 
 
@@ -423,47 +424,74 @@ def _kept(data: bytes, spans: list[tuple[int, int]]) -> bytes:
     return b"".join([*out, data[at:]])
 
 
-def _remove(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    schema = pa.schema(
-        [
-            ("doc_id", pa.int64()),
-            ("n_bytes", pa.int64()),
-            ("spans", pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))),
-            ("kept", pa.binary()),
-        ]
-    )
-    for batch in batches:
-        for at in range(0, batch.num_rows, 256):
-            rows = []
-            for i, text, found in zip(*batch.slice(at, 256).columns, strict=True):
-                data, i = text.as_py().encode(), i.as_py()
-                spans = merged([(s["start"], s["end"]) for s in found.as_py() or ()])
-                rows.append(
-                    (
-                        None if i == NULL_ID else i,
-                        len(data),
-                        [{"start": a, "end": b} for a, b in spans],
-                        _kept(data, spans),
-                    )
+def whole_characters(data: bytes, spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
+    """The spans without bytes of characters that they only partly cover."""
+    out = []
+    for start, end in spans:
+        while start < end and data[start] & 0xC0 == 0x80:
+            start += 1
+        while start < end < len(data) and data[end] & 0xC0 == 0x80:
+            end -= 1
+        if start < end:
+            out.append((start, end))
+    return out
+
+
+_REMOVED = pa.schema(
+    [
+        ("doc_id", pa.int64()),
+        ("n_bytes", pa.int64()),
+        ("spans", pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))),
+        ("kept", pa.binary()),
+    ]
+)
+
+
+def _remove(characters: bool):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for at in range(0, batch.num_rows, 256):
+                part, rows = batch.slice(at, 256), []
+                for i, text, found in zip(*part.columns[:3], strict=True):
+                    data, i = text.as_py().encode(), i.as_py()
+                    spans = merged([(s["start"], s["end"]) for s in found.as_py() or ()])
+                    if characters:
+                        spans = whole_characters(data, spans)
+                    dicts = [{"start": a, "end": b} for a, b in spans]
+                    rows.append((None if i == NULL_ID else i, len(data), dicts, _kept(data, spans)))
+                done = _rows(rows, _REMOVED)
+                yield pa.RecordBatch.from_arrays(
+                    [*done.columns, *part.columns[3:]], names=[*_REMOVED.names, *batch.schema.names[3:]]
                 )
-            yield _rows(rows, schema)
+
+    return run
 
 
 DEDUPLICATED = "doc_id long, n_bytes long, spans array<struct<start:long,end:long>>, kept binary"
 
 
-def deduplicate(spark: SparkSession, docs: DataFrame, window: int = WINDOW) -> DataFrame:
-    """(doc_id, n_bytes, spans, kept): maximal removed spans and the remaining bytes of every row."""
+def deduplicate(
+    spark: SparkSession,
+    docs: DataFrame,
+    window: int = WINDOW,
+    characters: bool = False,
+    keep: tuple[str, ...] = (),
+) -> DataFrame:
+    """(doc_id, n_bytes, spans, kept, *keep): maximal removed spans and the remaining bytes of every row.
+
+    With ``characters``, a character stays if only some of its bytes are repeated, so that what is left
+    is valid text.
+    """
     spans = removed_spans(spark, docs, window)
     by_text = spans.groupBy("id", "variant").agg(
         F.collect_list(F.struct("start", "end")).alias("spans")
     )
-    return (
-        keyed(docs)
-        .join(by_text, ["id", "variant"], "left")
-        .select("id", "text", "spans")
-        .mapInArrow(_remove, DEDUPLICATED)
-    )
+    others = [F.col(c).alias(f"keep_{i}") for i, c in enumerate(keep)]
+    joined = keyed(docs, *others).join(by_text, ["id", "variant"], "left")
+    rows = joined.select("id", "text", "spans", *[f"keep_{i}" for i in range(len(keep))])
+    kinds = [f", keep_{i} {docs.schema[c].dataType.simpleString()}" for i, c in enumerate(keep)]
+    out = rows.mapInArrow(_remove(characters), DEDUPLICATED + "".join(kinds))
+    return out.toDF(*[n for n in out.columns if not n.startswith("keep_")], *keep)
 
 
 def digests(deduplicated: DataFrame) -> DataFrame:
