@@ -21,7 +21,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-BINS = 64
+BINS = 128
 K = 3
 UNIT = r"\S{1,16}\s*"
 #: Ids are cut at quantiles (at most so many values reach the driver) and evenly between them.
@@ -79,7 +79,7 @@ def sketch(texts: DataFrame, keys: list[str], column: str, names: list[str]) ->
         "pos",
         F.when(F.col("kmer").isNotNull(), F.xxhash64("kmer", occurrence)).alias("item"),
     )
-    # The low bits choose the bin and its half; the next 39 and the position make up one number, so
+    # The low 8 bits choose the bin and its half; the next 39 and the position make up one number, so
     # that a minimum keeps its place in the text.
     low = (1 << 39) - 1
     packed = F.shiftleft(F.shiftright("item", 8).bitwiseAND(F.lit(low)), POSITION_BITS) + F.col("pos")

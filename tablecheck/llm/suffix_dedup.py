@@ -327,6 +327,8 @@ def repeated_windows(
     sizes = np.bincount(number)
     many = (sizes[number] > 1) & whole[order]
     place, group = order[many], number[many]
+    if not len(place):
+        return np.zeros((0, 3), dtype=np.int64)
     p = piece[place]
     absolute = starts[p] + inside[place]
     by = np.lexsort((absolute, variants[p], ids[p], group))
