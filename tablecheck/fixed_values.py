@@ -53,6 +53,5 @@ CELL_COLUMN = "excel_cell"
 
 # JDBC reads.
 FETCH_SIZE = 10_000
-READ_PARTITIONS = 12
 
 # --- end of fixed values ------------------------------------------------------

@@ -1,5 +1,11 @@
 from tablecheck.functions.cells import cell_column, cell_row, outside_cell_range
-from tablecheck.functions.columns import blank_column, is_whole_number, quoted, text_column
+from tablecheck.functions.columns import (
+    blank_column,
+    is_date,
+    is_whole_number,
+    quoted,
+    text_column,
+)
 from tablecheck.functions.predicates import (
     blank,
     lacks_prefix,
@@ -15,6 +21,7 @@ __all__ = [
     "blank_column",
     "cell_column",
     "cell_row",
+    "is_date",
     "is_whole_number",
     "lacks_prefix",
     "not_a_date",

@@ -40,6 +40,12 @@ def is_whole_number(schema: T.StructType, name: str) -> bool:
     return isinstance(field_of(schema, name).dataType, T.IntegralType)
 
 
+def is_date(schema: T.StructType, name: str) -> bool:
+    """Whether the column is stored as a date or time; it then is one, whatever its format."""
+    kind = field_of(schema, name).dataType
+    return isinstance(kind, (T.DateType, T.TimestampType, T.TimestampNTZType))
+
+
 def blank_column(schema: T.StructType, name: str) -> Column:
     """True where the column has no value: NULL or, if its type has such values, blank."""
     value = text_column(schema, name)

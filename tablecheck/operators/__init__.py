@@ -7,6 +7,7 @@ from tablecheck.operators.functional import (
     business_report,
 )
 from tablecheck.operators.referential import (
+    BroadcastBounds,
     plan_references,
     reference_values,
     references_report,
@@ -23,6 +24,7 @@ from tablecheck.operators.technical import (
 __all__ = [
     "DEFAULT_RULES",
     "AtLeastOne",
+    "BroadcastBounds",
     "CellInRange",
     "ExactlyOne",
     "StartsWith",

@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass
 from functools import reduce
+from itertools import accumulate
 from operator import or_
 
 from pyspark.sql import Column, DataFrame
@@ -88,7 +89,7 @@ def row_checks(
 ) -> list[Check]:
     """The rules that look at one row at a time."""
     checks = []
-    for place, rule in enumerate(rules):
+    for place, rule in zip(_places(rules), rules):
         if isinstance(rule, StartsWith):
             broken = lacks_prefix(text_column(schema, rule.column), rule.prefix)
             name, after = "starts_with", f" values do not start with {rule.prefix!r}"
@@ -101,7 +102,7 @@ def row_checks(
             continue
         checks.append(
             Check(
-                PHASE, name, _seq(place), rule.column, FUNCTIONAL_ERROR,
+                PHASE, name, place, rule.column, FUNCTIONAL_ERROR,
                 count_violations(broken), f"{rule.column}: ", after,
             )
         )
@@ -113,7 +114,7 @@ def group_reports(
 ) -> list[DataFrame]:
     """The rules that look at groups: one grouping for all rules with the same group columns."""
     by_columns: dict[tuple[str, ...], list[tuple[int, ExactlyOne | AtLeastOne]]] = {}
-    for place, rule in enumerate(rules):
+    for place, rule in zip(_places(rules), rules):
         if isinstance(rule, (ExactlyOne, AtLeastOne)):
             by_columns.setdefault(rule.group_cols, []).append((place, rule))
     return [
@@ -136,7 +137,10 @@ def _grouped_report(df, group_cols, placed, keep_zero) -> DataFrame:
         rows = df.filter(
             reduce(or_, [text_column(df.schema, r.name_col).isin(*r.required) for _, r in placed])
         )
-    keys = [quoted(field_of(df.schema, name).name) for name in group_cols]
+    # Grouping columns get names by place: a table may call its columns anything.
+    keys = [
+        quoted(field_of(df.schema, name).name).alias(f"k{i}") for i, name in enumerate(group_cols)
+    ]
     return count_report(rows.groupBy(*keys).agg(*per_group), checks, keep_zero)
 
 
@@ -151,7 +155,7 @@ def _exactly_one(schema, place: int, rule: ExactlyOne) -> tuple[list[Column], li
         taken = reduce(or_, [F.col(alias) > 0 for alias in counters.values()])
     checks = [
         Check(
-            PHASE, "exactly_one", _seq(place, i), rule.name_col, FUNCTIONAL_ERROR,
+            PHASE, "exactly_one", place + i, rule.name_col, FUNCTIONAL_ERROR,
             count_violations(taken & (F.col(alias) != 1)),
             f"{rule.name_col}={value!r}: ",
             f" groups ({', '.join(rule.group_cols)}) do not have exactly one row",
@@ -165,7 +169,7 @@ def _at_least_one(schema, place: int, rule: AtLeastOne) -> tuple[list[Column], l
     name, alias = F.lower(text_column(schema, rule.name_col)), f"rule{place}"
     found = F.bool_or(name.startswith(rule.prefix.lower())).alias(alias)
     check = Check(
-        PHASE, "at_least_one", _seq(place), rule.name_col, FUNCTIONAL_ERROR,
+        PHASE, "at_least_one", place, rule.name_col, FUNCTIONAL_ERROR,
         count_violations(~F.coalesce(F.col(alias), F.lit(False))),
         f"{rule.name_col} starting with {rule.prefix!r}: ",
         f" groups ({', '.join(rule.group_cols)}) have no row",
@@ -173,9 +177,10 @@ def _at_least_one(schema, place: int, rule: AtLeastOne) -> tuple[list[Column], l
     return [found], [check]
 
 
-def _seq(place: int, part: int = 0) -> int:
-    """Place of a check among all checks of a rule list."""
-    return place * 1000 + part
+def _places(rules: Sequence[BusinessRule]) -> list[int]:
+    """The first place of each rule among all checks of a rule list; a rule has one per name."""
+    sizes = [len(r.required) if isinstance(r, ExactlyOne) else 1 for r in rules]
+    return list(accumulate(sizes, initial=0))[:-1]
 
 
 def business_report(

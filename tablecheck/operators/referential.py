@@ -28,10 +28,6 @@ PHASE = 3
 # (database, table, column) -> a DataFrame that has the column.
 LoadReference = Callable[[str, str, str], DataFrame]
 
-# A reference is broadcast only after its values were counted and measured against both bounds.
-BROADCAST_ROWS = 1_000_000
-BROADCAST_BYTES = 32 * 1024 * 1024
-
 
 @dataclass(frozen=True)
 class ReferenceGroup:
@@ -88,19 +84,28 @@ def _known_values(reference: DataFrame, column: str, form: _Form) -> DataFrame:
     return reference.select(value).filter(F.col("value").isNotNull())
 
 
-def is_broadcastable(reference: DataFrame, values: DataFrame) -> bool:
-    """Count the rows (footers answer that for parquet), then measure what is short enough."""
-    n_rows = reference.count()
-    if n_rows > BROADCAST_ROWS:
-        return False
-    if is_whole_number(values.schema, "value"):
-        return n_rows * 8 <= BROADCAST_BYTES
-    size = values.agg(F.sum(F.octet_length("value")).alias("bytes")).first()
-    return (size["bytes"] or 0) <= BROADCAST_BYTES
+@dataclass(frozen=True)
+class BroadcastBounds:
+    """A reference is broadcast only after its values were counted and measured against both."""
+
+    rows: int = 1_000_000
+    size: int = 32 * 1024 * 1024
+
+
+def is_broadcastable(values: DataFrame, bounds: BroadcastBounds) -> bool:
+    """One aggregate counts and measures the values of a reference."""
+    text = not is_whole_number(values.schema, "value")
+    width = F.octet_length("value") if text else F.lit(8)
+    found = values.agg(F.count(F.lit(1)).alias("rows"), F.sum(width).alias("size")).first()
+    return found["rows"] <= bounds.rows and (found["size"] or 0) <= bounds.size
 
 
 def missing_values_report(
-    df: DataFrame, group: ReferenceGroup, reference: DataFrame, keep_zero: bool = False
+    df: DataFrame,
+    group: ReferenceGroup,
+    reference: DataFrame,
+    keep_zero: bool = False,
+    bounds: BroadcastBounds = BroadcastBounds(),
 ) -> DataFrame:
     """For each column of the group, how many of its distinct values the reference lacks.
 
@@ -112,7 +117,7 @@ def missing_values_report(
     form = _form(df, group.columns.values(), reference, group.reference.column)
     values = _column_values(df, group, form)
     known = _known_values(reference, group.reference.column, form)
-    if is_broadcastable(reference, known):
+    if is_broadcastable(known, bounds):
         missing = _by_value(values.join(F.broadcast(known), "value", "left_anti"), group)
     else:
         missing = _by_value(values, group).join(known.distinct(), "value", "left_anti")
@@ -183,13 +188,14 @@ def plan_references(
     rules: Sequence[ColumnRule],
     load_reference: LoadReference,
     keep_zero: bool = False,
+    bounds: BroadcastBounds = BroadcastBounds(),
 ) -> ReferencePlan:
     plans, rows = [], format_violations(rules)
     for group in reference_groups(rules):
         at = group.reference
         try:
             reference = load_reference(at.database, at.table, at.column)
-            plans.append((group, missing_values_report(df, group, reference, keep_zero)))
+            plans.append((group, missing_values_report(df, group, reference, keep_zero, bounds)))
         except Exception as error:
             rows += failed_group(group, error)
     return ReferencePlan(plans, rows)
@@ -200,11 +206,12 @@ def references_report(
     rules: Sequence[ColumnRule],
     load_reference: LoadReference,
     keep_zero: bool = False,
+    bounds: BroadcastBounds = BroadcastBounds(),
 ) -> DataFrame:
     """All referential checks as one plan. References that cannot be opened become rows; for one
     that breaks while it is read, use :meth:`ReferencePlan.run_each`."""
     spark = df.sparkSession
-    plan = plan_references(df, rules, load_reference, keep_zero)
+    plan = plan_references(df, rules, load_reference, keep_zero, bounds)
     reports = [report for _, report in plan.plans]
     if plan.rows:
         reports.append(report_of_rows(spark, plan.rows))

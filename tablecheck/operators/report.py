@@ -16,10 +16,11 @@ from tablecheck.schemas import REPORT_SCHEMA
 # Order of the checks inside a phase; the others of a phase go by ``seq`` alone.
 _STAGES = ("data_type", "not_null", "max_length", "primary_key", "reference_format", "reference")
 
-# Checks per aggregate. Compiled code stays small enough to be fast: of 72 checks over 34 columns, two
-# aggregates took 15% less time than one; of 670 over 300, many took half as long as one. Beyond 100
-# fields (spark.sql.codegen.maxFields) Spark neither vectorizes the scan nor compiles the aggregate.
-CHECKS_PER_SCAN = 40
+# A good number of checks per aggregate for columnar files, whose columns are read by one part each.
+# Compiled code stays small enough to be fast: of 72 checks over 34 columns, two aggregates took 15%
+# less time than one; of 670 over 300, many took half as long as one. Beyond 100 fields
+# (spark.sql.codegen.maxFields) Spark neither vectorizes the scan nor compiles the aggregate.
+COLUMNAR_CHECKS_PER_SCAN = 40
 
 _LABELS = (
     "struct<phase: int, check_name: string, seq: int, column_name: string, error_type: string,"
@@ -53,24 +54,30 @@ def count_violations(condition: Column) -> Column:
     return F.count(F.when(condition, True))
 
 
-def scan_report(df: DataFrame, checks: Sequence[Check], keep_zero: bool = False) -> DataFrame:
-    """All counts over the rows of a table, one report row for each.
+def scan_report(
+    df: DataFrame,
+    checks: Sequence[Check],
+    keep_zero: bool = False,
+    checks_per_scan: int | None = None,
+) -> DataFrame:
+    """All counts over the rows of a table in one scan, one report row for each.
 
-    One aggregate holds them all, up to ``CHECKS_PER_SCAN``; more are split by column, so that the
-    parts of a columnar table are still read once each.
+    ``checks_per_scan`` cuts them by column into several aggregates. That pays for columnar files, of
+    which each part reads its own columns; any other source would be read as a whole by each part.
     """
-    reports = [count_report(df, part, keep_zero) for part in _parts(checks)]
+    parts = [list(checks)] if checks_per_scan is None else _parts(checks, checks_per_scan)
+    reports = [count_report(df, part, keep_zero) for part in parts if part]
     return union_reports(df.sparkSession, reports)
 
 
-def _parts(checks: Sequence[Check]) -> list[list[Check]]:
+def _parts(checks: Sequence[Check], checks_per_scan: int) -> list[list[Check]]:
     """The checks in order of their columns, cut between columns."""
     by_column: dict[str, list[Check]] = {}
     for check in checks:
         by_column.setdefault(check.column_name, []).append(check)
     parts: list[list[Check]] = []
     for of_column in by_column.values():
-        if not parts or len(parts[-1]) + len(of_column) > CHECKS_PER_SCAN:
+        if not parts or len(parts[-1]) + len(of_column) > checks_per_scan:
             parts.append([])
         parts[-1] += of_column
     return parts

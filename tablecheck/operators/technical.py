@@ -11,6 +11,7 @@ from pyspark.sql import types as T
 from tablecheck.fixed_values import DATA_TYPE_ERROR, LENGTH_ERROR, NOT_NULL_ERROR, PK_ERROR
 from tablecheck.functions import (
     blank_column,
+    is_date,
     is_whole_number,
     not_a_date,
     not_a_decimal,
@@ -30,6 +31,8 @@ from tablecheck.operators.report import (
 from tablecheck.rules import ColumnRule, LogicalType, RuleError, primary_key
 
 PHASE = 2
+# Suspected fingerprints that are broadcast to confirm a key: 12 bytes each, so at most 12 MB.
+CONFIRM_ROWS = 1_000_000
 _HASHED_ALIKE = (
     T.IntegralType,
     T.DecimalType,
@@ -60,6 +63,8 @@ def type_checks(schema: T.StructType, rules: Iterable[ColumnRule]) -> list[Check
 def _type_violations(schema: T.StructType, name: str, kind: LogicalType) -> Column | int:
     value = text_column(schema, name)
     if kind.name == "DATE":
+        if is_date(schema, name):
+            return 0
         return count_violations(not_a_date(value, kind.date_format))
     if is_whole_number(schema, name):
         return 0
@@ -93,12 +98,19 @@ def length_checks(schema: T.StructType, rules: Iterable[ColumnRule]) -> list[Che
     ]
 
 
-def check_date_formats(spark: SparkSession, rules: Iterable[ColumnRule]) -> None:
-    """Raise :class:`RuleError` for a date format Spark cannot parse, before any data is read."""
+def check_date_formats(
+    spark: SparkSession, schema: T.StructType, rules: Iterable[ColumnRule]
+) -> None:
+    """Raise :class:`RuleError` for a date format Spark cannot parse, before any data is read.
+
+    Columns that are stored as dates or times are not parsed; their format does not matter.
+    """
     formats = {
         kind.date_format: rule.field_name
         for rule in rules
-        if (kind := rule.logical_type) and kind.date_format is not None
+        if (kind := rule.logical_type)
+        and kind.date_format is not None
+        and not is_date(schema, rule.field_name)
     }
     for date_format, name in formats.items():
         probe = spark.sql("SELECT try_to_date('2000-01-01', :f) AS d", args={"f": date_format})
@@ -109,7 +121,7 @@ def check_date_formats(spark: SparkSession, rules: Iterable[ColumnRule]) -> None
 
 
 def data_types_report(df: DataFrame, rules: Sequence[ColumnRule], keep_zero: bool = False) -> DataFrame:
-    check_date_formats(df.sparkSession, rules)
+    check_date_formats(df.sparkSession, df.schema, rules)
     return scan_report(df, type_checks(df.schema, rules), keep_zero)
 
 
@@ -140,6 +152,26 @@ def suspected_key_report(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     return _surplus_report(df, columns, [F.xxhash64(*key), F.hash(*key)], keep_zero=False)
 
 
+def confirmed_key_report(df: DataFrame, columns: Sequence[str], suspected: int) -> DataFrame:
+    """:func:`primary_key_report` after ``suspected`` surplus rows by fingerprint.
+
+    Only rows whose fingerprint occurs more than once can repeat a key. As long as there are few such
+    fingerprints (at most ``suspected``), they are broadcast, and the keys of all other rows stay where
+    they are; beyond, all keys are grouped.
+    """
+    if suspected > CONFIRM_ROWS:
+        return primary_key_report(df, columns)
+    key = [quoted(name) for name in columns]
+    prints = df.select(
+        *[k.alias(f"k{i}") for i, k in enumerate(key)],
+        F.xxhash64(*key).alias("print_a"),
+        F.hash(*key).alias("print_b"),
+    )
+    repeated = prints.groupBy("print_a", "print_b").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
+    rows = prints.join(F.broadcast(repeated.drop("n")), ["print_a", "print_b"], "left_semi")
+    return _surplus_report(rows, columns, [F.col(f"k{i}") for i in range(len(key))], keep_zero=False)
+
+
 def fingerprints_pay(schema: T.StructType, columns: Sequence[str]) -> bool:
     """Wide keys, of types whose equal values are sure to hash alike."""
     kinds = [field_of(schema, name).dataType for name in columns]
@@ -152,7 +184,9 @@ def fingerprints_pay(schema: T.StructType, columns: Sequence[str]) -> bool:
 def _surplus_report(df, columns, key: list[Column], keep_zero: bool) -> DataFrame:
     if not columns:
         return empty_report(df.sparkSession)
-    copies = df.groupBy(*key).agg((F.count(F.lit(1)) - 1).alias("surplus"))
+    # Grouping columns get names by place: a table may call its columns anything.
+    placed = [part.alias(f"k{i}") for i, part in enumerate(key)]
+    copies = df.groupBy(*placed).agg((F.count(F.lit(1)) - 1).alias("surplus"))
     check = Check(
         PHASE, "primary_key", 0, ",".join(columns), PK_ERROR,
         F.coalesce(F.sum("surplus"), F.lit(0).cast("bigint")),
@@ -172,7 +206,7 @@ def row_level_checks(schema: T.StructType, rules: Sequence[ColumnRule]) -> list[
 
 def technical_report(df: DataFrame, rules: Sequence[ColumnRule], keep_zero: bool = False) -> DataFrame:
     """All technical checks, ungated: one scan for the rows, one shuffle for the key."""
-    check_date_formats(df.sparkSession, rules)
+    check_date_formats(df.sparkSession, df.schema, rules)
     rows = scan_report(df, row_level_checks(df.schema, rules), keep_zero)
     key = primary_key(rules)
     return rows.unionByName(primary_key_report(df, key, keep_zero)) if key else rows

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import time
 import warnings
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 from functools import partial
 
@@ -15,6 +15,7 @@ from tablecheck.fixed_values import (
     EXECUTION_ERROR,
     FUNCTIONAL_VALIDATION,
     INGESTED,
+    PENDING,
     STRUCTURE_FAILED,
     SYSTEM_ERROR,
     SYSTEM_FIELD,
@@ -36,9 +37,11 @@ from tablecheck.sources.tables import LoadTable
 class RequestRunner:
     """Control tables, ways to load data, and where results go.
 
+    ``business`` are the business rules of every table, or a function from table type to rules.
+
     ``persist`` keeps a table between its passes. Leave it out for columnar files, which are cheaper
     to read again by column; set it (``StorageLevel.MEMORY_AND_DISK``) where reading is dear, as from
-    a database.
+    a database. ``checks_per_scan`` is the other way round: for tables of columnar files only.
     """
 
     spark: SparkSession
@@ -48,9 +51,16 @@ class RequestRunner:
     load_reference: LoadReference
     log_sink: Sink
     status_sink: Sink
-    business: Sequence[BusinessRule] = DEFAULT_RULES
+    business: Sequence[BusinessRule] | Callable[[str], Sequence[BusinessRule]] = DEFAULT_RULES
     mode: Mode = "fused"
     persist: StorageLevel | None = None
+    checks_per_scan: int | None = None
+
+    def reopen(self, ids: Sequence[int]) -> None:
+        """Requests with these ids are pending again."""
+        writer = StatusWriter(self.spark, self.status_sink)
+        for id_trigger in ids:
+            writer.append(id_trigger, PENDING)
 
     def run_pending(self, triggers: DataFrame, status: DataFrame | None = None) -> int:
         """Validate every pending request and return their number. Requests are few."""
@@ -85,15 +95,19 @@ class RequestRunner:
                 rules_for(self.rules, request.id_type_table),
                 has_header=has_header,
                 load_reference=self.load_reference,
-                business=self.business,
+                business=self._business_of(request.id_type_table),
                 mode=self.mode,
                 row_count=row_count,
+                checks_per_scan=self.checks_per_scan,
                 on_flag=partial(writer.append, request.id_trigger),
             )
         finally:
             if self.persist is not None:
                 df.unpersist()
 
+    def _business_of(self, id_type_table: str) -> Sequence[BusinessRule]:
+        return self.business(id_type_table) if callable(self.business) else self.business
+
     def _log(self, request: Row, violations: Sequence[Row], kind: str) -> None:
         if violations:
             report = report_of_rows(self.spark, violations)

@@ -62,9 +62,10 @@ class _Job:
     load_reference: LoadReference
     business: Sequence[BusinessRule]
     n_rows: int
+    checks_per_scan: int | None
 
     def type_checks(self) -> list[Check]:
-        technical.check_date_formats(self.df.sparkSession, self.rules)
+        technical.check_date_formats(self.df.sparkSession, self.df.schema, self.rules)
         return technical.type_checks(self.df.schema, self.rules)
 
     def null_checks(self) -> list[Check]:
@@ -91,7 +92,8 @@ class _Job:
         """What is left of a suspicion once the keys themselves are counted."""
         key = primary_key(self.rules)
         if found and technical.fingerprints_pay(self.df.schema, key):
-            return collect_report(technical.primary_key_report(self.df, key))
+            suspected = sum(row.n_violations for row in found)
+            return collect_report(technical.confirmed_key_report(self.df, key, suspected))
         return found
 
     def references(self) -> ReferencePlan:
@@ -110,14 +112,16 @@ def validate_table(
     business: Sequence[BusinessRule] = DEFAULT_RULES,
     mode: Mode = "fused",
     row_count: int | None = None,
+    checks_per_scan: int | None = None,
     on_flag: Callable[[int], None] = lambda flag: None,
 ) -> ValidationOutcome:
     """Structure, technical checks, references, business rules.
 
-    ``gated`` runs one check kind after the other and stops at the first that finds something.
-    ``fused`` reports the same from fewer passes: one scan counts everything that looks at single
-    rows, whatever its phase; if the table is still clean then, one action runs the key, the
-    references and the groups side by side.
+    ``gated`` counts types, nulls and lengths in one scan, reports the first kind that finds
+    something, and then runs one kind of check after the other. ``fused`` reports the same from fewer
+    passes: one scan counts everything that looks at single rows, whatever its phase; if the table is
+    still clean then, one action runs the key, the references and the groups side by side.
+    ``checks_per_scan`` is for tables of columnar files, see :func:`scan_report`.
 
     A rule that cannot be applied raises when its check is reached, in both modes. ``on_flag`` is
     told each state on the way; the final one is in the outcome.
@@ -131,7 +135,7 @@ def validate_table(
         return ValidationOutcome(STRUCTURE_FAILED, row_count, [row])
     on_flag(STRUCTURE_OK)
 
-    job = _Job(structure.df, rules, load_reference or _no_references, business, row_count)
+    job = _Job(structure.df, rules, load_reference or _no_references, business, row_count, checks_per_scan)
     steps = {"fused": _fused, "gated": _gated}[mode](job)
     for phase, last_of_phase, violations in steps:
         if violations:
@@ -150,12 +154,32 @@ _Steps = Iterator[tuple[int, bool, list[Row]]]
 
 
 def _gated(job: _Job) -> _Steps:
-    yield 2, False, _count(job, job.type_checks())
-    yield 2, False, _count(job, job.null_checks())
-    yield 2, False, _count(job, job.length_checks())
+    stages = _row_stages(job)
+    counted = _count_stages(job, stages)
+    yield from _technical_rows(stages, counted)
     yield from _after_rows(job)
 
 
+def _row_stages(job: _Job) -> dict[str, _Attempt]:
+    """The kinds of phase 2 that look at single rows, in their order."""
+    return {
+        "data_type": _Attempt(job.type_checks),
+        "not_null": _Attempt(job.null_checks),
+        "max_length": _Attempt(job.length_checks),
+    }
+
+
+def _count_stages(job: _Job, stages: dict[str, _Attempt]) -> list[Row]:
+    """One scan for all of them; a kind that could not be prepared is left out."""
+    return _count(job, [check for stage in stages.values() for check in stage.result or []])
+
+
+def _technical_rows(stages: dict[str, _Attempt], counted: list[Row]) -> _Steps:
+    for name in ("data_type", "not_null", "max_length"):
+        stages[name].raise_if_failed()
+        yield 2, False, [row for row in counted if row.check_name == name]
+
+
 def _after_rows(job: _Job) -> _Steps:
     """From the key on, one action per kind of check."""
     suspected = [row for report in job.key_reports() for row in collect_report(report)]
@@ -167,19 +191,9 @@ def _after_rows(job: _Job) -> _Steps:
 
 
 def _fused(job: _Job) -> _Steps:
-    stages = {
-        name: _Attempt(build)
-        for name, build in {
-            "data_type": job.type_checks,
-            "not_null": job.null_checks,
-            "max_length": job.length_checks,
-            "business": job.business_row_checks,
-        }.items()
-    }
-    counted = _count(job, [check for stage in stages.values() for check in stage.result or []])
-    for name in ("data_type", "not_null", "max_length"):
-        stages[name].raise_if_failed()
-        yield 2, False, [row for row in counted if row.check_name == name]
+    stages = _row_stages(job) | {"business": _Attempt(job.business_row_checks)}
+    counted = _count_stages(job, stages)
+    yield from _technical_rows(stages, counted)
 
     references, groups = _Attempt(job.references), _Attempt(job.group_reports)
     plans = job.key_reports()
@@ -216,4 +230,6 @@ class _Attempt:
 
 
 def _count(job: _Job, checks: Sequence[Check]) -> list[Row]:
-    return collect_report(scan_report(job.df, checks)) if checks else []
+    if not checks:
+        return []
+    return collect_report(scan_report(job.df, checks, checks_per_scan=job.checks_per_scan))

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from tablecheck.fixed_values import REQUIRED_NAMES
 from tablecheck.registry.fixtures import (
     CLEAN_COLUMNS,
     CLEAN_TEMPLATE,
@@ -177,7 +178,7 @@ def _report(rows: list[str], *ctes: str) -> str:
 
 
 _GROUP = ["template_code", "sheet"]
-_NAMES = ["data_as_of", "cristine_unit", "excel_title"]
+_NAMES = list(REQUIRED_NAMES)
 
 
 def _type_rows(source):
@@ -369,6 +370,45 @@ latest AS (
   FROM status GROUP BY id_trigger)"""
 
 
+def _counted_ranges(name: str, source: str) -> str:
+    """Ranges start at the distinct lowest keys of eight equal parts; NULL keys come last."""
+    return f"""
+WITH t AS ({source}),
+parts AS (SELECT k, ntile(8) OVER (ORDER BY k) AS part FROM t WHERE k IS NOT NULL),
+cuts AS (SELECT DISTINCT cut FROM (SELECT min(k) AS cut FROM parts GROUP BY part) m),
+placed AS (SELECT cut AS low, lead(cut) OVER (ORDER BY cut) AS high,
+             row_number() OVER (ORDER BY cut) - 1 AS range_no FROM cuts)
+SELECT '{name}' AS keys, CAST(range_no AS INTEGER) AS range_no,
+  (SELECT count(*) FROM t WHERE k >= low AND (high IS NULL OR k < high)) AS n_rows FROM placed
+UNION ALL
+SELECT '{name}', CAST((SELECT count(*) FROM cuts) AS INTEGER), (SELECT count(*) FROM t WHERE k IS NULL)"""
+
+
+# All checks of the rule set in the order of a report; none of them depends on the data.
+_PLACED_CHECKS = "SELECT * FROM (VALUES " + ", ".join(
+    f"(CAST({i} AS INTEGER), '{check}', '{column}')"
+    for i, (check, column) in enumerate(
+        [
+            ("data_type", "row_y"),
+            ("data_type", "as_of"),
+            *[("not_null", c) for c in ("template_code", "sheet", "row_y")],
+            *[
+                ("max_length", c)
+                for c in (
+                    "template_code", "sheet", "data_type", "excel_cell", "column_x", "row_y",
+                    "data_name", "as_of",
+                )
+            ],
+            ("primary_key", "template_code,sheet,row_y"),
+            ("reference", "template_code"),
+            *[("exactly_one", "data_name")] * len(REQUIRED_NAMES),
+            ("at_least_one", "data_name"),
+            ("starts_with", "column_x"),
+            ("cell_range", "excel_cell"),
+        ]
+    )
+) + ") v(place, check_name, column_name)"
+
 ORACLE_SQL: dict[str, str] = {
     "type_int": _report(
         [
@@ -383,11 +423,19 @@ ORACLE_SQL: dict[str, str] = {
         [
             _type_row("o_orderkey", "INT", _not_int("CAST(o_orderkey AS VARCHAR)"), "orders"),
             _type_row("o_custkey", "DECIMAL", _not_decimal("CAST(o_custkey AS VARCHAR)"), "orders"),
-            _type_row("o_orderdate", "DATE", "o_orderdate IS NOT NULL AND"
-                      " try_strptime(CAST(o_orderdate AS VARCHAR), '%Y-%m-%d %H:%M:%S') IS NULL", "orders"),
+            _type_row("o_orderdate", "DATE", "false", "orders"),
             _type_row("o_orderpriority", "INT", _not_int("o_orderpriority"), "orders"),
         ]
     ),
+    "type_stored_dates": _report(
+        [
+            _type_row("o_orderdate", "DATE", "false", "orders"),
+            _type_row("o_day", "DATE", "false", "orders"),
+            _type_row("o_custkey", "DATE", "o_custkey IS NOT NULL", "orders"),
+            _type_row("o_orderdate", "DATE", "false", "orders"),
+            _type_row("o_orderpriority", "DATE", _not_date("o_orderpriority"), "orders"),
+        ]
+    ),
     "not_null": _report(
         [_null_row(c, "mixed") for c in ("column_x", "excel_cell", "row_y", "as_of")], _MIXED
     ),
@@ -408,6 +456,10 @@ ORACLE_SQL: dict[str, str] = {
         _MIXED,
     ),
     "primary_key_lineitem": _report([_key_row(["l_orderkey", "l_linenumber"], "lineitem")]),
+    "primary_key_odd_names": _report(
+        [_key_row(["surplus", "none"], "odd"), _key_row(["k0", "none"], "odd")],
+        'odd AS (SELECT l_orderkey AS surplus, l_linenumber AS "none", l_suppkey AS k0 FROM lineitem)',
+    ),
     "primary_key_conversations": _report([_key_row(["conv_id", "turn"], "conversations")]),
     "technical_rules": _report(_technical_rows("mixed"), _MIXED),
     "technical_documents": _report(
@@ -492,6 +544,7 @@ SELECT CAST(7 AS INTEGER) AS id_trigger, source AS validation_id,
   CASE WHEN length(text) > 255 THEN substr(text, 1, 250) || '...' ELSE text END AS validation_msg,
   lang AS field_name, '1' AS incidences, CAST(1 AS INTEGER) AS flag
 FROM documents""",
+    "compacted_states": f"WITH {_EVENT_STATUS} SELECT id_trigger, flag, row_count FROM latest",
     "latest_states": f"WITH {_EVENT_STATUS} SELECT id_trigger, flag, row_count FROM latest",
     "open_requests": f"""WITH {_EVENT_STATUS},
 queue AS (
@@ -501,7 +554,8 @@ queue AS (
 SELECT q.* FROM queue q LEFT JOIN latest l ON q.id_trigger = l.id_trigger
 WHERE coalesce(l.flag, q.flag) = 0""",
     "rules_of_type": """
-SELECT p_brand AS id_type_table,
+SELECT CAST(row_number() OVER (ORDER BY CASE WHEN p_size % 7 = 0 THEN NULL ELSE p_size END
+  ASC NULLS LAST, p_name || '_' || p_partkey) - 1 AS INTEGER) AS place, p_brand AS id_type_table,
   CAST(CASE WHEN p_size % 7 = 0 THEN NULL ELSE p_size END AS INTEGER) AS field_position,
   p_name || '_' || p_partkey AS field_name
 FROM part WHERE p_brand = 'Brand#2'""",
@@ -515,4 +569,35 @@ WITH b AS (SELECT min(l_orderkey) AS lo, (max(l_orderkey) - min(l_orderkey) + 1
 r AS (SELECT least((l_orderkey - lo) // step, 11) AS range_no FROM lineitem, b)
 SELECT CAST(i AS INTEGER) AS range_no, count(range_no) AS n_rows
 FROM generate_series(0, 11) s(i) LEFT JOIN r ON r.range_no = i GROUP BY i""",
+    "groups_odd_names": _report(
+        [
+            _once_row(["rule0"], "k0", "1", ["1", "2"], "odd"),
+            _once_row(["rule0"], "k0", "2", ["1", "2"], "odd"),
+            _some_row(["rule2", "rule0"], '"none"', "r", "odd").replace('"none" starting', "none starting")
+            .replace("'\"none\"'", "'none'"),
+        ],
+        'odd AS (SELECT l_orderkey AS rule0, l_suppkey AS rule2, CAST(l_linenumber AS VARCHAR) AS k0,'
+        ' l_returnflag AS "none" FROM lineitem)',
+    ),
+    "referential_large": _report(
+        [
+            _reference_row("l_orderkey", "lineitem", "o_orderkey", "thinned", "given.orders"),
+            _reference_row("supplier_text", "texts", "p_partkey", "part"),
+            _reference_row("l_returnflag", "lineitem", "o_orderkey", "thinned", "given.orders"),
+        ],
+        "thinned AS (SELECT o_orderkey FROM orders WHERE o_orderkey % 3 <> 0)",
+        "texts AS (SELECT CAST(l_suppkey AS VARCHAR) AS supplier_text FROM lineitem)",
+    ),
+    "report_order": _PLACED_CHECKS,
+    "key_ranges_skewed": "\nUNION ALL\n".join(
+        f"SELECT * FROM ({_counted_ranges(name, source)}) q{i}"
+        for i, (name, source) in enumerate(
+            {
+                "numbers": "SELECT CASE WHEN l_orderkey % 50 = 0 THEN NULL WHEN l_orderkey = 1"
+                " THEN 999999999999 ELSE l_orderkey END AS k FROM lineitem",
+                "texts": "SELECT text AS k FROM documents",
+                "times": "SELECT o_orderdate AS k FROM orders",
+            }.items()
+        )
+    ),
 }

@@ -6,10 +6,12 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import IntegerType, StringType, StructField, StructType
 
 from tablecheck.local import local_frame
 from tablecheck.operators import (
     AtLeastOne,
+    BroadcastBounds,
     CellInRange,
     ExactlyOne,
     StartsWith,
@@ -33,8 +35,33 @@ from tablecheck.registry.fixtures import (
 from tablecheck.registry.scenarios import run_requests
 from tablecheck.rules import ColumnRule
 from tablecheck.schemas import CONFIG_SCHEMA
-from tablecheck.sinks import current_status, log_rows
-from tablecheck.sources import config_for, pending_requests, range_predicates, rule_rows
+from tablecheck.fixed_values import REQUIRED_NAMES
+from tablecheck.operators.report import collect_report
+from tablecheck.sinks import compacted_status, current_status, log_rows
+from tablecheck.sources import (
+    config_for,
+    cut_predicates,
+    cut_query,
+    pending_requests,
+    range_predicates,
+    rule_rows,
+)
+
+_PLACES = StructType(
+    [
+        StructField("place", IntegerType()),
+        StructField("check_name", StringType()),
+        StructField("column_name", StringType()),
+    ]
+)
+_PLACED_RULES = StructType(
+    [
+        StructField("place", IntegerType()),
+        StructField("id_type_table", StringType()),
+        StructField("field_position", IntegerType()),
+        StructField("field_name", StringType()),
+    ]
+)
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -86,6 +113,20 @@ def type_stored(spark, sf_dir):
     return _shown(data_types_report(table(spark, sf_dir, "orders"), rules, keep_zero=True))
 
 
+@query
+def type_stored_dates(spark, sf_dir):
+    """Stored times and dates are dates, whatever format the rule has; a text beside them is not."""
+    orders = table(spark, sf_dir, "orders").withColumn("o_day", F.to_date("o_orderdate"))
+    rules = [
+        ColumnRule("o_orderdate", "DATE(yyyy/MM/dd)"),
+        ColumnRule("o_day", "DATE"),
+        ColumnRule("o_custkey", "DATE(yyyy-MM-dd)"),
+        ColumnRule("o_orderdate", "DATETIME"),
+        ColumnRule("o_orderpriority", "DATE(yyyy/MM/dd)"),
+    ]
+    return _shown(data_types_report(orders, rules, keep_zero=True))
+
+
 @query
 def not_null(spark, sf_dir):
     names = ("column_x", "excel_cell", "row_y", "as_of")
@@ -120,6 +161,16 @@ def primary_key_lineitem(spark, sf_dir):
     return _shown(primary_key_report(lines, ["l_orderkey", "l_linenumber"], keep_zero=True))
 
 
+@query
+def primary_key_odd_names(spark, sf_dir):
+    """Key columns called like the counters inside the check."""
+    lines = table(spark, sf_dir, "lineitem").select(
+        F.col("l_orderkey").alias("surplus"), F.col("l_linenumber").alias("none"), F.col("l_suppkey").alias("k0")
+    )
+    first = primary_key_report(lines, ["surplus", "none"], keep_zero=True)
+    return _shown(first.unionByName(primary_key_report(lines, ["k0", "none"], keep_zero=True)))
+
+
 @query
 def primary_key_conversations(spark, sf_dir):
     turns = table(spark, sf_dir, "conversations")
@@ -226,6 +277,29 @@ def referential_shared(spark, sf_dir):
     return _shown(report)
 
 
+@query
+def referential_large(spark, sf_dir):
+    """References that may not be broadcast: whole numbers and texts."""
+    given = given_references(spark, sf_dir)
+
+    def load(database, name, column):
+        reference = given(database, name, column)
+        return reference.where(f"{column} % 3 <> 0") if name == "orders" else reference
+
+    lines = table(spark, sf_dir, "lineitem").withColumn(
+        "supplier_text", F.col("l_suppkey").cast("string")
+    )
+    rules = [
+        ColumnRule(name, referential_bbdd="given", referential_table_field_name=text)
+        for name, text in {
+            "l_orderkey": "orders.o_orderkey",
+            "supplier_text": "part.p_partkey",
+            "l_returnflag": "orders.o_orderkey",
+        }.items()
+    ]
+    return _shown(references_report(lines, rules, load, True, BroadcastBounds(0, 0)))
+
+
 @query
 def reference_orders_customers(spark, sf_dir):
     """The distinct values of a reference column, as text."""
@@ -237,15 +311,13 @@ def reference_orders_customers(spark, sf_dir):
 
 @query
 def exactly_one(spark, sf_dir):
-    names = ("data_as_of", "cristine_unit", "excel_title")
-    rule = ExactlyOne(("template_code", "sheet"), "data_name", names)
+    rule = ExactlyOne(("template_code", "sheet"), "data_name", REQUIRED_NAMES)
     return _shown(business_report(mixed(spark, sf_dir), [rule], keep_zero=True))
 
 
 @query
 def exactly_one_all_groups(spark, sf_dir):
-    names = ("data_as_of", "cristine_unit", "excel_title")
-    rule = ExactlyOne(("template_code", "sheet"), "data_name", names, include_empty_groups=True)
+    rule = ExactlyOne(("template_code", "sheet"), "data_name", REQUIRED_NAMES, include_empty_groups=True)
     return _shown(business_report(mixed(spark, sf_dir), [rule], keep_zero=True))
 
 
@@ -295,6 +367,38 @@ def business_order_lines(spark, sf_dir):
     return _shown(business_report(table(spark, sf_dir, "lineitem"), rules, keep_zero=True))
 
 
+@query
+def groups_odd_names(spark, sf_dir):
+    """Group and name columns called like the counters inside the rules."""
+    lines = table(spark, sf_dir, "lineitem").select(
+        F.col("l_orderkey").alias("rule0"),
+        F.col("l_suppkey").alias("rule2"),
+        F.col("l_linenumber").alias("k0"),
+        F.col("l_returnflag").alias("none"),
+    )
+    rules = [
+        ExactlyOne(("rule0",), "k0", ("1", "2")),
+        AtLeastOne(("rule2", "rule0"), "none", "r"),
+    ]
+    return _shown(business_report(lines, rules, keep_zero=True))
+
+
+@query
+def report_order(spark, sf_dir):
+    """Places of report rows: by phase, kind of check and place in the rules."""
+    rows = mixed(spark, sf_dir)
+    reports = [
+        business_report(rows, keep_zero=True),
+        references_report(rows, RULES, template_references(spark), keep_zero=True),
+        technical_report(rows, RULES, keep_zero=True),
+    ]
+    first, *others = reports
+    for other in others:
+        first = first.unionByName(other)
+    ordered = [(i, r.check_name, r.column_name) for i, r in enumerate(collect_report(first))]
+    return local_frame(spark, ordered, _PLACES)
+
+
 @query
 def prefix_pages(spark, sf_dir):
     rule = StartsWith("url", "https://")
@@ -403,6 +507,12 @@ def latest_states(spark, sf_dir):
     return current_status(_status_of_events(spark, sf_dir))
 
 
+@query
+def compacted_states(spark, sf_dir):
+    """Latest states out of the compacted status table."""
+    return current_status(compacted_status(_status_of_events(spark, sf_dir)))
+
+
 @query
 def open_requests(spark, sf_dir):
     """Requests still to do, from a long queue and a long status table."""
@@ -419,13 +529,15 @@ def open_requests(spark, sf_dir):
 
 @query
 def rules_of_type(spark, sf_dir):
-    """Rules of one table type, from a long rule table."""
+    """Rules of one table type in order, from a long rule table."""
     rules = table(spark, sf_dir, "part").select(
         F.col("p_brand").alias("id_type_table"),
         F.expr("CASE WHEN p_size % 7 = 0 THEN NULL ELSE p_size END").alias("field_position"),
         F.concat_ws("_", "p_name", "p_partkey").alias("field_name"),
     )
-    return rule_rows(rules, "Brand#2")
+    rows = rule_rows(rules, "Brand#2").collect()
+    ordered = [(i, r.id_type_table, r.field_position, r.field_name) for i, r in enumerate(rows)]
+    return local_frame(spark, ordered, _PLACED_RULES)
 
 
 @query
@@ -448,10 +560,40 @@ def key_ranges(spark, sf_dir):
     low, high = lines.agg(F.min("l_orderkey"), F.max("l_orderkey")).first()
     counts = {
         str(i): F.count(F.when(F.expr(condition), True)).alias(str(i))
-        for i, condition in enumerate(range_predicates("l_orderkey", low, high))
+        for i, condition in enumerate(range_predicates("l_orderkey", low, high, 12))
     }
     return (
         lines.agg(*counts.values())
         .unpivot([], list(counts), "range_no", "n_rows")
         .withColumn("range_no", F.col("range_no").cast("int"))
     )
+
+
+@query
+def key_ranges_skewed(spark, sf_dir):
+    """Rows per range cut by counting: keys with a far outlier and NULLs, texts, and times."""
+    lines = table(spark, sf_dir, "lineitem").select(
+        F.expr(
+            "CASE WHEN l_orderkey % 50 = 0 THEN NULL WHEN l_orderkey = 1 THEN 999999999999"
+            " ELSE l_orderkey END"
+        ).alias("k")
+    )
+    texts = table(spark, sf_dir, "documents").select(F.col("text").alias("k"))
+    times = table(spark, sf_dir, "orders").select(F.col("o_orderdate").alias("k"))
+    results = []
+    for name, rows in {"numbers": lines, "texts": texts, "times": times}.items():
+        rows.createOrReplaceTempView("rows_to_cut")
+        cuts = [r.cut for r in spark.sql(cut_query("rows_to_cut", "k", 8)).collect()]
+        counts = {
+            str(i): F.count(F.when(F.expr(condition), True)).alias(str(i))
+            for i, condition in enumerate(cut_predicates("k", cuts))
+        }
+        results.append(
+            rows.agg(*counts.values())
+            .unpivot([], list(counts), "range_no", "n_rows")
+            .select(F.lit(name).alias("keys"), F.col("range_no").cast("int"), "n_rows")
+        )
+    first, *others = results
+    for other in others:
+        first = first.unionByName(other)
+    return first

@@ -2,19 +2,18 @@
 
 from __future__ import annotations
 
-import tempfile
-import uuid
 from collections.abc import Callable
 from datetime import UTC, datetime
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark import StorageLevel
+from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from tablecheck.local import local_frame
 from tablecheck.plans import RequestRunner
 from tablecheck.registry.fixtures import RULES, clean, mixed, template_references
 from tablecheck.schemas import CONFIG_SCHEMA, LOG_SCHEMA, RULE_SCHEMA, STATUS_SCHEMA, TRIGGER_SCHEMA
-from tablecheck.sinks import file_sink
 
 # Table types: with header, without, with a date rule that has no format, and one without any
 # configuration.
@@ -44,12 +43,6 @@ def _replace(column: str, condition: str, value: str) -> Callable[[DataFrame], D
     return lambda df: df.withColumn(column, changed)
 
 
-def stored(df: DataFrame, path: str) -> DataFrame:
-    """The frame as a written table, which every later pass reads by column."""
-    df.write.parquet(path)
-    return df.sparkSession.read.parquet(path)
-
-
 def scenario_tables(
     clean_table: DataFrame, mixed_table: DataFrame
 ) -> Callable[[str], DataFrame]:
@@ -116,39 +109,40 @@ def control_tables(spark: SparkSession) -> tuple[DataFrame, DataFrame, DataFrame
     return triggers, config, rules
 
 
-def shared_folder(spark: SparkSession) -> str:
-    """A new folder that every executor sees: below the checkpoint folder the session names.
+class KeptRows:
+    """A sink that keeps what it is given: the few rows of a log or a status table."""
 
-    Only a local session may go without that setting.
-    """
-    root = spark.conf.get("spark.checkpoint.dir", None)
-    if root:
-        return f"{root.rstrip('/')}/tablecheck-{uuid.uuid4().hex}"
-    if spark.sparkContext.master.startswith("local"):
-        return tempfile.mkdtemp(prefix="tablecheck-")
-    raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
+    def __init__(self, spark: SparkSession, schema: StructType) -> None:
+        self._spark, self._schema = spark, schema
+        self.rows: list[Row] = []
+
+    def __call__(self, df: DataFrame) -> None:
+        self.rows += df.select(*self._schema.fieldNames()).collect()
+
+    def frame(self) -> DataFrame:
+        return local_frame(self._spark, self.rows, self._schema)
 
 
 def run_requests(spark: SparkSession, sf_dir: str, mode: str = "fused") -> tuple[DataFrame, DataFrame]:
-    """Run all requests into a log and a status table, and read both back."""
+    """Run all requests; returns their log and their states.
+
+    The two tables behind all requests are persisted while they run, and nothing is written.
+    """
     triggers, config, rules = control_tables(spark)
-    folder = shared_folder(spark)
-    log, status = f"{folder}/log", f"{folder}/status"
-    load_table = scenario_tables(
-        stored(clean(spark, sf_dir), f"{folder}/clean"),
-        stored(mixed(spark, sf_dir), f"{folder}/mixed"),
-    )
-    RequestRunner(
-        spark,
-        config,
-        rules,
-        load_table=load_table,
-        load_reference=template_references(spark),
-        log_sink=file_sink(log),
-        status_sink=file_sink(status),
-        mode=mode,
-    ).run_pending(triggers)
-    return (
-        spark.read.schema(LOG_SCHEMA).parquet(log),
-        spark.read.schema(STATUS_SCHEMA).parquet(status),
-    )
+    log, status = KeptRows(spark, LOG_SCHEMA), KeptRows(spark, STATUS_SCHEMA)
+    tables = [build(spark, sf_dir).persist(StorageLevel.MEMORY_AND_DISK) for build in (clean, mixed)]
+    try:
+        RequestRunner(
+            spark,
+            config,
+            rules,
+            load_table=scenario_tables(*tables),
+            load_reference=template_references(spark),
+            log_sink=log,
+            status_sink=status,
+            mode=mode,
+        ).run_pending(triggers)
+    finally:
+        for table in tables:
+            table.unpersist()
+    return log.frame(), status.frame()

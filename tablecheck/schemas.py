@@ -52,6 +52,19 @@ LOG_SCHEMA = _schema(
     ("execution_timestamp", _time),
 )
 
+# One business rule per row; ``names`` are separated by commas, what a kind does not use stays null.
+BUSINESS_SCHEMA = _schema(
+    ("id_type_table", _text),
+    ("position", _int),
+    ("kind", _text),
+    ("column_name", _text),
+    ("group_columns", _text),
+    ("names", _text),
+    ("prefix", _text),
+    ("n_cols", _int),
+    ("n_rows", _int),
+)
+
 # One row per state a request went through; ``seq`` orders them.
 STATUS_SCHEMA = _schema(
     ("id_trigger", _int),

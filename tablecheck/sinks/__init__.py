@@ -1,7 +1,6 @@
 from tablecheck.sinks.log import append_log, capped_message, log_rows
-from tablecheck.sinks.status import StatusWriter, current_status
+from tablecheck.sinks.status import StatusWriter, compacted_status, current_status
 from tablecheck.sinks.targets import (
-    MemorySink,
     file_sink,
     jdbc_sink,
     overwrite_jdbc_table,
@@ -9,10 +8,10 @@ from tablecheck.sinks.targets import (
 )
 
 __all__ = [
-    "MemorySink",
     "StatusWriter",
     "append_log",
     "capped_message",
+    "compacted_status",
     "current_status",
     "file_sink",
     "jdbc_sink",

@@ -22,6 +22,22 @@ def current_status(status: DataFrame) -> DataFrame:
     )
 
 
+def compacted_status(status: DataFrame) -> DataFrame:
+    """At most two rows per request with the same latest state and row count as all of ``status``.
+
+    Every state is one small row of its own when it is appended. To compact a status table, write this
+    to a new one and go on with that.
+    """
+    counted = F.col("row_count").isNotNull()
+    whole = F.struct(*status.columns)
+    kept = status.groupBy("id_trigger").agg(
+        F.max_by(whole, "seq").alias("latest"),
+        F.max_by(whole, F.when(counted, F.col("seq"))).alias("counted"),
+    )
+    rows = kept.select(F.explode(F.array_distinct(F.array("latest", "counted"))).alias("row"))
+    return rows.where("row is not null").select("row.*")
+
+
 class StatusWriter:
     """Appends states, numbered so that later ones sort behind earlier ones."""
 

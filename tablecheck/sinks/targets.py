@@ -4,17 +4,14 @@ from __future__ import annotations
 
 from collections.abc import Callable, Mapping
 
-from pyspark.sql import DataFrame, Row, SparkSession
-from pyspark.sql.types import StructType
-
-from tablecheck.local import local_frame
+from pyspark.sql import DataFrame
 
 Sink = Callable[[DataFrame], None]
 
 
-def file_sink(path: str, fmt: str = "parquet") -> Sink:
+def file_sink(path: str, fmt: str = "parquet", **options) -> Sink:
     """Append to a folder; each batch is a few rows, hence one file."""
-    return lambda df: df.coalesce(1).write.mode("append").format(fmt).save(path)
+    return lambda df: df.coalesce(1).write.mode("append").format(fmt).options(**options).save(path)
 
 
 def table_sink(name: str) -> Sink:
@@ -35,17 +32,3 @@ def overwrite_jdbc_table(
     if column_types:
         writer = writer.option("createTableColumnTypes", column_types)
     writer.jdbc(url, table, properties=dict(properties))
-
-
-class MemorySink:
-    """Keeps what it is given; for short runs whose results are looked at in the same session."""
-
-    def __init__(self, schema: StructType) -> None:
-        self.schema = schema
-        self.rows: list[Row] = []
-
-    def __call__(self, df: DataFrame) -> None:
-        self.rows += df.select(*self.schema.fieldNames()).collect()
-
-    def df(self, spark: SparkSession) -> DataFrame:
-        return local_frame(spark, self.rows, self.schema)

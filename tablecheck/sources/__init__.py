@@ -1,7 +1,15 @@
-from tablecheck.sources.control import config_for, pending_requests, rule_rows, rules_for
+from tablecheck.sources.control import (
+    business_rules_for,
+    config_for,
+    pending_requests,
+    rule_rows,
+    rules_for,
+)
 from tablecheck.sources.tables import (
     catalog_references,
     catalog_tables,
+    cut_predicates,
+    cut_query,
     file_references,
     file_tables,
     jdbc_references,
@@ -11,9 +19,12 @@ from tablecheck.sources.tables import (
 )
 
 __all__ = [
+    "business_rules_for",
     "catalog_references",
     "catalog_tables",
     "config_for",
+    "cut_predicates",
+    "cut_query",
     "file_references",
     "file_tables",
     "jdbc_references",

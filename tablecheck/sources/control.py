@@ -6,7 +6,14 @@ from pyspark.sql import DataFrame, Row
 from pyspark.sql import functions as F
 
 from tablecheck.fixed_values import PENDING
-from tablecheck.rules import ColumnRule
+from tablecheck.operators.functional import (
+    AtLeastOne,
+    BusinessRule,
+    CellInRange,
+    ExactlyOne,
+    StartsWith,
+)
+from tablecheck.rules import ColumnRule, RuleError
 from tablecheck.sinks.status import current_status
 
 
@@ -43,3 +50,26 @@ def rule_rows(rules: DataFrame, id_type_table: str) -> DataFrame:
 
 def rules_for(rules: DataFrame, id_type_table: str) -> list[ColumnRule]:
     return [ColumnRule.from_row(row) for row in rule_rows(rules, id_type_table).collect()]
+
+
+def business_rules_for(business: DataFrame, id_type_table: str) -> list[BusinessRule]:
+    """The business rules of a table type in order; none if the table holds none."""
+    rows = business.filter(F.col("id_type_table") == id_type_table)
+    return [_business_rule(row) for row in rows.orderBy(F.asc_nulls_last("position")).collect()]
+
+
+def _business_rule(row: Row) -> BusinessRule:
+    groups, names = _listed(row.group_columns), _listed(row.names)
+    if row.kind in ("exactly_one", "exactly_one_all_groups"):
+        return ExactlyOne(groups, row.column_name, names, row.kind == "exactly_one_all_groups")
+    if row.kind == "at_least_one":
+        return AtLeastOne(groups, row.column_name, row.prefix)
+    if row.kind == "starts_with":
+        return StartsWith(row.column_name, row.prefix)
+    if row.kind == "cell_range":
+        return CellInRange(row.column_name, row.n_cols, row.n_rows)
+    raise RuleError(f"{row.kind!r} is not a kind of business rule")
+
+
+def _listed(text: str | None) -> tuple[str, ...]:
+    return tuple(part.strip() for part in (text or "").split(",") if part.strip())

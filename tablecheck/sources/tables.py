@@ -3,23 +3,35 @@
 from __future__ import annotations
 
 import re
-from collections.abc import Callable, Mapping
+import warnings
+from collections.abc import Callable, Mapping, Sequence
 from datetime import date, datetime, timedelta
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.types import StructType
 
-from tablecheck.fixed_values import FETCH_SIZE, READ_PARTITIONS
+from tablecheck.fixed_values import FETCH_SIZE
 from tablecheck.functions import quoted
 from tablecheck.operators.referential import LoadReference
 
 LoadTable = Callable[[str], DataFrame]
 
+# Rows that one task reads from a database.
+ROWS_PER_RANGE = 1_000_000
+
 _SQL_NAME = re.compile(r"[A-Za-z_][A-Za-z0-9_$]*(\.[A-Za-z_][A-Za-z0-9_$]*)*")
 
 
-def file_tables(spark: SparkSession, root: str, fmt: str = "parquet", **options) -> LoadTable:
-    """Tables as files ``root/<name>.<fmt>``."""
-    return lambda name: spark.read.format(fmt).options(**options).load(f"{root}/{name}.{fmt}")
+def file_tables(
+    spark: SparkSession, root: str, fmt: str = "parquet", schema: StructType | None = None, **options
+) -> LoadTable:
+    """Tables as files ``root/<name>.<fmt>``, read with the options and the schema, if given."""
+
+    def load(name: str) -> DataFrame:
+        reader = spark.read.format(fmt).options(**options)
+        return (reader if schema is None else reader.schema(schema)).load(f"{root}/{name}.{fmt}")
+
+    return load
 
 
 def catalog_tables(spark: SparkSession) -> LoadTable:
@@ -38,7 +50,7 @@ def catalog_references(spark: SparkSession) -> LoadReference:
 
 
 def range_predicates(
-    column: str, lower: int | date, upper: int | date, partitions: int = READ_PARTITIONS
+    column: str, lower: int | date, upper: int | date, partitions: int
 ) -> list[str]:
     """SQL conditions that put every row into exactly one of ``partitions`` key ranges.
 
@@ -72,7 +84,43 @@ def _plus(lower, steps: int):
 
 
 def _literal(value) -> str:
-    return f"DATE '{value.isoformat()}'" if isinstance(value, date) else str(value)
+    if isinstance(value, datetime):
+        return f"TIMESTAMP '{value.isoformat(sep=' ')}'"
+    if isinstance(value, date):
+        return f"DATE '{value.isoformat()}'"
+    if isinstance(value, str):
+        return "'" + value.replace("'", "''") + "'"
+    return str(value)
+
+
+def cut_query(table: str, column: str, partitions: int) -> str:
+    """SQL for the lowest key of each of ``partitions`` parts with equally many rows."""
+    _require_name(column)
+    return (
+        f"SELECT MIN({column}) AS cut FROM (SELECT {column}, NTILE({partitions}) OVER"
+        f" (ORDER BY {column}) AS part FROM {_require_name(table)} WHERE {column} IS NOT NULL) parts"
+        " GROUP BY part"
+    )
+
+
+def cut_predicates(column: str, cuts: Sequence) -> list[str]:
+    """SQL conditions that put every row into exactly one of the ranges between the cuts.
+
+    ``cuts`` are the lowest keys of the ranges, of any type that has an order. The first range is open
+    below and the last above, so keys that came later are not lost; NULL keys have a range of their
+    own. A key that is the lowest of several parts makes one range.
+    """
+    _require_name(column)
+    edges = [_literal(cut) for cut in sorted(set(cuts))[1:]]
+    missing = f"{column} IS NULL"
+    if not edges:
+        return [f"{column} IS NOT NULL", missing]
+    return [
+        f"{column} < {edges[0]}",
+        *[f"{column} >= {a} AND {column} < {b}" for a, b in zip(edges, edges[1:])],
+        f"{column} >= {edges[-1]}",
+        missing,
+    ]
 
 
 def _require_name(name: str) -> str:
@@ -92,28 +140,28 @@ def read_jdbc_table(
     table: str,
     properties: Mapping[str, str],
     key_column: str | None = None,
-    partitions: int = READ_PARTITIONS,
+    partitions: int | None = None,
 ) -> DataFrame:
-    """A database table; with a numeric or date key, read in parallel key ranges."""
+    """A database table; with a key of any ordered type, read in parallel ranges of that key.
+
+    The database cuts the ranges so that each has as many rows; there are as many as the table's rows
+    need (``ROWS_PER_RANGE``), unless ``partitions`` says how many.
+    """
     _require_name(table)
     options = jdbc_properties(properties)
     if key_column is None:
+        warnings.warn(f"{table} is read in one task: no key column was given", stacklevel=2)
         return spark.read.jdbc(url, table, properties=options)
-    _require_name(key_column)
-    bounds = spark.read.jdbc(
-        url,
-        f"(SELECT MIN({key_column}) AS lo, MAX({key_column}) AS hi FROM {table}) b",
-        properties=options,
-    ).first()
-    if bounds[0] is None:
-        return spark.read.jdbc(url, table, properties=options)
-    predicates = range_predicates(key_column, *map(_whole, bounds), partitions)
-    return spark.read.jdbc(url, table, predicates=predicates, properties=options)
 
+    def ask(query: str) -> list:
+        return [row[0] for row in spark.read.jdbc(url, f"({query}) q", properties=options).collect()]
 
-def _whole(bound):
-    """Numeric keys as whole numbers; the open outer ranges take what rounding leaves."""
-    return bound if isinstance(bound, date) else int(bound)
+    if partitions is None:
+        (n_rows,) = ask(f"SELECT COUNT(*) AS n FROM {table}")
+        partitions = max(1, -(-n_rows // ROWS_PER_RANGE))
+    cuts = ask(cut_query(table, key_column, partitions))
+    predicates = cut_predicates(key_column, cuts)
+    return spark.read.jdbc(url, table, predicates=predicates, properties=options)
 
 
 def jdbc_tables(
@@ -121,7 +169,7 @@ def jdbc_tables(
     url: str,
     properties: Mapping[str, str],
     key_columns: Mapping[str, str] | None = None,
-    partitions: int = READ_PARTITIONS,
+    partitions: int | None = None,
 ) -> LoadTable:
     """Database tables; ``key_columns`` names the key to split a table on."""
     keys = key_columns or {}

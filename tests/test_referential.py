@@ -31,7 +31,7 @@ def found(report):
 def either_join(request, monkeypatch):
     """Both ways to join, whatever the size of the reference."""
     if request.param == "shuffled":
-        monkeypatch.setattr(referential, "BROADCAST_ROWS", 0)
+        monkeypatch.setattr(referential, "is_broadcastable", lambda *_: False)
     return request.param
 
 
@@ -123,17 +123,15 @@ def test_reference_values(spark):
     assert sorted(r.value for r in reference_values(df, "k").collect()) == ["1", "2"]
 
 
-def test_size_bounds(text, monkeypatch):
-    frame = text("value", ["abc", "de"])
-    assert referential.is_broadcastable(frame, frame)
-    monkeypatch.setattr(referential, "BROADCAST_BYTES", 4)
-    assert not referential.is_broadcastable(frame, frame)
-    monkeypatch.setattr(referential, "BROADCAST_ROWS", 1)
-    assert not referential.is_broadcastable(frame, frame)
+def test_size_bounds(text):
+    frame, bounds = text("value", ["abc", "de"]), referential.BroadcastBounds
+    assert referential.is_broadcastable(frame, bounds())
+    assert not referential.is_broadcastable(frame, bounds(size=4))
+    assert not referential.is_broadcastable(frame, bounds(rows=1))
 
 
 def test_large_reference_needs_one_shuffle_per_side(text, monkeypatch, spark):
-    monkeypatch.setattr(referential, "BROADCAST_ROWS", 0)
+    monkeypatch.setattr(referential, "is_broadcastable", lambda *_: False)
     threshold = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     try:

@@ -6,7 +6,8 @@ from pyspark import StorageLevel
 from tablecheck import ColumnRule, RequestRunner
 from tablecheck.local import local_frame
 from tablecheck.schemas import CONFIG_SCHEMA, LOG_SCHEMA, RULE_SCHEMA, STATUS_SCHEMA, TRIGGER_SCHEMA
-from tablecheck.sinks import MemorySink, current_status
+from tablecheck.registry.scenarios import KeptRows
+from tablecheck.sinks import current_status
 
 AT = datetime(2024, 1, 1)
 
@@ -28,7 +29,7 @@ def job(spark, text):
     }
 
     class Job:
-        log, status = MemorySink(LOG_SCHEMA), MemorySink(STATUS_SCHEMA)
+        log, status = KeptRows(spark, LOG_SCHEMA), KeptRows(spark, STATUS_SCHEMA)
         loaded = []
 
         def load(self, name):
@@ -99,7 +100,7 @@ def test_row_count_and_duration(job, spark):
     job.run(("good", "T", 0))
     assert [r.row_count for r in job.status.rows] == [2, None, None, None, None, None]
     assert job.status.rows[-1].duration_s > 0
-    assert current_status(job.status.df(spark)).collect() == [(1, 2, 2)]
+    assert current_status(job.status.frame()).collect() == [(1, 2, 2)]
 
 
 def test_a_failing_request_does_not_stop_the_next(job):
@@ -156,8 +157,8 @@ def test_status_that_cannot_be_written(job):
 
 def test_done_requests_are_not_repeated(job, spark):
     triggers = local_frame(spark, [(1, "T", "good", AT, 0, None)], TRIGGER_SCHEMA)
-    assert job.runner().run_pending(triggers, job.status.df(spark)) == 1
-    assert job.runner().run_pending(triggers, job.status.df(spark)) == 0
+    assert job.runner().run_pending(triggers, job.status.frame()) == 1
+    assert job.runner().run_pending(triggers, job.status.frame()) == 0
 
 
 def test_persist_is_released(job, spark):

@@ -6,7 +6,6 @@ from pyspark.sql import functions as F
 from tablecheck import AtLeastOne, ColumnRule, ExactlyOne, business_report, primary_key_report
 from tablecheck import references_report
 from tablecheck.operators import referential
-from tablecheck.registry.scenarios import shared_folder
 
 ROWS = 30_000
 
@@ -37,11 +36,11 @@ def test_groups(skewed):
 
 
 @pytest.mark.parametrize("bound", [0, 1000])
-def test_references(skewed, spark, monkeypatch, bound):
-    monkeypatch.setattr(referential, "BROADCAST_ROWS", bound)
+def test_references(skewed, spark, bound):
     known = spark.range(60).select(F.col("id").cast("string").alias("c"))
     rule = ColumnRule("fk", referential_bbdd="d", referential_table_field_name="t.c")
-    report = references_report(skewed, [rule], lambda *_: known)
+    bounds = referential.BroadcastBounds(rows=bound)
+    report = references_report(skewed, [rule], lambda *_: known, bounds=bounds)
     assert report.first().n_violations == 41
     assert counted_before_shuffle(report)
 
@@ -54,25 +53,3 @@ def counted_before_shuffle(report) -> bool:
     lines = [line.lstrip(" :+-") for line in plan.splitlines()]
     below = [b for a, b in zip(lines, lines[1:]) if a.startswith("Exchange hashpartitioning")]
     return bool(below) and all(line.startswith("HashAggregate") for line in below)
-
-
-class Session:
-    def __init__(self, master, folder=None):
-        self.master, self.folder = master, folder
-        self.conf, self.sparkContext = self, self
-
-    def get(self, key, default):
-        assert key == "spark.checkpoint.dir"
-        return self.folder or default
-
-
-def test_results_go_below_the_folder_the_session_names():
-    found = shared_folder(Session("yarn", "hdfs:///shared/"))
-    assert found.startswith("hdfs:///shared/tablecheck-")
-    assert found != shared_folder(Session("yarn", "hdfs:///shared/"))
-
-
-def test_only_a_local_session_may_use_a_local_folder():
-    assert shared_folder(Session("local[4]"))
-    with pytest.raises(RuntimeError, match=r"spark\.checkpoint\.dir"):
-        shared_folder(Session("spark://host:7077"))

@@ -4,11 +4,22 @@ import pytest
 from pyspark.sql import functions as F
 
 from tablecheck.local import local_frame
-from tablecheck.schemas import CONFIG_SCHEMA, RULE_SCHEMA, STATUS_SCHEMA, TRIGGER_SCHEMA
+from tablecheck.operators import AtLeastOne, CellInRange, ExactlyOne, StartsWith
+from tablecheck.rules import RuleError
+from tablecheck.schemas import (
+    BUSINESS_SCHEMA,
+    CONFIG_SCHEMA,
+    RULE_SCHEMA,
+    STATUS_SCHEMA,
+    TRIGGER_SCHEMA,
+)
 from tablecheck.sources import (
+    business_rules_for,
     catalog_references,
     catalog_tables,
     config_for,
+    cut_predicates,
+    cut_query,
     file_references,
     file_tables,
     jdbc_references,
@@ -109,43 +120,107 @@ def test_catalog(spark):
 
 
 class Reader:
-    """Stands in for a session; keeps the arguments of its JDBC reads."""
+    """Stands in for a session; keeps the arguments of its JDBC reads and answers what they ask."""
 
-    def __init__(self, bounds=None):
-        self.calls, self.read, self.bounds = [], self, bounds
+    def __init__(self, n_rows=0, cuts=()):
+        self.calls, self.read = [], self
+        self.answers = {"COUNT": [(n_rows,)], "MIN": [(cut,) for cut in cuts]}
 
     def jdbc(self, url, table, predicates=None, properties=None):
         self.calls.append((table, predicates, properties))
         return self
 
-    def first(self):
-        return self.bounds
+    def collect(self):
+        asked = self.calls[-1][0]
+        return next(rows for word, rows in self.answers.items() if f"SELECT {word}(" in asked)
 
 
-def test_jdbc_read_in_key_ranges():
-    session = Reader(bounds=(0, 119))
+def test_jdbc_read_in_counted_ranges():
+    session = Reader(n_rows=2_400_000, cuts=[80, 0, 40])
     read_jdbc_table(session, "jdbc:x", "s.t", {"user": "u"}, "k")
-    bounds, data = session.calls
-    assert bounds[0] == "(SELECT MIN(k) AS lo, MAX(k) AS hi FROM s.t) b"
-    assert data[0] == "s.t"
-    assert len(data[1]) == 12
-    assert data[2] == {"user": "u", "fetchsize": "10000"}
+    count, cuts, data = session.calls
+    assert count[0] == "(SELECT COUNT(*) AS n FROM s.t) q"
+    assert "NTILE(3)" in cuts[0]
+    assert data == (
+        "s.t", ["k < 40", "k >= 40 AND k < 80", "k >= 80", "k IS NULL"],
+        {"user": "u", "fetchsize": "10000"},
+    )
 
 
 def test_jdbc_read_without_key_or_rows():
-    session = Reader(bounds=(None, None))
-    read_jdbc_table(session, "jdbc:x", "t", {"fetchsize": "5"})
+    session = Reader()
+    with pytest.warns(UserWarning, match="one task"):
+        read_jdbc_table(session, "jdbc:x", "t", {"fetchsize": "5"})
     read_jdbc_table(session, "jdbc:x", "t", {}, "k")
-    assert [call[1] for call in session.calls] == [None, None, None]
+    assert [call[1] for call in session.calls if call[0] == "t"] == [
+        None, ["k IS NOT NULL", "k IS NULL"],
+    ]
     assert session.calls[0][2] == {"fetchsize": "5"}
 
 
 def test_jdbc_tables_split_those_with_a_key():
-    session = Reader(bounds=(date(2024, 1, 1), date(2024, 3, 1)))
-    load = jdbc_tables(session, "jdbc:x", {}, {"t": "day"}, partitions=3)
+    session = Reader(cuts=[date(2024, 1, 1), date(2024, 2, 1)])
+    load = jdbc_tables(session, "jdbc:x", {}, {"t": "day"}, partitions=2)
     load("t")
-    load("u")
-    assert [len(call[1] or []) for call in session.calls] == [0, 3, 0]
+    with pytest.warns(UserWarning):
+        load("u")
+    assert session.calls[1][1] == [
+        "day < DATE '2024-02-01'", "day >= DATE '2024-02-01'", "day IS NULL",
+    ]
+    assert session.calls[2][1] is None
+
+
+@pytest.mark.parametrize(
+    "values",
+    [
+        list(range(200)),
+        [7] * 150 + list(range(40)) + [10**15],
+        ["it's", "", "a", "b", "\u00e9", "zz"] * 9,
+        [datetime(2024, 1, 1, 0, 0, s % 60, s) for s in range(90)],
+        [None, None],
+        [],
+    ],
+)
+def test_cuts_hold_every_row_once(spark, values):
+    kind = next((type(v) for v in values if v is not None), int)
+    ddl = {int: "long", str: "string", datetime: "timestamp_ntz"}[kind]
+    spark.createDataFrame([(v,) for v in [*values, None]], f"k {ddl}").createOrReplaceTempView("cut_me")
+    cuts = [r.cut for r in spark.sql(cut_query("cut_me", "k", 7)).collect()]
+    conditions = cut_predicates("k", cuts)
+    rows = spark.table("cut_me")
+    hits = sum((F.when(F.expr(c), 1).otherwise(0) for c in conditions), F.lit(0))
+    assert rows.select(hits.alias("n")).distinct().collect() == [(1,)]
+    sizes = [rows.filter(c).count() for c in conditions[:-1]]
+    hottest = max((values.count(v) for v in values if v is not None), default=0)
+    assert max(sizes) <= 2 * max(hottest, len(values) / 7 + 1)
+
+
+def test_schema_and_options_of_files(spark, tmp_path):
+    (tmp_path / "t.csv").write_text("1;x\n2;y\n")
+    load = file_tables(spark, str(tmp_path), "csv", sep=";")
+    assert load("t").columns == ["_c0", "_c1"]
+    schema = spark.range(0).schema
+    assert file_tables(spark, str(tmp_path), "csv", schema, sep=";")("t").dtypes == [("id", "bigint")]
+
+
+def test_business_rules_as_rows(spark):
+    rows = [
+        ("T", 2, "starts_with", "a", None, None, "_c", None, None),
+        ("T", 1, "exactly_one", "n", "g, h", "x,y", None, None, None),
+        ("T", 3, "at_least_one", "n", "g", None, "z", None, None),
+        ("T", 4, "cell_range", "c", None, None, None, 5, None),
+        ("U", 1, "unheard_of", "c", None, None, None, None, None),
+    ]
+    table = local_frame(spark, rows, BUSINESS_SCHEMA)
+    assert business_rules_for(table, "T") == [
+        ExactlyOne(("g", "h"), "n", ("x", "y")),
+        StartsWith("a", "_c"),
+        AtLeastOne(("g",), "n", "z"),
+        CellInRange("c", 5, None),
+    ]
+    assert business_rules_for(table, "nothing") == []
+    with pytest.raises(RuleError, match="unheard_of"):
+        business_rules_for(table, "U")
 
 
 def test_jdbc_references_are_distinct_at_the_source():
