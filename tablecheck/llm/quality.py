@@ -236,5 +236,9 @@ def with_score(docs: DataFrame, model: RuleModel) -> DataFrame:
     """``docs`` with ``score`` and ``predicted``."""
     inner = docs.select(F.struct(*docs.columns).alias("doc"), "text")
     measured, names = with_statistics(inner)
-    scored = measured.select("doc", model.column().alias("score"))
+    # A generator of one row stands between statistics and rules. Without it, a caller's filter on the
+    # score would be moved below both, with every statistic worked out again for each rule.
+    one = F.explode(F.array(F.struct(*names))).alias("statistics")
+    scored = measured.select("doc", one).select("doc", "statistics.*")
+    scored = scored.select("doc", model.column().alias("score"))
     return scored.select("doc.*", "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
