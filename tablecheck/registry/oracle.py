@@ -53,17 +53,18 @@ def _not_date(c: str) -> str:
     return f"({_filled(c)} AND NOT ({shape} AND try_strptime({c}, '%Y/%m/%d') IS NOT NULL))"
 
 
+def _column_names(n_cols: int) -> str:
+    """The names of a sheet's first columns: A to Z, then AA, AB and so on."""
+    single = [chr(65 + i) for i in range(26)]
+    names = single + [a + b for a in single for b in single]
+    return ", ".join(f"'{name}'" for name in names[:n_cols])
+
+
 def _outside(c: str, n_cols: int, n_rows: str) -> str:
-    letters = f"upper(regexp_extract({c}, '^[A-Za-z]+'))"
-    column = f"""CASE length({letters})
-      WHEN 1 THEN ascii({letters}) - 64
-      WHEN 2 THEN 26 * (ascii(substr({letters}, 1, 1)) - 64) + ascii(substr({letters}, 2, 1)) - 64
-      ELSE 0 END"""
+    """A column that is none of the sheet's, or a readable row that is none of its rows."""
+    in_columns = f"upper(regexp_extract({c}, '^[A-Za-z]*')) IN ({_column_names(n_cols)})"
     row = f"TRY_CAST(regexp_extract({c}, '[0-9]+$') AS BIGINT)"
-    return (
-        f"({_filled(c)} AND (({column}) > {n_cols} OR ({column}) < 1"
-        f" OR coalesce({row} > {n_rows} OR {row} < 1, false)))"
-    )
+    return f"({_filled(c)} AND NOT ({in_columns} AND coalesce({row} BETWEEN 1 AND {n_rows}, true)))"
 
 
 def _rows_where(condition: str, source: str) -> str:

@@ -53,7 +53,7 @@ def test_query_equals_its_sql(spark, duck, name):
             },
         ),
         ("primary_key_lineitem", {"l_orderkey,l_linenumber": 14168}),
-        ("referential", {"template_code": 8}),
+        ("referential", {"template_code": 6}),
         ("referential_documents", {"doc_id": 601}),
         ("at_least_one", {"data_name": 10}),
         ("prefix", {"column_x": 100}),
