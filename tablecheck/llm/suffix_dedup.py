@@ -16,9 +16,9 @@ Suffixes are dealt into shards so that equal windows always meet, without moving
 4. Spans are gathered by document, merged and cut out.
 
 Cases: null is the empty text; texts shorter than ``window`` keep everything; repeated rows (same id and
-text) are one document and have the same result; rows with the same id and other texts are told apart by
-a hash of the text, in whose order they count; a null id comes first; an empty table gives an empty
-result. Texts of more than 2 GB are not possible in Spark. Columns other than those named are not read.
+text) are one document and have the same result; rows with the same id, or none, and other texts are told
+apart by a 64-bit hash of the text, in whose order they count; a null id comes first; an empty table gives
+an empty result. Texts of more than 2 GB are not possible in Spark. Columns other than those named are not read.
 """
 
 from __future__ import annotations
@@ -49,7 +49,7 @@ SEGMENT = np.dtype(
         ("content", "<u8"),
         ("id", "<i8"),
         ("start", "<u4"),
-        ("variant", "<u2"),
+        ("variant", "<i8"),
         ("windows", "u1"),
     ]
 )
@@ -60,7 +60,7 @@ def keyed(docs: DataFrame, *others: Column) -> DataFrame:
     text = F.coalesce(F.col("text").cast("string"), F.lit(""))
     return docs.select(
         F.coalesce(F.col("doc_id").cast("long"), F.lit(NULL_ID)).alias("id"),
-        F.pmod(F.xxhash64(text), F.lit(1 << 16)).cast("int").alias("variant"),
+        F.xxhash64(text).alias("variant"),
         text.alias("text"),
         *others,
     )
@@ -219,11 +219,11 @@ def _unpack(packet: bytes) -> np.ndarray:
     return out
 
 
-SPANS = "id long, variant int, start long, end long, anchor long"
+SPANS = "id long, variant long, start long, end long, anchor long"
 _SPANS = pa.schema(
     [
         ("id", pa.int64()),
-        ("variant", pa.int32()),
+        ("variant", pa.int64()),
         ("start", pa.int64()),
         ("end", pa.int64()),
         ("anchor", pa.int64()),
@@ -239,7 +239,7 @@ def _span_batches(rows: np.ndarray, window: int, anchored: bool) -> Iterator[pa.
         yield pa.RecordBatch.from_arrays(
             [
                 pa.array(r["id"]),
-                pa.array(r["variant"].astype(np.int32)),
+                pa.array(np.ascontiguousarray(r["variant"])),
                 pa.array(start),
                 pa.array(start + r["windows"] + (window - 1)),
                 pa.array(np.ascontiguousarray(anchor), mask=None if anchored else np.ones(len(r), bool)),
@@ -354,7 +354,7 @@ def _compare(window: int):
             return pa.RecordBatch.from_arrays(
                 [
                     pa.array(ids[p]),
-                    pa.array(variants[p].astype(np.int32)),
+                    pa.array(variants[p]),
                     pa.array(start),
                     pa.array(start + found[:, 2] + (window - 1)),
                     pa.nulls(len(p), pa.int64()),
@@ -391,9 +391,11 @@ def removed_spans(
         .groupBy("id", "variant")
         .agg(F.collect_list(F.struct("start", "end", "anchor")).alias("segments"))
     )
-    pieces = texts.join(wanted, ["id", "variant"])
+    # Repeated rows are one text: its segments are cut once. Copies collapse before the shuffle.
+    once = texts.groupBy("id", "variant").agg(F.first("text").alias("text"))
+    pieces = once.join(wanted, ["id", "variant"])
     cut = pieces.select("id", "variant", "text", "segments").mapInArrow(
-        _cut, "id long, variant int, start long, anchor long, bytes binary"
+        _cut, "id long, variant long, start long, anchor long, bytes binary"
     )
     compared = (
         cut.repartition(parts, "anchor")

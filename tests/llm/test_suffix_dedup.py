@@ -94,3 +94,48 @@ def test_whole_characters(spark):
     frame = spark.createDataFrame(rows, "doc_id long, text string")
     for r in suffix_dedup.deduplicate(spark, frame, characters=True).collect():
         bytes(r.kept).decode()
+
+
+def check_rows(spark, rows, window=100):
+    """Rows with repeated and null ids against brute force: a text is told by id and text."""
+    frame = spark.createDataFrame(rows, "doc_id long, text string").repartition(5)
+    keys = suffix_dedup.keyed(frame).distinct().collect()
+    assert len({(r.id, r.variant) for r in keys}) == len(set(rows))
+    seen, expected = set(), {}
+    for r in sorted(keys, key=lambda r: (r.id, r.variant)):
+        data = r.text.encode()
+        gone = np.zeros(len(data), dtype=bool)
+        for at in range(len(data) - window + 1):
+            piece = data[at : at + window]
+            if piece in seen:
+                gone[at : at + window] = True
+            seen.add(piece)
+        doc_id = None if r.id == suffix_dedup.NULL_ID else r.id
+        expected[doc_id, bytes(np.frombuffer(data, np.uint8)[~gone]), len(data)] = True
+    found = suffix_dedup.deduplicate(spark, frame, window).collect()
+    assert len(found) == len(rows)
+    assert {(r.doc_id, bytes(r.kept), r.n_bytes) for r in found} == set(expected)
+
+
+def random_text(rng, n):
+    return "".join(rng.choices("abcdefghijklmnopqrstuvwxyz ", k=n))
+
+
+def test_repeated_rows_beside_a_shared_passage(spark):
+    rng = random.Random(5)
+    passage = random_text(rng, 400)
+    one = passage + random_text(rng, 300)
+    rows = [(1, one)] * 4 + [(2, passage + random_text(rng, 300)), (3, random_text(rng, 50) + passage)]
+    rows += [(3, random_text(rng, 300))] * 2
+    check_rows(spark, rows)
+    frame = spark.createDataFrame(rows, "doc_id long, text string").repartition(5)
+    found = suffix_dedup.deduplicate(spark, frame).where("doc_id = 1").collect()
+    assert [bytes(r.kept).decode() for r in found] == [one] * 4
+
+
+def test_many_texts_without_an_id(spark):
+    rng = random.Random(6)
+    passage = random_text(rng, 150)
+    rows = [(None, random_text(rng, 130) + (passage if i % 10 == 0 else "")) for i in range(1000)]
+    rows += rows[:5] + [(7, rows[3][1]), (7, rows[20][1])]
+    check_rows(spark, rows)
