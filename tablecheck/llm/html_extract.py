@@ -4,8 +4,10 @@ A page is parsed into text blocks. Each block gets a log-odds of being content f
 punctuation and the elements around it; the log-odds is the capacity of its edge to the content or to
 the boilerplate terminal. Smoothness edges join neighbours in page order and siblings in the document
 tree: labelling such a pair differently costs their capacity. A maximum flow saturates the cheapest cut,
-and blocks still reachable from the content terminal are the content. Evidence from markup outweighs all
-smoothness edges of a block; the cut decides where markup says nothing.
+and blocks still reachable from the content terminal are the content. Elements and roles that are
+boilerplate by definition outweigh all smoothness edges of a block. Words in classes and ids, and being
+in or out of an article, are moderate costs that long text, neighbours and siblings can outvote; an
+article inside boilerplate is boilerplate, and where class words leave nothing of a page they don't count.
 
 Cases: null html is empty; a page without content blocks has an empty text; broken, truncated and very
 long pages are read as far as they go, an unfinished tag at the end is markup; equal rows are separate
@@ -52,6 +54,10 @@ BOILERPLATE_WORDS = frozenset(
 )
 CONTENT_TAGS = frozenset(("article", "main"))
 CONTENT_WORDS = frozenset("article content post entry story maincontent body text prose".split())
+#: Before a word they say that something is beside the element, not in it.
+BESIDE = frozenset("has with no without".split())
+#: Costs of class words and of the place of a block, against smoothness edges of at most 2.2.
+CLASS_COST, INSIDE, OUTSIDE = 3.0, 2.0, 2.5
 
 _WORD = re.compile(r"[A-Z]?[a-z]+|[A-Z]+|[0-9]+")
 _HIDDEN = re.compile(r"display\s*:\s*none|visibility\s*:\s*hidden", re.IGNORECASE)
@@ -68,6 +74,7 @@ class Element:
     skipped: bool
     number: int
     in_content: bool
+    named: bool = False
 
 
 @dataclass(slots=True)
@@ -79,6 +86,7 @@ class Block:
     content: bool
     hint: bool
     parents: tuple[int, ...]
+    named: bool = False
 
 
 class PageParser(HTMLParser):
@@ -108,7 +116,7 @@ class PageParser(HTMLParser):
             self.links += 1
         element = Element(
             tag, top.boilerplate, top.content, top.hint, top.skipped or tag in SKIPPED, self.elements,
-            top.in_content,
+            top.in_content, top.named,
         )
         if attrs or tag not in INLINE:
             self._judge(element, dict(attrs))
@@ -132,10 +140,7 @@ class PageParser(HTMLParser):
         tag = element.tag
         if tag in ("html", "body"):
             return
-        words = {
-            w.lower() for key in ("class", "id") for w in _WORD.findall(attrs.get(key) or "")
-        }
-        negative = bool(words & BOILERPLATE_WORDS)
+        negative, hint = _names(attrs)
         if (
             "hidden" in attrs
             or (attrs.get("aria-hidden") or "").lower() == "true"
@@ -143,23 +148,24 @@ class PageParser(HTMLParser):
         ):
             element.skipped = True
         if tag in CONTENT_TAGS or (attrs.get("role") or "").lower() in ("main", "article"):
-            if not negative:
+            if not element.boilerplate and not element.named:
                 self.has_content_element = True
                 element.content = element.in_content = True
-                element.boilerplate = any(
-                    e.tag in BOILERPLATE_TAGS or e.tag == "article" and e.boilerplate for e in self.stack
-                )
+            # Comments are often articles by name; an article with a content word is one.
+            if not negative or hint:
                 return
         if (
-            negative
-            or tag in BOILERPLATE_TAGS
+            tag in BOILERPLATE_TAGS
             or (attrs.get("role") or "").lower() in BOILERPLATE_ROLES
             or tag == "header" and not element.in_content
         ):
             # A heading keeps its place in the article whatever its class says.
             if not (element.in_content and re.fullmatch("h[1-6]", tag)):
                 element.boilerplate = True
-        elif words & CONTENT_WORDS:
+        elif negative and not hint:
+            if not (element.in_content and re.fullmatch("h[1-6]", tag)):
+                element.named = True
+        elif hint and not negative:
             element.hint = True
 
     def handle_endtag(self, tag):
@@ -196,14 +202,29 @@ class PageParser(HTMLParser):
             self.blocks.append(
                 Block(
                     text, self.link_chars, tag in ("h1", "h2", "h3", "h4", "h5", "h6"),
-                    top.boilerplate, top.content, top.hint, outer[-3:],
+                    top.boilerplate, top.content, top.hint, outer[-3:], top.named,
                 )
             )
         self.parts, self.link_chars = [], 0
 
 
-def log_odds(block: Block, has_content_element: bool) -> float:
-    """Positive for content; evidence from markup counts 8, more than all smoothness edges together."""
+def _names(attrs: dict) -> tuple[bool, bool]:
+    """Whether a class or id names boilerplate, and whether another names content."""
+    negative = hint = False
+    for key in ("class", "id"):
+        for name in (attrs.get(key) or "").split():
+            words = [w.lower() for w in _WORD.findall(name)]
+            if words and words[0] in BESIDE:
+                continue
+            if not BOILERPLATE_WORDS.isdisjoint(words):
+                negative = True
+            elif not CONTENT_WORDS.isdisjoint(words):
+                hint = True
+    return negative, hint
+
+
+def log_odds(block: Block, has_content_element: bool, names_count: bool = True) -> float:
+    """Positive for content; boilerplate by definition counts 8, more than all smoothness edges together."""
     if block.boilerplate:
         return -8.0
     n = len(block.text)
@@ -211,10 +232,12 @@ def log_odds(block: Block, has_content_element: bool) -> float:
     z += 0.6 if _SENTENCE.search(block.text) else -0.4
     z -= 5.0 * min(1.0, block.link_chars / n)
     z += 0.8 * block.heading + 1.5 * block.hint
+    if block.named and names_count:
+        return max(-8.0, min(z, CLASS_COST - 0.2) - CLASS_COST)
     if block.content:
-        z = max(z, 0.0) + 6.0
+        z = max(z, 0.0) + INSIDE
     elif has_content_element:
-        z = min(z, 2.0) - 8.0
+        z -= OUTSIDE
     return max(-8.0, min(8.0, z))
 
 
@@ -309,6 +332,8 @@ def main_blocks(html: str) -> tuple[list[str], int]:
     parser.close()
     parser.end_block()
     odds = [log_odds(b, parser.has_content_element) for b in parser.blocks]
+    if not any(z > 0 for z in odds):
+        odds = [log_odds(b, parser.has_content_element, False) for b in parser.blocks]
     kept = label(parser.blocks, odds)
     return [b.text for b, k in zip(parser.blocks, kept, strict=True) if k], len(odds)
 

@@ -67,3 +67,35 @@ def test_frame(spark):
     rows = h.extract(pages).collect()
     assert sorted((r.text or "")[:5] for r in rows) == ["", "Title", "Title"]
     assert h.extract(pages.limit(0)).collect() == []
+
+
+LINE = "The river rose by a metre over night, and the two lower bridges had to be closed. "
+MAIN = [LINE * n + f"Part {n} ends here." for n in (3, 5, 2, 4)]
+CARD = "<article><h3>Another story</h3><p>A short teaser for it.</p></article>"
+
+
+def paragraphs(texts):
+    return "".join(f"<p>{t}</p>" for t in texts)
+
+
+def test_article_cards_do_not_replace_the_main_text():
+    for box in ('div class="related"', 'section id="comments"'):
+        page = f'<div class="entry">{paragraphs(MAIN)}</div><{box}>{CARD * 4}</{box.split()[0]}>'
+        assert h.main_blocks(page)[0] == MAIN
+
+
+def test_class_words_of_the_article_itself():
+    for start, end in (
+        ('<article class="post with-sidebar">', "</article>"),
+        ('<div class="content share-enabled">', "</div>"),
+        ('<div id="social"><article>', "</article></div>"),
+    ):
+        page = f'<nav><a href="/">Home</a></nav>{start}{paragraphs(MAIN)}{end}<footer>c</footer>'
+        assert h.main_blocks(page)[0] == MAIN
+
+
+def test_neighbours_outvote_a_class_word():
+    inner = f'{paragraphs(MAIN[:2])}<p class="notice">{MAIN[1]}</p>{paragraphs(MAIN[2:])}'
+    assert h.main_blocks(f"<article>{inner}</article>")[0] == [*MAIN[:2], MAIN[1], *MAIN[2:]]
+    outside = f"<article>{paragraphs(MAIN[:2])}</article><p>{MAIN[1]}</p><article>{paragraphs(MAIN[2:])}</article>"
+    assert h.main_blocks(outside)[0] == [*MAIN[:2], MAIN[1], *MAIN[2:]]
