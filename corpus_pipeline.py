@@ -5,8 +5,9 @@ return the columns of ``documents``. Stages are written as Parquet and read agai
 
 - quality: documents that the rule ensemble scores below 0.5 go. It learns from the labels of this
   input, none of them held out.
-- near_dedup: of each group linked by 5-word shingles at a similarity of 0.8, the smallest id stays.
-  Rows that repeat an id are one document; rows with a null id all stay.
+- near_dedup: of each group linked by 5-word shingles at a similarity of 0.8, the row with the smallest id
+  stays, one without an id last. Rows are compared by their texts, whatever their ids; texts without words
+  are in no group, but rows that repeat an id and its text are one document.
 - suffix_dedup: bytes covered by 100-byte strings that start earlier are cut out, by whole characters;
   ``n_chars`` follows. A document of which nothing is left goes.
 - mixing: sources are mixed to their target weights; a document that is taken several times has as many
@@ -18,7 +19,7 @@ An empty ``documents`` table gives an empty result; further columns are not carr
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tablecheck.llm import minhash, mixing, packing, quality
@@ -35,17 +36,26 @@ def keep_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    found = minhash.near_duplicates(spark, docs, k=5, percent=80)
-    stay = found.where("kept").select(F.col("doc_id").alias("stays")).distinct()
-    row = F.row_number().over(Window.partitionBy("doc_id").orderBy("text"))
-    return (
-        docs.select(*COLUMNS)
-        .join(stay, F.col("doc_id") == F.col("stays"), "left")
-        .where("doc_id is null or stays is not null")
-        .withColumn("row", row)
-        .where("doc_id is null or row = 1")
-        .select(*COLUMNS)
+    # Ids may be null or shared: each row gets a number of its own, written so that it holds.
+    docs = docs.select(*COLUMNS).withColumns(
+        {"row": F.monotonically_increasing_id(), "text_hash": F.xxhash64("text")}
+    )
+    docs = stored(spark, docs, "numbered")
+    found = minhash.near_duplicates(
+        spark, docs.select(F.col("row").alias("doc_id"), "text"), k=5, percent=80
+    )
+    wordless = F.col("n_shingles") == 0
+    repeated = F.when(wordless & F.col("doc_id").isNotNull(), F.struct("doc_id", "text_hash"))
+    first = F.struct(F.col("doc_id").isNull(), "doc_id", "text_hash", "lang", "source", "n_chars", "row")
+    stay = (
+        found.withColumnRenamed("doc_id", "row")
+        .join(docs.drop("text"), "row")
+        .withColumns({"repeated": repeated, "first": first})
+        .groupBy(F.when(F.col("repeated").isNull(), F.col("component_id")), "repeated")
+        .agg(F.min("first")["row"].alias("row"))
+        .select("row")
     )
+    return docs.join(stay, "row").select(*COLUMNS)
 
 
 def suffix_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

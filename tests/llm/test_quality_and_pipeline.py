@@ -103,6 +103,30 @@ def test_pipeline_of_odd_documents(spark, edge, nothing, tmp_path):
         assert bool(rows) == (name == "edge")
 
 
+def test_near_dedup_of_shared_and_missing_ids(spark):
+    words = [f"w{i}" for i in range(400)]
+    texts = [" ".join(words[(i * (j + 7) + j) % 400] for i in range(150)) for j in range(4)]
+    rows = [
+        (5, texts[0]), (5, texts[1]), (5, texts[0]),  # one id, two documents, one of them twice
+        (None, texts[2]), (None, texts[2]), (None, texts[2] + " end"),  # copies without ids
+        (3, texts[3]), (None, texts[3]), (9, texts[3] + " end"),
+        (6, ""), (6, ""), (7, ""), (None, None), (None, None),
+    ]
+    schema = "doc_id long, text string, lang string, source string, n_chars long"
+    docs = spark.createDataFrame([(i, t, "en", "a", 1) for i, t in rows], schema).repartition(3)
+    kept = corpus_pipeline.near_dedup(spark, docs, "").collect()
+    found = sorted(((r.doc_id, r.text) for r in kept if r.text), key=repr)
+    without = [t for i, t in found if i is None]
+    assert len(without) == 1 and without[0].startswith(texts[2])
+    assert [f for f in found if f[0] is not None] == sorted(
+        [(5, texts[0]), (5, texts[1]), (3, texts[3])], key=repr
+    )
+    wordless = sorted(((r.doc_id, r.text) for r in kept if not r.text), key=repr)
+    assert wordless == [(6, ""), (7, ""), (None, None), (None, None)]
+    empty = spark.createDataFrame([], schema)
+    assert corpus_pipeline.near_dedup(spark, empty, "").collect() == []
+
+
 def test_registered():
     assert set(QUERIES) <= set(queries()) and set(ORACLE_SQL) <= set(oracle_sql())
     assert [n for n in QUERIES if n.startswith("op")] == sorted(
