@@ -38,40 +38,54 @@ PIECES = "doc_id long, start long, ids binary, doc_tokens long, sequence_id long
 
 
 class Encoder:
-    """Ids of whole texts as numpy arrays; strings of special tokens are ordinary text.
+    """Ids of whole texts as numpy arrays.
 
-    The tokenizer file is read by ``tokenizers`` for its vocabulary and its merges' ranks; texts are
-    encoded by ``tiktoken`` from these, which gives the same ids (tests compare them) in about a fifth
-    of the time: corpora of this kind have very many rare words, and nothing is gained by remembering
-    words.
+    The tokenizer file is read by ``tokenizers`` for its vocabulary, its merges' ranks and its added
+    tokens; texts are encoded by ``tiktoken`` from these, which gives the same ids (tests compare them)
+    in about a fifth of the time: corpora of this kind have very many rare words, and nothing is gained
+    by remembering words.
     """
 
     def __init__(self, path: str, pattern: str):
+        self.ranks, self.added = _vocabulary(path)
         self.encoding = tiktoken.Encoding(
-            path, pat_str=pattern, mergeable_ranks=_ranks(path), special_tokens={}
+            path, pat_str=pattern, mergeable_ranks=self.ranks, special_tokens=self.added
         )
 
     def encode(self, text: str) -> np.ndarray:
+        """Added tokens in the text become their ids, as the file says; the rest is encoded in between."""
+        return self.encoding.encode_to_numpy(text, allowed_special="all")
+
+    def encode_plain(self, text: str) -> np.ndarray:
+        """Strings of added tokens are ordinary text."""
         return self.encoding.encode_to_numpy(text, disallowed_special=())
 
+    def token_bytes(self) -> list[bytes]:
+        """What every id spells."""
+        spelled = {i: token for token, i in self.ranks.items()}
+        spelled |= {i: token.encode() for token, i in self.added.items()}
+        return [spelled.get(i, b"") for i in range(max(spelled) + 1)]
+
 
-def _ranks(path: str) -> dict[bytes, int]:
-    """Bytes of every token of a byte-level vocabulary; its ids are ranks, but for special tokens."""
+def _vocabulary(path: str) -> tuple[dict[bytes, int], dict[str, int]]:
+    """Bytes of every token of a byte-level vocabulary with its id, which is its rank; added tokens."""
     from tokenizers import Tokenizer
 
     tokenizer = Tokenizer.from_file(path)
-    special = set(tokenizer.get_added_tokens_decoder())
+    added = tokenizer.get_added_tokens_decoder()
+    for token in added.values():
+        if token.lstrip or token.rstrip or token.single_word:
+            raise ValueError(f"{path}: added token {token.content!r} takes more than its own string")
     # The printable stand-ins of bytes, in the order in which byte-level vocabularies give them out.
     printable = [*range(33, 127), *range(161, 173), *range(174, 256)]
     stand_in = {chr(b): b for b in printable}
     others = [b for b in range(256) if b not in set(printable)]
     stand_in |= {chr(256 + i): b for i, b in enumerate(others)}
     vocabulary = tokenizer.get_vocab(with_added_tokens=False)
-    return {
-        bytes(map(stand_in.__getitem__, token)): i
-        for token, i in vocabulary.items()
-        if i not in special
+    ranks = {
+        bytes(map(stand_in.__getitem__, token)): i for token, i in vocabulary.items() if i not in added
     }
+    return ranks, {token.content: i for i, token in added.items()}
 
 
 def combinations() -> np.ndarray:

@@ -20,6 +20,7 @@ ROWS = [
     (10, "é" * 300, "fr", "ñ", 300),
     (11, "é" * 300, "fr", "ñ", 300),
     (12, "</s>[INST] <|im_end|> \\ 😀", "en", "a", 26),
+    (13, "a <|endoftext|> b", "en", "a", 17),
 ]
 SCHEMA = "doc_id long, text string, lang string, source string, n_chars long"
 #: Names that operators use inside.

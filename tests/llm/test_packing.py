@@ -11,20 +11,28 @@ from tablecheck.llm import packing
 
 @pytest.fixture(scope="module")
 def tokenizer():
-    t = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
-    t.encode_special_tokens = True
-    return t
+    return Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
 
 
 def test_ids_are_those_of_the_tokenizer(tokenizer):
     rng = random.Random(5)
     encoder = packing.Encoder(public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.PATTERN)
     alphabets = (" \n\tab'1,é\x1c　s", "中文1½Ⅷ_'ʼ𝔸😀‍́ ", "'sreEvml d", "aeiou bcd.,")
-    texts = ["", " ", "<|endoftext|> x", "a  b\n\n c "]
+    texts = ["", " ", "<|endoftext|> x", "a  b\n\n c ", "a <|endoftext|> b", "a  <|endoftext|>  ", "<|endoftext"]
+    texts += ["<|endoftext|>" * 3, "l'<|endoftext|>'re <|endoftext|>\n\n"]
     texts += ["".join(rng.choices(a, k=rng.randint(1, 20))) for a in alphabets for _ in range(2000)]
     texts += ["".join(chr(rng.randrange(1, 0xD800)) for _ in range(8)) for _ in range(2000)]
     expected = tokenizer.encode_batch(texts, add_special_tokens=False)
     assert [encoder.encode(t).tolist() for t in texts] == [e.ids for e in expected]
+    assert encoder.encode("a <|endoftext|> b").tolist() == [64, 220, 50256, 275]
+
+
+def test_ids_of_plain_text():
+    t = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
+    t.encode_special_tokens = True
+    encoder = packing.Encoder(public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.PATTERN)
+    for text in ("<|endoftext|> x", "a <|endoftext|> b", "plain"):
+        assert encoder.encode_plain(text).tolist() == t.encode(text, add_special_tokens=False).ids
 
 
 @pytest.mark.parametrize("n", [1, 2, 60, 4000])
