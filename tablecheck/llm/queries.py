@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tablecheck.llm import (
+    alignment,
     chat,
     cover_tree,
     fingerprints,
@@ -99,6 +100,10 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op13_align(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return alignment.link_digests(spark, table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_chat_format": op1_chat_format,
     "op2_main_text": op2_main_text,
@@ -110,4 +115,5 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_order_minhash": op8_order_minhash,
     "op9_virtual_slots": op9_virtual_slots,
     "op10_quality_rules": op10_quality_rules,
+    "op13_align": op13_align,
 }
