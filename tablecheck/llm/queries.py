@@ -18,6 +18,7 @@ from tablecheck.llm import (
     packing,
     quality,
     sharding,
+    spelling,
     suffix_dedup,
 )
 from tablecheck.llm.common import table
@@ -100,6 +101,10 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.variants(spark, table(spark, sf_dir, "documents"))
+
+
 def op13_align(spark: SparkSession, sf_dir: str) -> DataFrame:
     return alignment.link_digests(spark, table(spark, sf_dir, "documents"))
 
@@ -115,5 +120,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_order_minhash": op8_order_minhash,
     "op9_virtual_slots": op9_virtual_slots,
     "op10_quality_rules": op10_quality_rules,
+    "op11_spelling": op11_spelling,
     "op13_align": op13_align,
 }
