@@ -17,6 +17,7 @@ from tablecheck.llm import (
     mixing,
     packing,
     quality,
+    secret_scan,
     sharding,
     spelling,
     suffix_dedup,
@@ -105,6 +106,10 @@ def op11_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spelling.variants(spark, table(spark, sf_dir, "documents"))
 
 
+def op12_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secret_scan.digests(secret_scan.scan(spark, table(spark, sf_dir, "documents")))
+
+
 def op13_align(spark: SparkSession, sf_dir: str) -> DataFrame:
     return alignment.link_digests(spark, table(spark, sf_dir, "documents"))
 
@@ -121,5 +126,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_virtual_slots": op9_virtual_slots,
     "op10_quality_rules": op10_quality_rules,
     "op11_spelling": op11_spelling,
+    "op12_secrets": op12_secrets,
     "op13_align": op13_align,
 }
