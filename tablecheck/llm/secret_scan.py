@@ -389,7 +389,8 @@ def labelled_findings(docs: DataFrame) -> tuple[list[tuple], list[tuple[str, str
     """
     texts = docs.where(F.length("text") > 0).select("doc_id", "text")
     one_in = max(1, -(-docs.count() // SAMPLE_DOCS))
-    sample = texts.where(F.pmod(F.xxhash64("doc_id", "text"), F.lit(one_in)) == 0).limit(2 * SAMPLE_DOCS)
+    # Repeated rows share a hash: they are one document of the sample.
+    sample = texts.where(F.pmod(F.xxhash64("doc_id", "text"), F.lit(one_in)) == 0).distinct()
     found = sample.select("text").mapInArrow(_sample_partition, _SAMPLED).distinct()
     by_hash = Window.partitionBy("label").orderBy(F.xxhash64("text", "start"), "text", "start")
     found = found.withColumn("place", F.row_number().over(by_hash)).where(f"place <= {SAMPLE_FINDINGS}")
