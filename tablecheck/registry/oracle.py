@@ -385,6 +385,19 @@ UNION ALL
 SELECT '{name}', CAST((SELECT count(*) FROM cuts) AS INTEGER), (SELECT count(*) FROM t WHERE k IS NULL)"""
 
 
+def _cut_edges(name: str, source: str) -> str:
+    """Distinct lowest keys of a hundred equal parts but the lowest of all, with the rows below."""
+    return f"""
+SELECT '{name}' AS keys, CAST(row_number() OVER (ORDER BY cut) AS INTEGER) AS edge_no,
+  CAST(cut AS VARCHAR) AS edge, n_below
+FROM (
+  SELECT cut, (SELECT count(*) FROM ({source}) u WHERE u.k < cut) AS n_below
+  FROM (SELECT DISTINCT min(k) AS cut FROM (
+          SELECT k, ntile(100) OVER (ORDER BY k) AS part FROM ({source}) t WHERE k IS NOT NULL) p
+        GROUP BY part) m) c
+WHERE n_below > 0"""
+
+
 # All checks of the rule set in the order of a report; none of them depends on the data.
 _PLACED_CHECKS = "SELECT * FROM (VALUES " + ", ".join(
     f"(CAST({i} AS INTEGER), '{check}', '{column}')"
@@ -601,4 +614,17 @@ FROM generate_series(0, 11) s(i) LEFT JOIN r ON r.range_no = i GROUP BY i""",
             }.items()
         )
     ),
+    "key_cuts": "\nUNION ALL\n".join(
+        f"SELECT * FROM ({_cut_edges(name, source)}) q{i}"
+        for i, (name, source) in enumerate(
+            {
+                "parts": "SELECT l_partkey AS k FROM lineitem",
+                "quantities": "SELECT CAST(round(100 * l_quantity) AS BIGINT) AS k FROM lineitem",
+                "prices": "SELECT CAST(100 * CAST(l_extendedprice AS DECIMAL(18,2)) AS BIGINT) AS k"
+                " FROM lineitem",
+                "days": "SELECT CAST(l_shipdate AS DATE) AS k FROM lineitem",
+                "chars": "SELECT n_chars AS k FROM documents",
+            }.items()
+        )
+    ),
 }

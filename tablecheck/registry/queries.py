@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import IntegerType, StringType, StructField, StructType
+from pyspark.sql.types import IntegerType, LongType, StringType, StructField, StructType
 
 from tablecheck.local import local_frame
 from tablecheck.operators import (
@@ -40,8 +40,8 @@ from tablecheck.operators.report import collect_report
 from tablecheck.sinks import compacted_status, current_status, log_rows
 from tablecheck.sources import (
     config_for,
-    cut_predicates,
-    cut_query,
+    counted_cuts,
+    cut_conditions,
     pending_requests,
     range_predicates,
     rule_rows,
@@ -63,6 +63,15 @@ _PLACED_RULES = StructType(
     ]
 )
 
+_EDGES = StructType(
+    [
+        StructField("keys", StringType()),
+        StructField("edge_no", IntegerType()),
+        StructField("edge", StringType()),
+        StructField("n_below", LongType()),
+    ]
+)
+
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
 
@@ -569,9 +578,8 @@ def key_ranges(spark, sf_dir):
     )
 
 
-@query
-def key_ranges_skewed(spark, sf_dir):
-    """Rows per range cut by counting: keys with a far outlier and NULLs, texts, and times."""
+def _keys_to_cut(spark, sf_dir) -> dict[str, DataFrame]:
+    """Keys with a far outlier and NULLs, texts, and times, in a column ``k``."""
     lines = table(spark, sf_dir, "lineitem").select(
         F.expr(
             "CASE WHEN l_orderkey % 50 = 0 THEN NULL WHEN l_orderkey = 1 THEN 999999999999"
@@ -580,13 +588,18 @@ def key_ranges_skewed(spark, sf_dir):
     )
     texts = table(spark, sf_dir, "documents").select(F.col("text").alias("k"))
     times = table(spark, sf_dir, "orders").select(F.col("o_orderdate").alias("k"))
+    return {"numbers": lines, "texts": texts, "times": times}
+
+
+@query
+def key_ranges_skewed(spark, sf_dir):
+    """Rows per range cut by counting: each row falls into exactly one."""
     results = []
-    for name, rows in {"numbers": lines, "texts": texts, "times": times}.items():
-        rows.createOrReplaceTempView("rows_to_cut")
-        cuts = [r.cut for r in spark.sql(cut_query("rows_to_cut", "k", 8)).collect()]
+    for name, rows in _keys_to_cut(spark, sf_dir).items():
+        cuts = counted_cuts(rows, "k", 8)
         counts = {
-            str(i): F.count(F.when(F.expr(condition), True)).alias(str(i))
-            for i, condition in enumerate(cut_predicates("k", cuts))
+            str(i): F.count(F.when(condition, True)).alias(str(i))
+            for i, condition in enumerate(cut_conditions(F.col("k"), cuts.edges))
         }
         results.append(
             rows.agg(*counts.values())
@@ -597,3 +610,24 @@ def key_ranges_skewed(spark, sf_dir):
     for other in others:
         first = first.unionByName(other)
     return first
+
+
+@query
+def key_cuts(spark, sf_dir):
+    """Edges of a hundred ranges with the rows below each: few keys that many rows share, prices, times."""
+    lines = table(spark, sf_dir, "lineitem")
+    keys = {
+        "parts": lines.select(F.col("l_partkey").alias("k")),
+        "quantities": lines.select(F.col("l_quantity").alias("k")),
+        "prices": lines.select(F.col("l_extendedprice").cast("decimal(18,2)").alias("k")),
+        "days": lines.select(F.to_date("l_shipdate").alias("k")),
+        "chars": table(spark, sf_dir, "documents").select(F.col("n_chars").alias("k")),
+    }
+    edges = []
+    for name, rows in keys.items():
+        cuts = counted_cuts(rows, "k", 100)
+        edges += [
+            (name, i, str(int(100 * e) if name in ("prices", "quantities") else e), n)
+            for i, (e, n) in enumerate(zip(cuts.edges, cuts.before, strict=True), 1)
+        ]
+    return local_frame(spark, edges, _EDGES)

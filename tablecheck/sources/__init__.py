@@ -5,6 +5,7 @@ from tablecheck.sources.control import (
     rule_rows,
     rules_for,
 )
+from tablecheck.sources.cuts import Cuts, counted_cuts, cut_conditions
 from tablecheck.sources.tables import (
     catalog_references,
     catalog_tables,
@@ -19,10 +20,13 @@ from tablecheck.sources.tables import (
 )
 
 __all__ = [
+    "Cuts",
     "business_rules_for",
     "catalog_references",
     "catalog_tables",
     "config_for",
+    "counted_cuts",
+    "cut_conditions",
     "cut_predicates",
     "cut_query",
     "file_references",
