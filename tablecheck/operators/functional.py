@@ -112,41 +112,77 @@ def row_checks(
 def group_reports(
     df: DataFrame, rules: Sequence[BusinessRule], keep_zero: bool = False
 ) -> list[DataFrame]:
-    """The rules that look at groups: one grouping for all rules with the same group columns."""
+    """The rules that look at groups, all of them from one scan and one shuffle."""
     by_columns: dict[tuple[str, ...], list[tuple[int, ExactlyOne | AtLeastOne]]] = {}
     for place, rule in zip(_places(rules), rules):
         if isinstance(rule, (ExactlyOne, AtLeastOne)):
-            by_columns.setdefault(rule.group_cols, []).append((place, rule))
-    return [
-        _grouped_report(df, group_cols, placed, keep_zero)
-        for group_cols, placed in by_columns.items()
-    ]
+            columns = tuple(field_of(df.schema, name).name for name in rule.group_cols)
+            by_columns.setdefault(columns, []).append((place, rule))
+    if not by_columns:
+        return []
+    if len(by_columns) == 1:
+        ((group_cols, placed),) = by_columns.items()
+        return [_grouped_report(df, group_cols, placed, keep_zero)]
+    return [_grouping_sets_report(df, by_columns, keep_zero)]
 
 
 def _grouped_report(df, group_cols, placed, keep_zero) -> DataFrame:
     """Per-group counts are combined before the shuffle, so large groups are no heavier than small."""
     per_group, checks = [], []
     for place, rule in placed:
-        plan = _exactly_one if isinstance(rule, ExactlyOne) else _at_least_one
-        counters, rule_checks = plan(df.schema, place, rule)
+        counters, rule_checks = _counters(df.schema, place, rule, "rule")
         per_group += counters
         checks += rule_checks
-    rows = df
-    if all(isinstance(rule, ExactlyOne) and not rule.include_empty_groups for _, rule in placed):
-        # Rows with other names take no part: leave them at the scan.
-        rows = df.filter(
-            reduce(or_, [text_column(df.schema, r.name_col).isin(*r.required) for _, r in placed])
-        )
     # Grouping columns get names by place: a table may call its columns anything.
-    keys = [
-        quoted(field_of(df.schema, name).name).alias(f"k{i}") for i, name in enumerate(group_cols)
-    ]
-    return count_report(rows.groupBy(*keys).agg(*per_group), checks, keep_zero)
+    keys = [quoted(name).alias(f"k{i}") for i, name in enumerate(group_cols)]
+    return count_report(_taking_part(df, placed).groupBy(*keys).agg(*per_group), checks, keep_zero)
+
+
+def _grouping_sets_report(df, by_columns, keep_zero) -> DataFrame:
+    """Rules over different group columns: each row counts once for every set of them, partial counts
+    are combined before one shuffle, and a rule looks at the groups of its own set only."""
+    names = list(dict.fromkeys(name for columns in by_columns for name in columns))
+    # Columns keep their names here: the counters get some that the table has not.
+    prefix = "rule"
+    while any(name.lower().startswith(prefix) for name in df.columns):
+        prefix += "_"
+    set_no = F.col(f"{prefix}set")
+    per_group, checks = [], []
+    for columns, placed in by_columns.items():
+        left_out = sum(1 << i for i, name in enumerate(reversed(names)) if name not in columns)
+        for place, rule in placed:
+            counters, rule_checks = _counters(df.schema, place, rule, prefix, set_no == left_out)
+            per_group += counters
+            checks += rule_checks
+    rows = _taking_part(df, [placed for of_set in by_columns.values() for placed in of_set])
+    sets = [[quoted(name) for name in columns] for columns in by_columns]
+    groups = rows.groupingSets(sets, *[quoted(name) for name in names])
+    counted = groups.agg(F.grouping_id().alias(f"{prefix}set"), *per_group)
+    return count_report(counted, checks, keep_zero)
+
+
+def _taking_part(df, placed) -> DataFrame:
+    """Rows with names that no rule looks for are left at the scan, if no rule counts their groups."""
+    if not all(isinstance(rule, ExactlyOne) and not rule.include_empty_groups for _, rule in placed):
+        return df
+    return df.filter(
+        reduce(or_, [text_column(df.schema, r.name_col).isin(*r.required) for _, r in placed])
+    )
+
+
+def _counters(
+    schema, place: int, rule: ExactlyOne | AtLeastOne, prefix: str, of_set: Column | None = None
+) -> tuple[list[Column], list[Check]]:
+    """Counts per group, and the checks on them; ``of_set`` tells the groups of the rule."""
+    plan = _exactly_one if isinstance(rule, ExactlyOne) else _at_least_one
+    return plan(schema, place, rule, prefix, F.lit(True) if of_set is None else of_set)
 
 
-def _exactly_one(schema, place: int, rule: ExactlyOne) -> tuple[list[Column], list[Check]]:
+def _exactly_one(
+    schema, place: int, rule: ExactlyOne, prefix: str, of_set: Column
+) -> tuple[list[Column], list[Check]]:
     name = text_column(schema, rule.name_col)
-    counters = {value: f"rule{place}_{i}" for i, value in enumerate(rule.required)}
+    counters = {value: f"{prefix}{place}_{i}" for i, value in enumerate(rule.required)}
     per_group = [
         F.count(F.when(name == value, True)).alias(alias) for value, alias in counters.items()
     ]
@@ -156,7 +192,7 @@ def _exactly_one(schema, place: int, rule: ExactlyOne) -> tuple[list[Column], li
     checks = [
         Check(
             PHASE, "exactly_one", place + i, rule.name_col, FUNCTIONAL_ERROR,
-            count_violations(taken & (F.col(alias) != 1)),
+            count_violations(of_set & taken & (F.col(alias) != 1)),
             f"{rule.name_col}={value!r}: ",
             f" groups ({', '.join(rule.group_cols)}) do not have exactly one row",
         )
@@ -165,12 +201,14 @@ def _exactly_one(schema, place: int, rule: ExactlyOne) -> tuple[list[Column], li
     return per_group, checks
 
 
-def _at_least_one(schema, place: int, rule: AtLeastOne) -> tuple[list[Column], list[Check]]:
-    name, alias = F.lower(text_column(schema, rule.name_col)), f"rule{place}"
+def _at_least_one(
+    schema, place: int, rule: AtLeastOne, prefix: str, of_set: Column
+) -> tuple[list[Column], list[Check]]:
+    name, alias = F.lower(text_column(schema, rule.name_col)), f"{prefix}{place}"
     found = F.bool_or(name.startswith(rule.prefix.lower())).alias(alias)
     check = Check(
         PHASE, "at_least_one", place, rule.name_col, FUNCTIONAL_ERROR,
-        count_violations(~F.coalesce(F.col(alias), F.lit(False))),
+        count_violations(of_set & ~F.coalesce(F.col(alias), F.lit(False))),
         f"{rule.name_col} starting with {rule.prefix!r}: ",
         f" groups ({', '.join(rule.group_cols)}) have no row",
     )

@@ -121,8 +121,12 @@ def missing_values_report(
         missing = _by_value(values.join(F.broadcast(known), "value", "left_anti"), group)
     else:
         missing = _by_value(values, group).join(known.distinct(), "value", "left_anti")
+    return count_report(missing, _reference_checks(group), keep_zero)
+
+
+def _reference_checks(group: ReferenceGroup) -> list[Check]:
     place = f"{group.reference.full_table}.{group.reference.column}"
-    checks = [
+    return [
         Check(
             PHASE, "reference", seq, name, REF_INTEGRITY_ERROR,
             count_violations(F.col(f"in_{seq}")),
@@ -130,7 +134,6 @@ def missing_values_report(
         )
         for seq, name in group.columns.items()
     ]
-    return count_report(missing, checks, keep_zero)
 
 
 def _column_values(df: DataFrame, group: ReferenceGroup, form: _Form) -> DataFrame:
@@ -165,21 +168,92 @@ def failed_group(group: ReferenceGroup, error: Exception) -> list[Row]:
     ]
 
 
+@dataclass(frozen=True)
+class OpenReference:
+    """A reference that could be opened: its values and those of the table, as entries to compare.
+
+    An entry is (reference, number, text): whole numbers on both sides stay numbers, all else is text.
+    """
+
+    group: ReferenceGroup
+    reference: DataFrame
+    of_table: list[Column]
+    known: DataFrame
+
+
+def open_reference(
+    df: DataFrame, group: ReferenceGroup, reference: DataFrame, place: int
+) -> OpenReference:
+    form = _form(df, group.columns.values(), reference, group.reference.column)
+    no_number, no_text = F.lit(None).cast("bigint"), F.lit(None).cast("string")
+
+    def entry(schema: StructType, name: str) -> list[Column]:
+        value = form(schema, name)
+        pair = (value, no_text) if form is _whole_number else (no_number, value)
+        return [F.lit(place).alias("reference"), pair[0].alias("number"), pair[1].alias("text")]
+
+    of_table = [
+        F.struct(F.lit(seq).alias("seq"), *entry(df.schema, name)) for seq, name in group.columns.items()
+    ]
+    known = reference.select(
+        F.lit(None).cast("int").alias("seq"), *entry(reference.schema, group.reference.column)
+    )
+    return OpenReference(group, reference, of_table, known.where(_HAS_VALUE))
+
+
+_HAS_VALUE = "number IS NOT NULL OR text IS NOT NULL"
+
+
+def missing_in_one_pass(
+    df: DataFrame, opened: Sequence[OpenReference], keep_zero: bool = False
+) -> DataFrame:
+    """All references from one scan of the table, one read of each reference and one shuffle.
+
+    The table's columns and the references' values become entries, which collapse to distinct ones
+    before the shuffle and meet in one grouping: an entry that no reference row brought is missing. No
+    value is heavier than another, and nothing has to be measured first.
+    """
+    entries = df.select(F.inline(F.array(*[e for o in opened for e in o.of_table]))).where(_HAS_VALUE)
+    both = entries.withColumn("is_known", F.lit(False))
+    for o in opened:
+        both = both.unionByName(o.known.withColumn("is_known", F.lit(True)))
+    seqs = [seq for o in opened for seq in o.group.columns]
+    held = [F.bool_or(F.col("seq") == seq).alias(f"in_{seq}") for seq in seqs]
+    values = both.groupBy("reference", "number", "text").agg(F.bool_or("is_known").alias("is_known"), *held)
+    checks = [check for o in opened for check in _reference_checks(o.group)]
+    return count_report(values.where("NOT is_known"), checks, keep_zero)
+
+
 @dataclass(frozen=True)
 class ReferencePlan:
-    """Referential checks ready to run: a plan per readable reference, rows for the others."""
+    """Referential checks ready to run: the references that could be opened, rows for the others."""
 
-    plans: list[tuple[ReferenceGroup, DataFrame]]
+    df: DataFrame
+    opened: list[OpenReference]
     rows: list[Row]
+    keep_zero: bool = False
+    bounds: BroadcastBounds = BroadcastBounds()
+
+    @property
+    def plans(self) -> list[tuple[ReferenceGroup, DataFrame]]:
+        """A plan per reference."""
+        return [(o.group, self._plan(o)) for o in self.opened]
+
+    def _plan(self, o: OpenReference) -> DataFrame:
+        return missing_values_report(self.df, o.group, o.reference, self.keep_zero, self.bounds)
+
+    def together(self) -> list[DataFrame]:
+        """One plan for all references, if there are any."""
+        return [missing_in_one_pass(self.df, self.opened, self.keep_zero)] if self.opened else []
 
     def run_each(self) -> list[Row]:
         """Run the plans one by one; a failing reference does not touch the others."""
         rows = list(self.rows)
-        for group, plan in self.plans:
+        for o in self.opened:
             try:
-                rows += collect_report(plan)
+                rows += collect_report(self._plan(o))
             except Exception as error:
-                rows += failed_group(group, error)
+                rows += failed_group(o.group, error)
         return in_order(rows)
 
 
@@ -190,15 +264,15 @@ def plan_references(
     keep_zero: bool = False,
     bounds: BroadcastBounds = BroadcastBounds(),
 ) -> ReferencePlan:
-    plans, rows = [], format_violations(rules)
-    for group in reference_groups(rules):
+    opened, rows = [], format_violations(rules)
+    for place, group in enumerate(reference_groups(rules)):
         at = group.reference
         try:
             reference = load_reference(at.database, at.table, at.column)
-            plans.append((group, missing_values_report(df, group, reference, keep_zero, bounds)))
+            opened.append(open_reference(df, group, reference, place))
         except Exception as error:
             rows += failed_group(group, error)
-    return ReferencePlan(plans, rows)
+    return ReferencePlan(df, opened, rows, keep_zero, bounds)
 
 
 def references_report(
@@ -208,11 +282,14 @@ def references_report(
     keep_zero: bool = False,
     bounds: BroadcastBounds = BroadcastBounds(),
 ) -> DataFrame:
-    """All referential checks as one plan. References that cannot be opened become rows; for one
-    that breaks while it is read, use :meth:`ReferencePlan.run_each`."""
+    """All referential checks as one plan: several references in one pass, a single one by its size.
+
+    References that cannot be opened become rows; for one that breaks while it is read, use
+    :meth:`ReferencePlan.run_each`.
+    """
     spark = df.sparkSession
     plan = plan_references(df, rules, load_reference, keep_zero, bounds)
-    reports = [report for _, report in plan.plans]
+    reports = plan.together() if len(plan.opened) > 1 else [report for _, report in plan.plans]
     if plan.rows:
         reports.append(report_of_rows(spark, plan.rows))
     return union_reports(spark, reports)

@@ -197,7 +197,7 @@ def _fused(job: _Job) -> _Steps:
 
     references, groups = _Attempt(job.references), _Attempt(job.group_reports)
     plans = job.key_reports()
-    plans += [plan for _, plan in references.result.plans] if references.result else []
+    plans += references.result.together() if references.result else []
     plans += groups.result or []
     try:
         found = collect_report(union_reports(job.df.sparkSession, plans)) if plans else []

@@ -602,6 +602,31 @@ FROM generate_series(0, 11) s(i) LEFT JOIN r ON r.range_no = i GROUP BY i""",
         "thinned AS (SELECT o_orderkey FROM orders WHERE o_orderkey % 3 <> 0)",
         "texts AS (SELECT CAST(l_suppkey AS VARCHAR) AS supplier_text FROM lineitem)",
     ),
+    "referential_one_pass": _report(
+        [
+            _reference_row("l_orderkey", "lineitem", "o_orderkey", "thin_orders", "given.orders"),
+            _reference_row("l_partkey", "lineitem", "p_partkey", "thin_part", "given.part"),
+            _reference_row("l_suppkey", "lineitem", "s_suppkey", "thin_supplier", "given.supplier"),
+            _reference_row("l_linenumber", "lineitem", "s_suppkey", "thin_supplier", "given.supplier"),
+            _reference_row("supplier_text", "texts", "c_custkey", "customer"),
+            _reference_row("l_returnflag", "lineitem", "o_orderstatus", "thin_orders", "given.orders"),
+        ],
+        "thin_orders AS (SELECT * FROM orders WHERE o_orderkey % 3 <> 0)",
+        "thin_part AS (SELECT * FROM part WHERE p_partkey % 7 <> 0)",
+        "thin_supplier AS (SELECT * FROM supplier WHERE s_suppkey % 5 <> 0)",
+        "texts AS (SELECT CAST(l_suppkey AS VARCHAR) AS supplier_text FROM lineitem)",
+    ),
+    "grouping_sets": _report(
+        [
+            _once_row(["l_orderkey"], "l_linenumber", "1", ["1", "2"], "lines"),
+            _once_row(["l_orderkey"], "l_linenumber", "2", ["1", "2"], "lines"),
+            _some_row(["l_partkey"], "l_returnflag", "R", "lines"),
+            _once_row(["l_suppkey", "l_orderkey"], "l_returnflag", "A", ["A"], "lines", every=True),
+            _some_row(["l_orderkey"], "l_returnflag", "n", "lines"),
+            _some_row(["l_linestatus", "l_partkey"], "l_returnflag", "a", "lines"),
+        ],
+        "lines AS (SELECT * REPLACE (CAST(l_linenumber AS VARCHAR) AS l_linenumber) FROM lineitem)",
+    ),
     "report_order": _PLACED_CHECKS,
     "key_ranges_skewed": "\nUNION ALL\n".join(
         f"SELECT * FROM ({_counted_ranges(name, source)}) q{i}"

@@ -309,6 +309,32 @@ def referential_large(spark, sf_dir):
     return _shown(references_report(lines, rules, load, True, BroadcastBounds(0, 0)))
 
 
+@query
+def referential_one_pass(spark, sf_dir):
+    """Five references at once, whole numbers and texts, with values that each of them lacks."""
+    given = given_references(spark, sf_dir)
+    kept = {"orders": "o_orderkey % 3 <> 0", "part": "p_partkey % 7 <> 0", "supplier": "s_suppkey % 5 <> 0"}
+
+    def load(database, name, column):
+        return given(database, name, column).where(kept.get(name, "true"))
+
+    lines = table(spark, sf_dir, "lineitem").withColumn(
+        "supplier_text", F.col("l_suppkey").cast("string")
+    )
+    rules = [
+        ColumnRule(name, referential_bbdd="given", referential_table_field_name=text)
+        for name, text in {
+            "l_orderkey": "orders.o_orderkey",
+            "l_partkey": "part.p_partkey",
+            "l_suppkey": "supplier.s_suppkey",
+            "supplier_text": "customer.c_custkey",
+            "l_linenumber": "supplier.s_suppkey",
+            "l_returnflag": "orders.o_orderstatus",
+        }.items()
+    ]
+    return _shown(references_report(lines, rules, load, keep_zero=True))
+
+
 @query
 def reference_orders_customers(spark, sf_dir):
     """The distinct values of a reference column, as text."""
@@ -376,6 +402,19 @@ def business_order_lines(spark, sf_dir):
     return _shown(business_report(table(spark, sf_dir, "lineitem"), rules, keep_zero=True))
 
 
+@query
+def grouping_sets(spark, sf_dir):
+    """Rules over four different groupings, of which some share columns."""
+    rules = [
+        ExactlyOne(("l_orderkey",), "l_linenumber", ("1", "2")),
+        AtLeastOne(("l_partkey",), "l_returnflag", "R"),
+        ExactlyOne(("l_suppkey", "l_orderkey"), "l_returnflag", ("A",), include_empty_groups=True),
+        AtLeastOne(("l_orderkey",), "l_returnflag", "n"),
+        AtLeastOne(("l_linestatus", "l_partkey"), "l_returnflag", "a"),
+    ]
+    return _shown(business_report(table(spark, sf_dir, "lineitem"), rules, keep_zero=True))
+
+
 @query
 def groups_odd_names(spark, sf_dir):
     """Group and name columns called like the counters inside the rules."""

@@ -176,12 +176,23 @@ def jdbc_tables(
     return lambda name: read_jdbc_table(spark, url, name, properties, keys.get(name), partitions)
 
 
-def jdbc_references(spark: SparkSession, url: str, properties: Mapping[str, str]) -> LoadReference:
-    """References from a database, which removes repeated values itself."""
+def jdbc_references(
+    spark: SparkSession, url: str, properties: Mapping[str, str], partitions: int = 1
+) -> LoadReference:
+    """References from a database, which removes repeated values itself.
+
+    With several ``partitions``, each reads its own range of values; the database cuts them by
+    counting. NULL is no value and is not read then.
+    """
+    options = jdbc_properties(properties)
 
     def load(database: str, table: str, column: str) -> DataFrame:
         source = _require_name(f"{database}.{table}")
         query = f"(SELECT DISTINCT {_require_name(column)} FROM {source}) ref"
-        return spark.read.jdbc(url, query, properties=jdbc_properties(properties))
+        if partitions == 1:
+            return spark.read.jdbc(url, query, properties=options)
+        asked = spark.read.jdbc(url, f"({cut_query(source, column, partitions)}) q", properties=options)
+        *ranges, _ = cut_predicates(column, [row[0] for row in asked.collect()])
+        return spark.read.jdbc(url, query, predicates=ranges, properties=options)
 
     return load
