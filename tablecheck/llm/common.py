@@ -67,7 +67,10 @@ def components(spark: SparkSession, links: DataFrame, rounds: int = 64) -> DataF
     for _ in range(rounds):
         edges = stored(spark, _small_star(_large_star(edges)), "links")
         state = edges.agg(
-            F.count(F.lit(1)), F.sum(F.hash("a", "b").cast("long")), F.sum("b")
+            F.count(F.lit(1)),
+            F.sum(F.hash("a", "b").cast("long")),
+            # Ids may be any bigint: their sum need not fit one.
+            F.sum(F.col("b").cast("decimal(38,0)")),
         ).collect()[0]
         if state == before:
             break
@@ -94,8 +97,8 @@ def _large_star(edges: DataFrame) -> DataFrame:
     low = both.groupBy("a").agg(F.least(F.col("a"), F.min("b")).alias("low"))
     return (
         both.where("b > a")
-        .select("b", (-F.col("a")).alias("key"))
-        .join(low.select("low", (-F.col("a")).alias("key")), "key")
+        .select("b", F.bitwise_not("a").alias("key"))
+        .join(low.select("low", F.bitwise_not("a").alias("key")), "key")
         .select(F.col("b").alias("a"), F.col("low").alias("b"))
         .distinct()
     )
@@ -103,8 +106,8 @@ def _large_star(edges: DataFrame) -> DataFrame:
 
 def _small_star(edges: DataFrame) -> DataFrame:
     low = edges.groupBy("a").agg(F.min("b").alias("low"))
-    moved = edges.select("b", (-F.col("a")).alias("key")).join(
-        low.select("low", (-F.col("a")).alias("key")), "key"
+    moved = edges.select("b", F.bitwise_not("a").alias("key")).join(
+        low.select("low", F.bitwise_not("a").alias("key")), "key"
     )
     moved = moved.where("b <> low")
     return (

@@ -14,8 +14,10 @@ How much is dropped depends on the data: clustered vectors leave few pairs of ce
 evenly in many dimensions leave all of them, and the work grows with the square of the table, in blocks
 of matrix products.
 
-Cases: vectors that are null, zero, of another length than the pivots' or hold null or non-finite
-components link with nothing; equal vectors link; rows that repeat an id are one vector with the links
+Vectors of different lengths never link; each length has cells and trees of its own.
+
+Cases: vectors that are null, zero or hold null or non-finite components link with nothing; equal
+vectors link; rows that repeat an id are one vector with the links
 of all of them, each row is returned; a null id links with nothing and has no component; an empty table
 gives an empty result. Other columns are not read.
 """
@@ -255,15 +257,24 @@ def near_pairs(spark: SparkSession, vectors: DataFrame, cosine: float, chunk: in
         F.col("vec_id").cast("long").alias("vec_id"),
         F.col("embedding").cast("array<double>").alias("vector"),
     )
-    n = good.count()
-    empty = spark.createDataFrame([], "vec_id long, n long, low long")
-    if not n:
-        return empty
+    lengths = good.groupBy(F.size("vector").alias("length")).agg(F.count(F.lit(1)).alias("n")).collect()
+    found = spark.createDataFrame([], "vec_id long, n long, low long")
+    for row in sorted(lengths):
+        own = good.where(F.size("vector") == row.length)
+        if row.n > 1:
+            # What a length leaves is written before the next one starts, unless it is the only one.
+            pairs = _near_pairs_of_length(spark, own, row.n, cosine, chunk)
+            found = found.unionByName(pairs if len(lengths) == 1 else stored(spark, pairs, "near"))
+    return found
+
+
+def _near_pairs_of_length(
+    spark: SparkSession, good: DataFrame, n: int, cosine: float, chunk: int
+) -> DataFrame:
     k = max(1, min(MAX_CELLS, n // chunk))
     pivots = good.orderBy(F.xxhash64("vec_id"), "vec_id").limit(k).collect()
-    size = len(pivots[0].vector)
-    pivots = np.array([p.vector for p in pivots if len(p.vector) == size])
-    celled = good.where(F.size("vector") == size).mapInArrow(
+    pivots = np.array([p.vector for p in pivots])
+    celled = good.mapInArrow(
         _cells(pivots), "vec_id long, vector array<double>, cell int, apart double"
     )
     celled = stored(spark, celled, "cells")

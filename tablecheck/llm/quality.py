@@ -217,7 +217,11 @@ def held_out(doc_id: str = "doc_id") -> Column:
 
 
 def learn(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS) -> RuleModel:
-    """Fits on at most ``sample_rows`` labels, none of them held out."""
+    """Fits on at most ``sample_rows`` labels, none of them held out.
+
+    Documents that share a labelled id are one of them, the one with the least hash of its text: no more
+    rows than labels come to the driver.
+    """
     chosen = (
         labels.where("quality is not null and doc_id is not null")
         .where(~held_out())
@@ -226,14 +230,16 @@ def learn(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS) ->
         .limit(sample_rows)
     )
     # At most sample_rows rows of two numbers: a broadcast of a proven size.
-    texts = docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id")
-    measured, names = with_statistics(texts)
+    labelled = docs.select("doc_id", "text").join(F.broadcast(chosen.select("doc_id").distinct()), "doc_id")
+    first = F.min(F.struct(F.xxhash64("text").alias("hash"), "text"))
+    texts = labelled.groupBy("doc_id").agg(first["text"].alias("text"))
+    measured, names = with_statistics(texts.join(F.broadcast(chosen), "doc_id"))
     rows = measured.select("quality", *names).collect()
     return fit([r.asDict() for r in rows], names)
 
 
 def with_score(docs: DataFrame, model: RuleModel) -> DataFrame:
-    """``docs`` with ``score`` and ``predicted``."""
+    """``docs`` with ``score`` and ``predicted``, which replace columns of these names."""
     inner = docs.select(F.struct(*docs.columns).alias("doc"), "text")
     measured, names = with_statistics(inner)
     # A generator of one row stands between statistics and rules. Without it, a caller's filter on the
@@ -241,4 +247,9 @@ def with_score(docs: DataFrame, model: RuleModel) -> DataFrame:
     one = F.explode(F.array(F.struct(*names))).alias("statistics")
     scored = measured.select("doc", one).select("doc", "statistics.*")
     scored = scored.select("doc", model.column().alias("score"))
-    return scored.select("doc.*", "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
+    kept = [c for c in docs.columns if c.lower() not in ("score", "predicted")]
+    return scored.select(
+        *[F.col("doc").getField(c).alias(c) for c in kept],
+        "score",
+        (F.col("score") >= 0.5).cast("int").alias("predicted"),
+    )

@@ -38,6 +38,34 @@ def test_components(spark):
     assert components(spark, spark.createDataFrame([], "a long, b long")).collect() == []
 
 
+def test_components_of_ids_near_the_bounds(spark):
+    high, low = 2**63 - 1, -(2**63)
+    links = [(high - i, high - i - 1) for i in range(40)] + [(low, low + 1), (low + 1, low + 2), (0, -5)]
+    rows = components(spark, spark.createDataFrame(links, "a long, b long")).collect()
+    assert {r.node: r.component for r in rows} == classes({n for pair in links for n in pair}, links)
+
+
+def test_near_duplicates_with_large_ids(spark):
+    text = "the same words again and again in every one of these texts " * 3
+    ids = [2**63 - 1, 2**62, 2**62 + 5, -(2**63)]
+    docs = spark.createDataFrame([(i, text) for i in ids], "doc_id long, text string")
+    found = {r.doc_id: r.component_id for r in minhash.near_duplicates(spark, docs, 3, 85).collect()}
+    assert found == dict.fromkeys(ids, -(2**63))
+    close = [(i, [1.0, 2.0, 0.01 * n]) for n, i in enumerate(ids)]
+    frame = spark.createDataFrame(close, "vec_id long, embedding array<double>")
+    rows = cover_tree.near_duplicates(spark, frame, 0.9).collect()
+    assert all((r.n_links, r.component_id) == (3, -(2**63)) for r in rows)
+
+
+def test_vectors_of_several_lengths(spark):
+    rows = [(i, [1.0, 0.01 * i]) for i in range(5)] + [(10 + i, [1.0, 2.0, 0.01 * i]) for i in range(7)]
+    rows += [(30, [1.0, 1.0, 1.0, 1.0]), (31, [1.0]), (32, [2.0]), (33, [-1.0])]
+    frame = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    found = {r.vec_id: (r.n_links, r.component_id) for r in cover_tree.near_duplicates(spark, frame, 0.9).collect()}
+    expected = {i: (4, 0) for i in range(5)} | {10 + i: (6, 10) for i in range(7)}
+    assert found == expected | {30: (0, 30), 31: (1, 31), 32: (1, 31), 33: (0, 33)}
+
+
 def vectors():
     rng = np.random.default_rng(6)
     base = rng.normal(size=(60, 8))

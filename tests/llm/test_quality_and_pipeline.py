@@ -53,6 +53,28 @@ def test_a_filter_on_the_score_does_not_repeat_statistics(spark, edge):
     assert optimized.count("array_distinct(") == 2
 
 
+def test_columns_called_like_the_result(spark, edge):
+    assert {"score"} <= set(edge.columns)
+    rows = quality.with_score(edge.withColumn("Predicted", F.lit(9)), quality.RuleModel(0.0, ())).collect()
+    assert len(rows) == edge.count() and all((r.score, r.predicted) == (0.5, 1) for r in rows)
+
+
+def test_rows_that_share_a_labelled_id_come_once(spark):
+    docs = spark.range(3000).select(
+        F.lit(7).cast("long").alias("doc_id"), F.concat(F.lit("some words "), "id").alias("text")
+    )
+    docs = docs.unionByName(spark.createDataFrame([(1, "other words"), (2, None)], "doc_id long, text string"))
+    labels = spark.createDataFrame([(i, i % 2) for i in (1, 2, 7, 7)], "doc_id long, quality int")
+    seen = []
+    original = quality.fit
+    quality.fit = lambda rows, names: seen.append(len(rows)) or original(rows, names)
+    try:
+        quality.learn(docs, labels)
+    finally:
+        quality.fit = original
+    assert seen and seen[0] <= 4
+
+
 def test_quality_of_odd_documents(spark, edge, nothing):
     labels = spark.createDataFrame(
         [(1, 1), (2, None), (None, 1), (4, 0), (4, 0)], "doc_id long, quality int"
@@ -132,7 +154,7 @@ def test_registered():
     assert [n for n in QUERIES if n.startswith("op")] == sorted(
         (n for n in QUERIES if n.startswith("op")), key=lambda n: int(n[2:].split("_")[0])
     )
-    assert len(QUERIES) == 11
+    assert len(QUERIES) == 14
 
 
 @pytest.mark.parametrize("name", list(ORACLE_SQL))
