@@ -604,28 +604,27 @@ FROM generate_series(0, 11) s(i) LEFT JOIN r ON r.range_no = i GROUP BY i""",
     ),
     "referential_one_pass": _report(
         [
-            _reference_row("l_orderkey", "lineitem", "o_orderkey", "thin_orders", "given.orders"),
-            _reference_row("l_partkey", "lineitem", "p_partkey", "thin_part", "given.part"),
-            _reference_row("l_suppkey", "lineitem", "s_suppkey", "thin_supplier", "given.supplier"),
-            _reference_row("l_linenumber", "lineitem", "s_suppkey", "thin_supplier", "given.supplier"),
-            _reference_row("supplier_text", "texts", "c_custkey", "customer"),
-            _reference_row("l_returnflag", "lineitem", "o_orderstatus", "thin_orders", "given.orders"),
+            _reference_row("doc_id", "documents", "doc_id", "thin_labels", "given.labels"),
+            _reference_row("n_chars", "documents", "vec_id", "thin_embeddings", "given.embeddings"),
+            _reference_row("id_text", "texts", "page_id", "pages"),
+            _reference_row("lang", "documents", "role", "conversations"),
+            _reference_row("source", "documents", "o_orderkey", "thin_orders", "given.orders"),
+            _reference_row("doc_id", "documents", "vec_id", "thin_embeddings", "given.embeddings"),
         ],
+        "thin_labels AS (SELECT * FROM labels WHERE doc_id % 7 <> 0)",
+        "thin_embeddings AS (SELECT * FROM embeddings WHERE vec_id % 5 <> 0)",
         "thin_orders AS (SELECT * FROM orders WHERE o_orderkey % 3 <> 0)",
-        "thin_part AS (SELECT * FROM part WHERE p_partkey % 7 <> 0)",
-        "thin_supplier AS (SELECT * FROM supplier WHERE s_suppkey % 5 <> 0)",
-        "texts AS (SELECT CAST(l_suppkey AS VARCHAR) AS supplier_text FROM lineitem)",
+        "texts AS (SELECT CAST(doc_id AS VARCHAR) AS id_text FROM documents)",
     ),
     "grouping_sets": _report(
         [
-            _once_row(["l_orderkey"], "l_linenumber", "1", ["1", "2"], "lines"),
-            _once_row(["l_orderkey"], "l_linenumber", "2", ["1", "2"], "lines"),
-            _some_row(["l_partkey"], "l_returnflag", "R", "lines"),
-            _once_row(["l_suppkey", "l_orderkey"], "l_returnflag", "A", ["A"], "lines", every=True),
-            _some_row(["l_orderkey"], "l_returnflag", "n", "lines"),
-            _some_row(["l_linestatus", "l_partkey"], "l_returnflag", "a", "lines"),
-        ],
-        "lines AS (SELECT * REPLACE (CAST(l_linenumber AS VARCHAR) AS l_linenumber) FROM lineitem)",
+            _once_row(["source"], "lang", "en", ["en", "de"], "documents"),
+            _once_row(["source"], "lang", "de", ["en", "de"], "documents"),
+            _some_row(["n_chars"], "lang", "E", "documents"),
+            _once_row(["doc_id", "source"], "lang", "fr", ["fr"], "documents", every=True),
+            _some_row(["source"], "text", "the", "documents"),
+            _some_row(["lang", "n_chars"], "source", "SRC1", "documents"),
+        ]
     ),
     "report_order": _PLACED_CHECKS,
     "key_ranges_skewed": "\nUNION ALL\n".join(

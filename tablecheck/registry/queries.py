@@ -313,26 +313,23 @@ def referential_large(spark, sf_dir):
 def referential_one_pass(spark, sf_dir):
     """Five references at once, whole numbers and texts, with values that each of them lacks."""
     given = given_references(spark, sf_dir)
-    kept = {"orders": "o_orderkey % 3 <> 0", "part": "p_partkey % 7 <> 0", "supplier": "s_suppkey % 5 <> 0"}
+    kept = {"orders": "o_orderkey % 3 <> 0", "labels": "doc_id % 7 <> 0", "embeddings": "vec_id % 5 <> 0"}
 
     def load(database, name, column):
         return given(database, name, column).where(kept.get(name, "true"))
 
-    lines = table(spark, sf_dir, "lineitem").withColumn(
-        "supplier_text", F.col("l_suppkey").cast("string")
-    )
+    docs = table(spark, sf_dir, "documents").withColumn("id_text", F.col("doc_id").cast("string"))
     rules = [
         ColumnRule(name, referential_bbdd="given", referential_table_field_name=text)
         for name, text in {
-            "l_orderkey": "orders.o_orderkey",
-            "l_partkey": "part.p_partkey",
-            "l_suppkey": "supplier.s_suppkey",
-            "supplier_text": "customer.c_custkey",
-            "l_linenumber": "supplier.s_suppkey",
-            "l_returnflag": "orders.o_orderstatus",
+            "doc_id": "labels.doc_id",
+            "n_chars": "embeddings.vec_id",
+            "id_text": "pages.page_id",
+            "lang": "conversations.role",
+            "source": "orders.o_orderkey",
         }.items()
-    ]
-    return _shown(references_report(lines, rules, load, keep_zero=True))
+    ] + [ColumnRule("doc_id", referential_bbdd="given", referential_table_field_name="embeddings.vec_id")]
+    return _shown(references_report(docs, rules, load, keep_zero=True))
 
 
 @query
@@ -406,13 +403,13 @@ def business_order_lines(spark, sf_dir):
 def grouping_sets(spark, sf_dir):
     """Rules over four different groupings, of which some share columns."""
     rules = [
-        ExactlyOne(("l_orderkey",), "l_linenumber", ("1", "2")),
-        AtLeastOne(("l_partkey",), "l_returnflag", "R"),
-        ExactlyOne(("l_suppkey", "l_orderkey"), "l_returnflag", ("A",), include_empty_groups=True),
-        AtLeastOne(("l_orderkey",), "l_returnflag", "n"),
-        AtLeastOne(("l_linestatus", "l_partkey"), "l_returnflag", "a"),
+        ExactlyOne(("source",), "lang", ("en", "de")),
+        AtLeastOne(("n_chars",), "lang", "E"),
+        ExactlyOne(("doc_id", "source"), "lang", ("fr",), include_empty_groups=True),
+        AtLeastOne(("source",), "text", "the"),
+        AtLeastOne(("lang", "n_chars"), "source", "SRC1"),
     ]
-    return _shown(business_report(table(spark, sf_dir, "lineitem"), rules, keep_zero=True))
+    return _shown(business_report(table(spark, sf_dir, "documents"), rules, keep_zero=True))
 
 
 @query
