@@ -82,7 +82,7 @@ def arguments(argv: Sequence[str] | None = None) -> argparse.Namespace:
 def run(spark: SparkSession, given: argparse.Namespace) -> int:
     """Validate all pending requests; returns how many there were."""
     persist = StorageLevel.MEMORY_AND_DISK if given.persist else None
-    checks_per_scan = None
+    checks_per_scan, count_with_checks = None, False
     if given.source == "files":
         options = _pairs(given.option)
         load = file_tables(spark, given.root, given.format, **options)
@@ -90,6 +90,8 @@ def run(spark: SparkSession, given: argparse.Namespace) -> int:
         sink, control = _file_sinks(given), _file_control(spark, given)
         if given.format in ("parquet", "orc") and persist is None:
             checks_per_scan = COLUMNAR_CHECKS_PER_SCAN
+        # Text files have no count of their own: one scan counts and checks.
+        count_with_checks = given.format not in ("parquet", "orc") and persist is None
     elif given.source == "catalog":
         load, references, sink = catalog_tables(spark), catalog_references(spark), table_sink
         control = _any_control(load)
@@ -117,6 +119,7 @@ def run(spark: SparkSession, given: argparse.Namespace) -> int:
         mode=given.mode,
         persist=persist,
         checks_per_scan=checks_per_scan,
+        count_with_checks=count_with_checks,
         **business,
     )
     runner.reopen(given.reopen)

@@ -7,7 +7,7 @@ from collections.abc import Iterable, Sequence
 from dataclasses import dataclass, fields
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Row, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, Row, SparkSession
 from pyspark.sql import functions as F
 
 from tablecheck.local import local_frame
@@ -70,6 +70,16 @@ def scan_report(
     return union_reports(df.sparkSession, reports)
 
 
+def counted_scan(df: DataFrame, checks: Sequence[Check]) -> tuple[int, list[Row]]:
+    """The number of rows and the violations of all checks, from one scan of the table."""
+    if not any(isinstance(check.count, Column) for check in checks):
+        return df.count(), []
+    counted = Observation()
+    observed = df.observe(counted, F.count(F.lit(1)).alias("n_rows"))
+    rows = collect_report(scan_report(observed, checks))
+    return counted.get["n_rows"], rows
+
+
 def _parts(checks: Sequence[Check], checks_per_scan: int) -> list[list[Check]]:
     """The checks in order of their columns, cut between columns."""
     by_column: dict[str, list[Check]] = {}

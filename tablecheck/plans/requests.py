@@ -25,7 +25,7 @@ from tablecheck.fixed_values import (
 from tablecheck.operators.functional import DEFAULT_RULES, BusinessRule
 from tablecheck.operators.referential import LoadReference
 from tablecheck.operators.report import report_of_rows, violation
-from tablecheck.plans.validate import Mode, ValidationOutcome, validate_table
+from tablecheck.plans.validate import Mode, ValidationOutcome, count_and_check, validate_table
 from tablecheck.sinks.log import append_log, log_rows
 from tablecheck.sinks.status import StatusWriter
 from tablecheck.sinks.targets import Sink
@@ -42,6 +42,8 @@ class RequestRunner:
     ``persist`` keeps a table between its passes. Leave it out for columnar files, which are cheaper
     to read again by column; set it (``StorageLevel.MEMORY_AND_DISK``) where reading is dear, as from
     a database. ``checks_per_scan`` is the other way round: for tables of columnar files only.
+    ``count_with_checks`` is for tables of text files that are not kept: the scan that counts rows also
+    checks types, nulls and lengths.
     """
 
     spark: SparkSession
@@ -55,6 +57,7 @@ class RequestRunner:
     mode: Mode = "fused"
     persist: StorageLevel | None = None
     checks_per_scan: int | None = None
+    count_with_checks: bool = False
 
     def reopen(self, ids: Sequence[int]) -> None:
         """Requests with these ids are pending again."""
@@ -88,16 +91,24 @@ class RequestRunner:
         if self.persist is not None:
             df = df.persist(self.persist)
         try:
-            row_count = df.count()
-            writer.append(request.id_trigger, INGESTED, row_count)
+            counted = None
+            if self.count_with_checks:
+                rules = rules_for(self.rules, request.id_type_table)
+                row_count, counted = count_and_check(df, rules, has_header)
+                writer.append(request.id_trigger, INGESTED, row_count)
+            else:
+                row_count = df.count()
+                writer.append(request.id_trigger, INGESTED, row_count)
+                rules = rules_for(self.rules, request.id_type_table)
             return validate_table(
                 df,
-                rules_for(self.rules, request.id_type_table),
+                rules,
                 has_header=has_header,
                 load_reference=self.load_reference,
                 business=self._business_of(request.id_type_table),
                 mode=self.mode,
                 row_count=row_count,
+                counted=counted,
                 checks_per_scan=self.checks_per_scan,
                 on_flag=partial(writer.append, request.id_trigger),
             )

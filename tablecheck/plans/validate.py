@@ -27,6 +27,7 @@ from tablecheck.operators.referential import LoadReference, ReferencePlan
 from tablecheck.operators.report import (
     Check,
     collect_report,
+    counted_scan,
     in_order,
     report_of_rows,
     scan_report,
@@ -53,6 +54,27 @@ class ValidationOutcome:
         return report_of_rows(spark, self.violations)
 
 
+def count_and_check(
+    df: DataFrame, rules: Sequence[ColumnRule], has_header: bool
+) -> tuple[int, list[Row] | None]:
+    """The number of rows, and the violations of types, nulls and lengths found by the same scan.
+
+    For tables whose every scan is dear, as of text files: give both to :func:`validate_table`. The
+    violations are None where a plain count is all that can be done: with wrong columns, or a rule that
+    cannot be applied, which is reported in its place.
+    """
+    # Whether there are rows is not known yet: the check of names does without.
+    structure = check_structure(df, [r.field_name for r in rules], has_header, row_count=1)
+    if not structure.ok:
+        return df.count(), None
+    job = _Job(structure.df, rules, _no_references, (), 0, None)
+    try:
+        checks = [*job.type_checks(), *job.null_checks(), *job.length_checks()]
+    except Exception:
+        return df.count(), None
+    return counted_scan(structure.df, checks)
+
+
 @dataclass(frozen=True)
 class _Job:
     """What the checks of one table need."""
@@ -63,6 +85,8 @@ class _Job:
     business: Sequence[BusinessRule]
     n_rows: int
     checks_per_scan: int | None
+    # Violations of types, nulls and lengths, if they are known already.
+    counted: list[Row] | None = None
 
     def type_checks(self) -> list[Check]:
         technical.check_date_formats(self.df.sparkSession, self.df.schema, self.rules)
@@ -112,6 +136,7 @@ def validate_table(
     business: Sequence[BusinessRule] = DEFAULT_RULES,
     mode: Mode = "fused",
     row_count: int | None = None,
+    counted: list[Row] | None = None,
     checks_per_scan: int | None = None,
     on_flag: Callable[[int], None] = lambda flag: None,
 ) -> ValidationOutcome:
@@ -121,7 +146,8 @@ def validate_table(
     something, and then runs one kind of check after the other. ``fused`` reports the same from fewer
     passes: one scan counts everything that looks at single rows, whatever its phase; if the table is
     still clean then, one action runs the key, the references and the groups side by side.
-    ``checks_per_scan`` is for tables of columnar files, see :func:`scan_report`.
+    ``checks_per_scan`` is for tables of columnar files, see :func:`scan_report`; ``row_count`` and
+    ``counted`` for others, see :func:`count_and_check`.
 
     A rule that cannot be applied raises when its check is reached, in both modes. ``on_flag`` is
     told each state on the way; the final one is in the outcome.
@@ -135,7 +161,8 @@ def validate_table(
         return ValidationOutcome(STRUCTURE_FAILED, row_count, [row])
     on_flag(STRUCTURE_OK)
 
-    job = _Job(structure.df, rules, load_reference or _no_references, business, row_count, checks_per_scan)
+    load_reference = load_reference or _no_references
+    job = _Job(structure.df, rules, load_reference, business, row_count, checks_per_scan, counted)
     steps = {"fused": _fused, "gated": _gated}[mode](job)
     for phase, last_of_phase, violations in steps:
         if violations:
@@ -171,7 +198,11 @@ def _row_stages(job: _Job) -> dict[str, _Attempt]:
 
 def _count_stages(job: _Job, stages: dict[str, _Attempt]) -> list[Row]:
     """One scan for all of them; a kind that could not be prepared is left out."""
-    return _count(job, [check for stage in stages.values() for check in stage.result or []])
+    if job.counted is None:
+        return _count(job, [check for stage in stages.values() for check in stage.result or []])
+    if job.counted or "business" not in stages:
+        return job.counted
+    return _count(job, stages["business"].result or [])
 
 
 def _technical_rows(stages: dict[str, _Attempt], counted: list[Row]) -> _Steps:
