@@ -135,6 +135,16 @@ class Reader:
         return next(rows for word, rows in self.answers.items() if f"SELECT {word}(" in asked)
 
 
+def test_jdbc_reference_in_ranges_of_values():
+    session = Reader(cuts=["m", "a", "t"])
+    jdbc_references(session, "jdbc:x", {"user": "u"}, partitions=3)("s", "t", "c")
+    cuts, data = session.calls
+    assert "NTILE(3)" in cuts[0] and "FROM s.t" in cuts[0]
+    assert data[0] == "(SELECT DISTINCT c FROM s.t) ref"
+    # Every value is in one range; NULL is none and not read.
+    assert data[1] == ["c < 'm'", "c >= 'm' AND c < 't'", "c >= 't'"]
+
+
 def test_jdbc_read_in_counted_ranges():
     session = Reader(n_rows=2_400_000, cuts=[80, 0, 40])
     read_jdbc_table(session, "jdbc:x", "s.t", {"user": "u"}, "k")
