@@ -1,5 +1,8 @@
 import itertools
 import random
+import time
+
+import pytest
 
 from tablecheck.llm import html_extract as h
 
@@ -99,3 +102,53 @@ def test_neighbours_outvote_a_class_word():
     assert h.main_blocks(f"<article>{inner}</article>")[0] == [*MAIN[:2], MAIN[1], *MAIN[2:]]
     outside = f"<article>{paragraphs(MAIN[:2])}</article><p>{MAIN[1]}</p><article>{paragraphs(MAIN[2:])}</article>"
     assert h.main_blocks(outside)[0] == [*MAIN[:2], MAIN[1], *MAIN[2:]]
+
+
+FRAME = '<nav><a href="/">Home</a></nav>{}<footer><p>Imprint of the site.</p></footer>'
+
+
+@pytest.mark.parametrize("length", (800, 5000))
+@pytest.mark.parametrize("name", ("advert", "cookie-notice", "notice", "sidebar", "ad-slot", "newsletter"))
+def test_long_boilerplate_in_and_beside_the_main_text(name, length):
+    box = f'<div class="{name}"><p>{LINE * (length // len(LINE))}</p></div>'
+    for start, end in (("<article>", "</article>"), ('<div class="post">', "</div>"), ("<div>", "</div>")):
+        inside = f"{start}{paragraphs(MAIN[:2])}{box}{paragraphs(MAIN[2:])}{end}"
+        assert h.main_blocks(FRAME.format(inside))[0] == MAIN
+        for beside in (f"{box}{start}{paragraphs(MAIN)}{end}", f"{start}{paragraphs(MAIN)}{end}{box}"):
+            assert h.main_blocks(FRAME.format(beside))[0] == MAIN
+
+
+def test_pages_that_are_one_form():
+    body = f'<div class="header">Site</div><div class="entry">{paragraphs(MAIN)}</div><input name="q">'
+    inner = '<form action="/search"><p>Search all the pages of this site.</p></form><div class="ad">Buy now.</div>'
+    for whole in (FRAME.format(body + inner), body + inner, f"<div id=\"social\">{body}</div>{inner}"):
+        assert h.main_blocks(f'<form id="aspnetForm">{whole}</form>')[0] == MAIN
+    # Beside an article, a form stays a form, however long its text is.
+    terms = f"<form>{paragraphs([LINE * 30])}<textarea>x</textarea></form>"
+    assert h.main_blocks(f"<article>{paragraphs(MAIN)}</article>{terms}")[0] == MAIN
+
+
+def test_a_named_wrapper_of_the_whole_page():
+    inner = f'<article><h1>Title</h1>{paragraphs(MAIN)}<div class="ad">Buy now, only today.</div></article>'
+    comments = f'<div class="comments"><article><p>{LINE}</p></article></div>'
+    page = f'<p>Read this first.</p><div class="layout sidebar-left">{inner}{comments}</div>'
+    assert h.main_blocks(page)[0] == ["Title", *MAIN]
+
+
+def test_header_of_an_entry():
+    page = f'<article><div class="entry-header"><h2>Title</h2></div>{paragraphs(MAIN)}</article>'
+    assert h.main_blocks(page)[0] == ["Title", *MAIN]
+
+
+@pytest.mark.parametrize(
+    "piece", ("<div><span>x</span>", "<div></p>", "<b></i>", "<div class=ad>x", "<form>x", "<p><b>x", "<li><b></i>")
+)
+def test_open_elements_take_linear_time(piece):
+    def seconds(n):
+        started = time.process_time()
+        h.main_blocks(piece * n)
+        return time.process_time() - started
+
+    seconds(1000)
+    assert seconds(80_000) < max(2.0, 16 * seconds(20_000))
+    assert seconds(100_000) < 8
