@@ -71,6 +71,10 @@ def arguments(argv: Sequence[str] | None = None) -> argparse.Namespace:
     parser.add_argument("--rules", default=RULES)
     parser.add_argument("--log", default=LOG)
     parser.add_argument("--status", default=STATUS)
+    parser.add_argument("--workers", type=int, default=1, help="requests validated side by side")
+    parser.add_argument(
+        "--one-commit", action="store_true", help="write the states of a request once, behind its log rows"
+    )
     parser.add_argument("--mode", choices=("fused", "gated"), default="fused")
     given = parser.parse_args(argv)
     for option in {"files": ["root"], "jdbc": ["url"]}.get(given.source, []):
@@ -120,6 +124,8 @@ def run(spark: SparkSession, given: argparse.Namespace) -> int:
         persist=persist,
         checks_per_scan=checks_per_scan,
         count_with_checks=count_with_checks,
+        workers=given.workers,
+        one_commit=given.one_commit,
         **business,
     )
     runner.reopen(given.reopen)
@@ -169,6 +175,9 @@ def _pairs(texts: Sequence[str]) -> dict[str, str]:
 
 if __name__ == "__main__":
     options = arguments()
-    session = SparkSession.builder.appName("tablecheck").getOrCreate()
+    builder = SparkSession.builder.appName("tablecheck")
+    if options.workers > 1:
+        builder = builder.config("spark.scheduler.mode", "FAIR")
+    session = builder.getOrCreate()
     print(f"{run(session, options)} requests validated")
     session.stop()

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Iterable, Sequence
-from dataclasses import dataclass, field
+from dataclasses import dataclass, field, replace
 
 from pyspark.sql import Column, DataFrame, Row
 from pyspark.sql import functions as F
@@ -246,6 +246,20 @@ class ReferencePlan:
         """One plan for all references, if there are any."""
         return [missing_in_one_pass(self.df, self.opened, self.keep_zero)] if self.opened else []
 
+    def readable(self) -> ReferencePlan:
+        """The same without references that break while they are read; those become rows.
+
+        Each reference is read once by itself; the table is not touched.
+        """
+        opened, rows = [], list(self.rows)
+        for o in self.opened:
+            try:
+                o.known.write.format("noop").mode("overwrite").save()
+                opened.append(o)
+            except Exception as error:
+                rows += failed_group(o.group, error)
+        return replace(self, opened=opened, rows=rows)
+
     def run_each(self) -> list[Row]:
         """Run the plans one by one; a failing reference does not touch the others."""
         rows = list(self.rows)

@@ -1,14 +1,16 @@
-"""The batch job: every pending request, one after the other, none harming the next."""
+"""The batch job: every pending request, one after the other or side by side, none harming another."""
 
 from __future__ import annotations
 
+import threading
 import time
 import warnings
 from collections.abc import Callable, Sequence
-from dataclasses import dataclass
+from concurrent.futures import ThreadPoolExecutor
+from dataclasses import dataclass, field
 from functools import partial
 
-from pyspark import StorageLevel
+from pyspark import StorageLevel, inheritable_thread_target
 from pyspark.sql import DataFrame, Row, SparkSession
 
 from tablecheck.fixed_values import (
@@ -44,6 +46,12 @@ class RequestRunner:
     a database. ``checks_per_scan`` is the other way round: for tables of columnar files only.
     ``count_with_checks`` is for tables of text files that are not kept: the scan that counts rows also
     checks types, nulls and lengths.
+
+    ``workers`` is how many requests run side by side, each in a scheduler pool of its own: small tables
+    then fill the gaps that large ones leave (set ``spark.scheduler.mode`` to FAIR). States of a request
+    stay in order, and sinks get one batch at a time. With ``one_commit`` the states of a request are
+    written once, behind its log rows: a run that was killed leaves its request pending, and
+    :func:`tablecheck.sinks.current_log` leaves out the log rows of attempts that were repeated.
     """
 
     spark: SparkSession
@@ -58,6 +66,9 @@ class RequestRunner:
     persist: StorageLevel | None = None
     checks_per_scan: int | None = None
     count_with_checks: bool = False
+    workers: int = 1
+    one_commit: bool = False
+    _logging: threading.Lock = field(default_factory=threading.Lock, init=False, repr=False, compare=False)
 
     def reopen(self, ids: Sequence[int]) -> None:
         """Requests with these ids are pending again."""
@@ -68,9 +79,25 @@ class RequestRunner:
     def run_pending(self, triggers: DataFrame, status: DataFrame | None = None) -> int:
         """Validate every pending request and return their number. Requests are few."""
         requests = pending_requests(triggers, status).orderBy("id_trigger").collect()
-        writer = StatusWriter(self.spark, self.status_sink)
-        for request in requests:
+        writer = StatusWriter(self.spark, self.status_sink, self.one_commit)
+        if self.workers <= 1:
+            for request in requests:
+                self._run(request, writer)
+            return len(requests)
+
+        def run_in_pool(place: int, request: Row) -> None:
+            pool = f"requests-{place % self.workers}"
+            self.spark.sparkContext.setLocalProperty("spark.scheduler.pool", pool)
             self._run(request, writer)
+
+        with ThreadPoolExecutor(self.workers) as threads:
+            # Wrapped one by one: each takes local properties of its own along.
+            running = [
+                threads.submit(inheritable_thread_target(self.spark)(run_in_pool), place, request)
+                for place, request in enumerate(requests)
+            ]
+        for done in running:
+            done.result()
         return len(requests)
 
     def _run(self, request: Row, writer: StatusWriter) -> None:
@@ -82,6 +109,7 @@ class RequestRunner:
             kind = TABLE_VALIDATION if at_structure else FUNCTIONAL_VALIDATION
             self._log(request, outcome.violations, kind)
             writer.append(request.id_trigger, outcome.flag, duration_s=time.monotonic() - started)
+            writer.commit(request.id_trigger)
         except Exception as error:
             self._fail(request, writer, error, time.monotonic() - started)
 
@@ -122,13 +150,14 @@ class RequestRunner:
     def _log(self, request: Row, violations: Sequence[Row], kind: str) -> None:
         if violations:
             report = report_of_rows(self.spark, violations)
-            append_log(
-                self.log_sink, log_rows(report, request.id_trigger, request.table_name, kind)
-            )
+            rows = log_rows(report, request.id_trigger, request.table_name, kind)
+            with self._logging:
+                append_log(self.log_sink, rows)
 
     def _fail(self, request: Row, writer: StatusWriter, error: Exception, duration_s: float) -> None:
         try:
             writer.append(request.id_trigger, SYSTEM_ERROR, duration_s=duration_s)
+            writer.commit(request.id_trigger)
         except Exception as status_error:
             warnings.warn(f"request {request.id_trigger}: state not written: {status_error}",
                           stacklevel=2)

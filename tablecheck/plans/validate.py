@@ -227,18 +227,29 @@ def _fused(job: _Job) -> _Steps:
     yield from _technical_rows(stages, counted)
 
     references, groups = _Attempt(job.references), _Attempt(job.group_reports)
-    plans = job.key_reports()
-    plans += references.result.together() if references.result else []
-    plans += groups.result or []
+
+    def run(plan: ReferencePlan | None) -> list[Row]:
+        plans = job.key_reports() + (plan.together() if plan else []) + (groups.result or [])
+        return collect_report(union_reports(job.df.sparkSession, plans)) if plans else []
+
+    plan = references.result
     try:
-        found = collect_report(union_reports(job.df.sparkSession, plans)) if plans else []
+        try:
+            found = run(plan)
+        except Exception:
+            # Something broke while it was read. If references did, all else runs together again.
+            readable = plan.readable() if plan else None
+            if readable is None or len(readable.opened) == len(plan.opened):
+                raise
+            plan = readable
+            found = run(plan)
     except Exception:
-        # Something broke while it was read: find out what, with the others unharmed.
+        # Find out what it is, with the others unharmed.
         yield from _after_rows(job)
         return
     yield 2, True, job.confirmed_key([row for row in found if row.phase == 2])
     references.raise_if_failed()
-    yield 3, True, in_order(references.result.rows + [row for row in found if row.phase == 3])
+    yield 3, True, in_order(plan.rows + [row for row in found if row.phase == 3])
     for stage in (stages["business"], groups):
         stage.raise_if_failed()
     in_rows = [row for row in counted if row.phase == 4]

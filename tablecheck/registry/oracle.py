@@ -550,6 +550,26 @@ ORACLE_SQL: dict[str, str] = {
     "structure": _STRUCTURE,
     "request_flags": _REQUEST_FLAGS,
     "request_flags_gated": _REQUEST_FLAGS,
+    "request_flags_side_by_side": _REQUEST_FLAGS,
+    "log_of_attempts": """
+WITH begun AS (
+  SELECT user_id, max(CASE event_type WHEN 'view' THEN ts
+    ELSE ts - to_microseconds(CAST(round(value * 1000000) AS BIGINT)) END) AS attempt_begun
+  FROM events WHERE event_type IN ('view', 'purchase') GROUP BY user_id)
+SELECT CAST(e.user_id AS INTEGER) AS id_trigger, event_type AS validation_id,
+  CAST(event_id AS VARCHAR) AS validation_msg
+FROM events e LEFT JOIN begun b ON e.user_id = b.user_id
+WHERE event_type IN ('error', 'click') AND (attempt_begun IS NULL OR ts >= attempt_begun)""",
+    "referential_breaking": """
+SELECT CAST(3 AS INTEGER) AS phase, 'reference' AS check_name, column_name,
+  'REF_INTEGRITY_ERROR' AS error_type, n_violations
+FROM (
+  SELECT 'doc_id' AS column_name, count(DISTINCT doc_id) AS n_violations FROM documents
+  WHERE doc_id NOT IN (SELECT doc_id FROM labels WHERE doc_id IS NOT NULL)
+  UNION ALL SELECT 'lang', 1
+  UNION ALL SELECT 'n_chars', count(DISTINCT n_chars) FROM documents
+  WHERE n_chars NOT IN (SELECT vec_id FROM embeddings WHERE vec_id IS NOT NULL)) found
+WHERE n_violations > 0""",
     "request_history": _REQUEST_HISTORY,
     "error_log": _ERROR_LOG,
     "log_messages": """

@@ -25,6 +25,7 @@ from tablecheck.operators import (
     references_report,
     technical_report,
 )
+from tablecheck.plans.validate import validate_table
 from tablecheck.registry.fixtures import (
     RULES,
     given_references,
@@ -37,7 +38,7 @@ from tablecheck.rules import ColumnRule
 from tablecheck.schemas import CONFIG_SCHEMA
 from tablecheck.fixed_values import REQUIRED_NAMES
 from tablecheck.operators.report import collect_report
-from tablecheck.sinks import compacted_status, current_status, log_rows
+from tablecheck.sinks import compacted_status, current_log, current_status, log_rows
 from tablecheck.sources import (
     config_for,
     counted_cuts,
@@ -332,6 +333,28 @@ def referential_one_pass(spark, sf_dir):
     return _shown(references_report(docs, rules, load, keep_zero=True))
 
 
+@query
+def referential_breaking(spark, sf_dir):
+    """A whole validation with one reference that breaks while it is read, and two that don't."""
+    given = given_references(spark, sf_dir)
+
+    def load(database, name, column):
+        reference = given(database, name, column)
+        if name == "conversations":
+            broken = F.raise_error(F.lit("the reference broke"))
+            return reference.select(F.when(F.col(column).isNotNull(), broken).alias(column))
+        return reference
+
+    docs = table(spark, sf_dir, "documents").select("doc_id", "lang", "n_chars")
+    places = ("labels.doc_id", "conversations.role", "embeddings.vec_id")
+    rules = [
+        ColumnRule(name, referential_bbdd="given", referential_table_field_name=place)
+        for name, place in zip(docs.columns, places, strict=True)
+    ]
+    found = validate_table(docs, rules, load_reference=load, business=[]).report_df(spark)
+    return found.select("phase", "check_name", "column_name", "error_type", "n_violations")
+
+
 @query
 def reference_orders_customers(spark, sf_dir):
     """The distinct values of a reference column, as text."""
@@ -504,6 +527,12 @@ def request_flags_gated(spark, sf_dir):
     return current_status(run_requests(spark, sf_dir, mode="gated")[1])
 
 
+@query
+def request_flags_side_by_side(spark, sf_dir):
+    """The same from four requests at a time, with one commit each."""
+    return current_status(run_requests(spark, sf_dir, workers=4, one_commit=True)[1])
+
+
 @query
 def request_history(spark, sf_dir):
     """Every state each request went through, numbered."""
@@ -558,6 +587,25 @@ def compacted_states(spark, sf_dir):
     return current_status(compacted_status(_status_of_events(spark, sf_dir)))
 
 
+@query
+def log_of_attempts(spark, sf_dir):
+    """Log rows of the latest attempts, out of a long log and a long status table."""
+    events = table(spark, sf_dir, "events")
+    status = events.where("event_type IN ('view', 'purchase')").select(
+        F.col("user_id").cast("int").alias("id_trigger"),
+        F.expr("CASE event_type WHEN 'view' THEN 1 ELSE 2 END").alias("flag"),
+        F.col("ts").alias("event_time"),
+        F.expr("CASE event_type WHEN 'purchase' THEN value END").alias("duration_s"),
+    )
+    log = events.where("event_type IN ('error', 'click')").select(
+        F.col("user_id").cast("int").alias("id_trigger"),
+        F.col("event_type").alias("validation_id"),
+        F.col("event_id").cast("string").alias("validation_msg"),
+        F.col("ts").alias("execution_timestamp"),
+    )
+    return current_log(log, status).drop("execution_timestamp")
+
+
 @query
 def open_requests(spark, sf_dir):
     """Requests still to do, from a long queue and a long status table."""

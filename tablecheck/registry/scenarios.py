@@ -123,7 +123,9 @@ class KeptRows:
         return local_frame(self._spark, self.rows, self._schema)
 
 
-def run_requests(spark: SparkSession, sf_dir: str, mode: str = "fused") -> tuple[DataFrame, DataFrame]:
+def run_requests(
+    spark: SparkSession, sf_dir: str, mode: str = "fused", **options
+) -> tuple[DataFrame, DataFrame]:
     """Run all requests; returns their log and their states. Nothing is written."""
     triggers, config, rules = control_tables(spark)
     log, status = KeptRows(spark, LOG_SCHEMA), KeptRows(spark, STATUS_SCHEMA)
@@ -138,5 +140,6 @@ def run_requests(spark: SparkSession, sf_dir: str, mode: str = "fused") -> tuple
         mode=mode,
         # The tables are derived from events: each is worked out once for all passes of its request.
         persist=StorageLevel.MEMORY_AND_DISK,
+        **options,
     ).run_pending(triggers)
     return log.frame(), status.frame()

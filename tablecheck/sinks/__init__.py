@@ -1,4 +1,4 @@
-from tablecheck.sinks.log import append_log, capped_message, log_rows
+from tablecheck.sinks.log import append_log, capped_message, current_log, log_rows
 from tablecheck.sinks.status import StatusWriter, compacted_status, current_status
 from tablecheck.sinks.targets import (
     file_sink,
@@ -12,6 +12,7 @@ __all__ = [
     "append_log",
     "capped_message",
     "compacted_status",
+    "current_log",
     "current_status",
     "file_sink",
     "jdbc_sink",

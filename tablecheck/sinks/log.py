@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tablecheck.fixed_values import (
+    INGESTED,
     LOG_FLAG,
     LOG_INCIDENCES,
     MESSAGE_KEPT,
@@ -42,6 +43,24 @@ def log_rows(report: DataFrame, id_trigger: int, table_name: str, type_validatio
     )
 
 
+def current_log(log: DataFrame, status: DataFrame) -> DataFrame:
+    """The log rows of each request's latest attempt.
+
+    Rows are only ever appended: a request that was killed behind its log rows, or was reopened, leaves
+    those of every attempt. An attempt began when its rows were counted, or, where it ended without, its
+    duration before its last state. Rows of requests without any such state are kept. Log and states are
+    told apart by clock time, so the machines that wrote them need clocks that agree.
+    """
+    ended_after = F.expr("event_time - make_dt_interval(0, 0, 0, CAST(duration_s AS DECIMAL(18, 6)))")
+    counted_at = F.when(F.col("flag") == INGESTED, F.col("event_time"))
+    begun = status.groupBy("id_trigger").agg(
+        F.max(F.greatest(counted_at, ended_after)).alias("attempt_begun")
+    )
+    rows = log.join(begun, "id_trigger", "left")
+    latest = F.col("attempt_begun").isNull() | (F.col("execution_timestamp") >= F.col("attempt_begun"))
+    return rows.where(latest).select(*log.columns)
+
+
 def append_log(sink: Sink, rows: DataFrame) -> None:
     """Write log rows; a log that cannot be written does not stop a validation."""
     try:

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import threading
 import time
 from datetime import UTC, datetime
 
@@ -39,10 +40,16 @@ def compacted_status(status: DataFrame) -> DataFrame:
 
 
 class StatusWriter:
-    """Appends states, numbered so that later ones sort behind earlier ones."""
+    """Appends states, numbered so that later ones sort behind earlier ones; threads may share it.
 
-    def __init__(self, spark: SparkSession, sink: Sink) -> None:
+    Each state is written at once, so that others can follow a request. With ``one_commit``, the states of
+    a request are written together by :meth:`commit`: a request that was killed has left none.
+    """
+
+    def __init__(self, spark: SparkSession, sink: Sink, one_commit: bool = False) -> None:
         self._spark, self._sink, self._seq = spark, sink, 0
+        self._one_commit, self._held = one_commit, {}
+        self._lock = threading.Lock()
 
     def append(
         self,
@@ -51,7 +58,18 @@ class StatusWriter:
         row_count: int | None = None,
         duration_s: float | None = None,
     ) -> None:
-        # Clock time also orders the rows of different runs.
-        self._seq = max(self._seq + 1, time.time_ns())
-        row = (id_trigger, flag, row_count, self._seq, datetime.now(UTC), duration_s)
-        self._sink(local_frame(self._spark, [row], STATUS_SCHEMA))
+        with self._lock:
+            # Clock time also orders the rows of different runs.
+            self._seq = max(self._seq + 1, time.time_ns())
+            row = (id_trigger, flag, row_count, self._seq, datetime.now(UTC), duration_s)
+            if self._one_commit:
+                self._held.setdefault(id_trigger, []).append(row)
+            else:
+                self._sink(local_frame(self._spark, [row], STATUS_SCHEMA))
+
+    def commit(self, id_trigger: int) -> None:
+        """Write what is held back of a request."""
+        with self._lock:
+            rows = self._held.pop(id_trigger, None)
+            if rows:
+                self._sink(local_frame(self._spark, rows, STATUS_SCHEMA))

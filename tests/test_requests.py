@@ -7,7 +7,7 @@ from tablecheck import ColumnRule, RequestRunner
 from tablecheck.local import local_frame
 from tablecheck.schemas import CONFIG_SCHEMA, LOG_SCHEMA, RULE_SCHEMA, STATUS_SCHEMA, TRIGGER_SCHEMA
 from tablecheck.registry.scenarios import KeptRows
-from tablecheck.sinks import current_status
+from tablecheck.sinks import current_log, current_status
 
 AT = datetime(2024, 1, 1)
 
@@ -185,3 +185,84 @@ def test_all_states_and_codes(spark):
         "STRUCTURE_MISMATCH", "DATA_TYPE_ERROR", "NOT_NULL_ERROR", "LENGTH_ERROR", "PK_ERROR",
         "REF_INTEGRITY_ERROR", "FUNCTIONAL_ERROR", "EXECUTION_ERROR",
     }
+
+
+REQUESTS = [("good", "T", 0), ("bad", "T", 0), ("absent", "T", 0), ("narrow", "T", 0), ("unknown", "T", 0)] * 3
+
+
+def test_requests_side_by_side(job):
+    """The same states in the same order for each request, and the same log."""
+
+    def results():
+        log = sorted((r.id_trigger, r.validation_id, r.field_name) for r in job.log.rows)
+        return [job.states(i + 1) for i in range(len(REQUESTS))], log
+
+    job.run(*REQUESTS)
+    one_by_one = results()
+    job.log.rows, job.status.rows = [], []
+    assert job.run(*REQUESTS, workers=4) == len(REQUESTS)
+    assert results() == one_by_one
+    assert len({r.seq for r in job.status.rows}) == len(job.status.rows)
+
+
+def test_side_by_side_requests_have_pools_of_their_own(job, spark):
+    pools, load = set(), job.load
+
+    def loading(name):
+        pools.add(spark.sparkContext.getLocalProperty("spark.scheduler.pool"))
+        return load(name)
+
+    job.run(*REQUESTS, workers=3, load_table=loading)
+    assert pools == {"requests-0", "requests-1", "requests-2"}
+    assert spark.sparkContext.getLocalProperty("spark.scheduler.pool") is None
+
+
+def test_one_commit_per_request(job):
+    batches, keep = [], job.status
+
+    def sink(df):
+        batches.append(df.count())
+        keep(df)
+
+    job.run(("good", "T", 0), ("bad", "T", 0), ("absent", "T", 0), status_sink=sink, one_commit=True)
+    assert batches == [6, 4, 1]
+    assert [job.states(i) for i in (1, 2, 3)] == [[1, 11, 12, 13, 14, 2], [1, 11, 12, 32], [3]]
+
+
+class Killed(BaseException):
+    """Ends a run as a lost driver would: nothing handles it."""
+
+
+def test_a_killed_run_repeats_without_duplicates(job, spark):
+    """Killed between log and states: the request is still pending, and its log counts once."""
+    requests = local_frame(spark, [(i, "T", name, AT, 0, None) for i, name in ((1, "unknown"), (2, "bad"))],
+                           TRIGGER_SCHEMA)
+
+    def killed(df):
+        raise Killed
+
+    with pytest.raises(Killed):
+        job.runner(one_commit=True, status_sink=killed).run_pending(requests)
+    assert len(job.log.rows) == 1 and job.status.rows == []
+    assert job.runner(one_commit=True).run_pending(requests, job.status.frame()) == 2
+    assert len(job.log.rows) == 3
+    kept = current_log(job.log.frame(), job.status.frame())
+    assert kept.columns == LOG_SCHEMA.fieldNames()
+    assert sorted((r.id_trigger, r.validation_id) for r in kept.collect()) == [
+        (1, "REF_INTEGRITY_ERROR"), (2, "DATA_TYPE_ERROR")]
+    assert job.runner().run_pending(requests, job.status.frame()) == 0
+
+
+def test_log_of_a_reopened_request(job, spark):
+    """Also of attempts that ended before anything was counted."""
+    triggers = local_frame(spark, [(1, "T", "bad", AT, 0, None)], TRIGGER_SCHEMA)
+    for load in (job.load, lambda name: 1 / 0):
+        runner = job.runner(load_table=load)
+        if job.status.rows:
+            runner.reopen([1])
+        assert runner.run_pending(triggers, job.status.frame()) == 1
+    assert len(job.log.rows) == 2
+    kept = current_log(job.log.frame(), job.status.frame())
+    assert [r.validation_id for r in kept.collect()] == ["EXECUTION_ERROR"]
+    # Without any state, and with an empty one, every row is kept.
+    assert current_log(job.log.frame(), job.status.frame().limit(0)).count() == 2

@@ -119,6 +119,27 @@ def test_reference_that_breaks_while_read(check, spark, monkeypatch):
     assert check([GOOD, GOOD], load=lambda *_: broken)[:2] == (32, [("primary_key", "k", 1)])
 
 
+def test_breaking_references_cost_one_more_action(spark, text, monkeypatch):
+    """However many references there are, the table is read three times: rows, all that failed, the rest."""
+    reads = []
+    monkeypatch.setattr(
+        validate, "collect_report", lambda report: reads.append(1) or report.collect()
+    )
+    broken = spark.range(3).select(F.raise_error(F.lit("disk gone")).cast("string").alias("v"))
+    rules = [
+        ColumnRule(c, nullable=False, referential_bbdd="db", referential_table_field_name=f"{c}.v")
+        for c in "kndx"
+    ]
+    outcome = validate_table(
+        text(tuple("kndx"), [GOOD]), rules, business=[],
+        load_reference=lambda _, name, __: broken if name in "nd" else text("v", ["a", "zz"]),
+    )
+    assert len(reads) == 3 and outcome.flag == 33
+    found = {r.column_name: r.error_message for r in outcome.violations}
+    assert "disk gone" in found["n"] and "disk gone" in found["d"]
+    assert "do not exist" in found["x"] and "k" not in found
+
+
 def test_no_key_no_reference_no_business_rule(check):
     rules = [ColumnRule(c) for c in "kndx"]
     assert check([GOOD, GOOD], rules, business=[])[0] == 2
