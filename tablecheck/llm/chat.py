@@ -29,7 +29,7 @@ import re
 from collections.abc import Iterator
 
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 START, MIDDLE, END = "<|im_start|>", "<|im_sep|>", "<|im_end|>\n"
@@ -68,25 +68,29 @@ class Conversation:
     def __init__(self, conv_id: int | None):
         self.conv_id = conv_id
         self.messages: list[tuple[str, list[str]] | None] = []
+        self.ids: list[int | None] = []
         self.place: dict[int, int] = {}
 
     def apply(self, kind: str | None, message_id: int | None, role: str, text: str) -> None:
         at = self.place.get(message_id)
         if kind == "delete":
             if at is not None:
-                self.messages[at] = None
+                self.messages[at] = self.ids[at] = None
                 del self.place[message_id]
         elif at is None:
             if message_id is not None:
                 self.place[message_id] = len(self.messages)
             self.messages.append((role, [text]))
+            self.ids.append(message_id)
         elif kind == "delta":
             self.messages[at][1].append(text)
         else:
             self.messages[at] = (role or self.messages[at][0], [text])
             if kind in ("edit", "regenerate"):
-                del self.messages[at + 1 :]
-                self.place = {m: p for m, p in self.place.items() if p <= at}
+                # An id that is dropped here is in no other place: work is for what is dropped only.
+                for dropped in self.ids[at + 1 :]:
+                    self.place.pop(dropped, None)
+                del self.messages[at + 1 :], self.ids[at + 1 :]
 
     def turns(self) -> list[tuple[str, str]]:
         return [(m[0], "".join(m[1])) for m in self.messages if m is not None]
@@ -181,6 +185,47 @@ def turns_as_events(conversations: DataFrame) -> DataFrame:
     )
 
 
+#: Events per turn in a streamed log, with room for more.
+STEPS = 8
+
+
+def as_streamed_log(conversations: DataFrame) -> DataFrame:
+    """A table of finished turns as a log that their making could have left, in no order.
+
+    Each turn begins as a draft, which a stray answer follows; an edit or a regeneration replaces the
+    draft by the first third of the text and drops the answer, and deltas stream the rest. Folding the log
+    gives the turns. Turns are numbered by turn, role and text in their conversation.
+    """
+    line = Window.partitionBy("conv_id").orderBy("turn", "role", "text")
+    numbered = conversations.select("conv_id", "turn", "role", "text").withColumn(
+        "number", F.row_number().over(line).cast("long")
+    )
+    text = F.coalesce(F.col("text"), F.lit(""))
+    third = F.floor(F.char_length(text) / 3).cast("int")
+    after = F.lit(2**31 - 1)
+    anew = F.when(F.col("number") % 2 == 0, "edit").otherwise("regenerate")
+    stray = -F.col("number")
+    steps = [
+        ("message", F.col("number"), F.col("role"), F.concat(F.lit("draft "), F.substring(text, F.lit(1), F.lit(9)))),
+        ("delta", stray, F.lit(LEARNED), F.lit("a stray ")),
+        ("delta", stray, F.lit(LEARNED), F.lit("answer")),
+        (anew, F.col("number"), F.col("role"), F.substring(text, F.lit(1), third)),
+        ("delta", F.col("number"), F.col("role"), F.substring(text, third + 1, third)),
+        ("delta", F.col("number"), F.col("role"), F.substring(text, 2 * third + 1, after)),
+    ]
+    events = [
+        F.struct(
+            (F.col("number") * STEPS + step).alias("seq"),
+            (F.lit(kind) if isinstance(kind, str) else kind).alias("kind"),
+            message_id.alias("message_id"),
+            role.alias("role"),
+            part.alias("text"),
+        )
+        for step, (kind, message_id, role, part) in enumerate(steps)
+    ]
+    return numbered.select("conv_id", F.inline(F.array(*reversed(events))))
+
+
 def _read_back(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         rows = []

@@ -13,7 +13,8 @@ from pyspark.sql import functions as F
 def shared_dir(spark: SparkSession) -> str:
     """The folder that driver and executors share: ``spark.checkpoint.dir``.
 
-    Only where a session has none, as in tests on one machine, a temporary folder is set.
+    Only where a session on one machine has none, as in tests, a temporary folder is set; on a cluster
+    that is an error, because executors would write to disks of their own.
     """
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if configured:
@@ -21,6 +22,9 @@ def shared_dir(spark: SparkSession) -> str:
     current = spark.sparkContext._jsc.sc().getCheckpointDir()
     if current.isDefined():
         return current.get()
+    master = spark.sparkContext.master
+    if master != "local" and not master.startswith("local["):
+        raise RuntimeError("set spark.checkpoint.dir to a folder that driver and executors share")
     spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="run-"))
     return spark.sparkContext._jsc.sc().getCheckpointDir().get()
 

@@ -8,8 +8,9 @@ that the words taken follow the copies taken); the sum of expected copies before
 random offset per source, is its start on a ruler, and it is emitted once per integer boundary in its
 interval. No document is taken more than ceil(target / size) times.
 
-The line is never one task's work: it is cut into blocks of (source, size class, id remainder); block
-counts are summed first, and only ranks inside a block need the rows themselves.
+The line is never one task's work: it is cut into blocks of (source, size class, hash of the id, or of the
+text where there is none); block counts are summed first, and only ranks inside a block need the rows
+themselves. Sizes are counted once and written to the shared folder, with the columns to keep.
 
 Cases: null or blank texts have size 0 and are placed first; a null source is a source of its own, last;
 a source without words has target 0 and nothing is taken from it; rows with equal ids are separate
@@ -24,11 +25,12 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tablecheck.llm.common import stored
+
 WORD = r"[^\x20\x09-\x0D]+"
 WEIGHTS = (5.0, 2.0, 1.0)
 CAP = 3.0
 SEED = "mix-1"
-ID_CLASSES = 256
 
 
 def word_count(text: Column) -> Column:
@@ -83,6 +85,12 @@ def offset(key: Column, seed: str) -> Column:
     return F.conv(F.substring(digest, 1, 12), 16, 10).cast("long") / F.lit(float(1 << 48))
 
 
+def id_class(doc_id: Column, text: Column) -> Column:
+    """Ids in any pattern, and rows without one, spread over all classes."""
+    digest = F.md5(F.coalesce(doc_id.cast("string"), text, F.lit("")))
+    return F.conv(F.substring(digest, 1, 2), 16, 10).cast("int")
+
+
 def mix(
     docs: DataFrame,
     weights: Sequence[float] = WEIGHTS,
@@ -99,21 +107,12 @@ def mix(
         "doc_id",
         source_key(F.col("source")).alias("source_key"),
         word_count(F.col("text")).alias("size"),
+        id_class(F.col("doc_id"), F.col("text")).alias("id_class"),
         *kept,
     )
-    rows = rows.withColumn("size_class", size_class()).withColumn(
-        "id_class", F.coalesce(F.pmod("doc_id", F.lit(ID_CLASSES)), F.lit(0)).cast("int")
-    )
+    rows = stored(docs.sparkSession, rows.withColumn("size_class", size_class()), "sizes")
     block = ["source_key", "size_class", "id_class"]
-    lines = docs.select(
-        "doc_id",
-        source_key(F.col("source")).alias("source_key"),
-        word_count(F.col("text")).alias("size"),
-    )
-    lines = lines.withColumn("size_class", size_class()).withColumn(
-        "id_class", F.coalesce(F.pmod("doc_id", F.lit(ID_CLASSES)), F.lit(0)).cast("int")
-    )
-    blocks = lines.groupBy(*block).agg(
+    blocks = rows.groupBy(*block).agg(
         F.count(F.lit(1)).alias("n"), F.sum("size").alias("words")
     )
     in_source = (

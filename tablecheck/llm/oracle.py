@@ -4,7 +4,8 @@ from __future__ import annotations
 
 _OP6 = """
 WITH sized AS (
-    SELECT doc_id, CASE WHEN source IS NULL THEN '1' ELSE '0' || source END AS src,
+    SELECT doc_id, ('0x' || substr(md5(coalesce(doc_id::VARCHAR, text, '')), 1, 2))::INT AS id_class,
+           CASE WHEN source IS NULL THEN '1' ELSE '0' || source END AS src,
            len(regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+'))::BIGINT AS size
     FROM documents
 ), sources AS (
@@ -28,7 +29,7 @@ WITH sized AS (
 ), ranked AS (
     SELECT *, row_number() OVER (PARTITION BY src ORDER BY
                CASE WHEN size > 0 THEN len(bin(size)) * 8 + ((size * 8) >> (len(bin(size)) - 1)) - 8 ELSE 0 END,
-               coalesce(doc_id % 256, 0), size, doc_id) - 1 AS place
+               id_class, size, doc_id NULLS FIRST) - 1 AS place
     FROM sized
 ), stepped AS (
     SELECT *, CASE WHEN source_size > 0 THEN target / source_size ELSE 0.0 END AS each

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -22,7 +23,7 @@ from tablecheck.llm import (
     spelling,
     suffix_dedup,
 )
-from tablecheck.llm.common import table
+from tablecheck.llm.common import shared_dir, table
 
 N_SHARDS = 24
 
@@ -41,7 +42,7 @@ def op1_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.when(F.col("id") == 0, "user").otherwise("assistant").alias("role"),
         F.lit(PROBE).alias("text"),
     )
-    events = chat.turns_as_events(turns.unionByName(probe))
+    events = chat.as_streamed_log(turns.unionByName(probe))
     return chat.read_back(chat.format_conversations(events))
 
 
@@ -81,7 +82,10 @@ def op8_order_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op9_virtual_slots(spark: SparkSession, sf_dir: str) -> DataFrame:
-    placed, _ = sharding.shard_documents(table(spark, sf_dir, "documents"), N_SHARDS)
+    path = f"{shared_dir(spark)}/slot-map-{uuid.uuid4().hex}"
+    # The map is made for one shard less, stored, and edited for one more.
+    steps = (N_SHARDS - 1, N_SHARDS)
+    placed, _ = sharding.shard_by_stored_map(spark, table(spark, sf_dir, "documents"), path, steps)
     return placed.select(
         "doc_id",
         "size",

@@ -13,8 +13,10 @@ map of empty slots. Columns other than ``doc_id`` and ``text`` are not read.
 from __future__ import annotations
 
 import heapq
+from collections.abc import Sequence
 from dataclasses import dataclass
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import IntegerType, LongType, StructField, StructType
@@ -135,6 +137,31 @@ def place(rows: DataFrame, slot_map: SlotMap, count: list[int]) -> DataFrame:
     )
 
 
+def edited_map(spark: SparkSession, path: str, size: list[int], n_shards: int) -> SlotMap:
+    """The map stored at ``path``, edited for these sizes and shards and stored as its next version; the
+    first version where there is none. What is returned is read back from there."""
+    try:
+        old = read_map(spark, path)
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+        old = None
+    new = rebalanced(old, size, n_shards) if old else first_map(size, n_shards)
+    write_map(spark, new, path)
+    return read_map(spark, path, new.version)
+
+
+def shard_by_stored_map(
+    spark: SparkSession, docs: DataFrame, path: str, steps: Sequence[int], n_slots: int = N_SLOTS
+) -> tuple[DataFrame, SlotMap]:
+    """Records placed by the last of the versions that ``steps``, numbers of shards, add to a stored map."""
+    rows = records(docs, n_slots)
+    size, count = slot_sums(rows, n_slots)
+    for n_shards in steps:
+        slot_map = edited_map(spark, path, size, n_shards)
+    return place(rows, slot_map, count), slot_map
+
+
 def shard_documents(docs: DataFrame, n_shards: int, n_slots: int = N_SLOTS) -> tuple[DataFrame, SlotMap]:
     """Placed records and the map that placed them."""
     rows = records(docs, n_slots)

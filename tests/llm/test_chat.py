@@ -70,3 +70,28 @@ def test_read_back_with_clashing_columns(spark):
     import hashlib
 
     assert row.turns_sha256 == hashlib.sha256(b"user\n\nassistant\nb\n").hexdigest()
+
+
+def test_a_streamed_log_folds_to_its_turns(spark):
+    rows = [(c, t, "assistant" if t % 2 else "user", "ab\\</s>😀" * t) for c in (1, 2) for t in range(9)]
+    rows += [(3, None, None, None), (3, 1, "user", "x"), (3, 1, "user", "x"), (None, 0, "tool", "é")]
+    turns = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")
+    log = chat.as_streamed_log(turns)
+    assert log.count() == 6 * len(rows)
+    assert {r.kind for r in log.collect()} == {"message", "delta", "edit", "regenerate"}
+    formatted = chat.format_conversations(log.repartition(5)).collect()
+    found = {r.conv_id: chat.parse(r.formatted) for r in formatted}
+    assert found[1] == found[2] == [(r, t) for _, _, r, t in rows[:9]]
+    assert found[3] == [("", ""), ("user", "x"), ("user", "x")] and found[None] == [("tool", "é")]
+    plain = chat.read_back(chat.format_conversations(chat.turns_as_events(turns)))
+    streamed = chat.read_back(chat.format_conversations(log))
+    assert sorted(plain.collect(), key=repr) == sorted(streamed.collect(), key=repr)
+
+
+def test_many_edits_take_linear_time():
+    conversation = chat.Conversation(1)
+    for m in range(60_000):
+        conversation.apply("message", m, "user", "draft")
+        conversation.apply("delta", -m - 1, "assistant", "stray")
+        conversation.apply("edit", m, "user", "text")
+    assert len(conversation.turns()) == 60_000

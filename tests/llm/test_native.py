@@ -89,6 +89,46 @@ def test_rebalancing_moves_little(spark, tmp_path):
     assert sharding.read_map(spark, path, 1) == old
 
 
+def test_shards_by_a_stored_map(spark, edge, nothing, tmp_path):
+    docs, path = table(spark, "/root/testdata/sf0.01", "documents"), str(tmp_path / "map")
+    placed, slot_map = sharding.shard_by_stored_map(spark, docs, path, (23, 24))
+    assert not python_plan(placed)
+    rows, before = placed.collect(), sharding.read_map(spark, path, 1)
+    assert slot_map == sharding.read_map(spark, path) and (before.n_shards, slot_map.n_shards) == (23, 24)
+    moved = [a != b for a, b in zip(before.shards, slot_map.shards)]
+    assert 0 < sum(moved) < 0.15 * len(moved)
+    loads, places = [0] * 24, [[] for _ in range(24)]
+    for r in rows:
+        assert slot_map.shards[r.virtual_slot] == r.shard
+        loads[r.shard] += r["size"]
+        places[r.shard].append(r.slot)
+    assert max(loads) - min(loads) < 0.02 * max(loads)
+    assert all(sorted(p) == list(range(len(p))) for p in places)
+    # A third version, for fewer shards, goes on from the stored one.
+    assert sharding.shard_by_stored_map(spark, docs, path, (20,))[1].version == 3
+    odd = sharding.shard_by_stored_map(spark, edge, str(tmp_path / "odd"), (2, 3))[0]
+    assert odd.count() == edge.count()
+    assert sharding.shard_by_stored_map(spark, nothing, str(tmp_path / "no"), (2, 3))[0].collect() == []
+
+
+def test_mix_blocks_spread_ids_of_any_pattern(spark):
+    ids = spark.range(20_000).select((F.col("id") * 256).alias("doc_id"), F.lit("a b").alias("text"))
+    nulls = spark.range(20_000).select(
+        F.lit(None).cast("long").alias("doc_id"), F.concat(F.lit("a "), F.col("id")).alias("text")
+    )
+    for docs in (ids, nulls):
+        classes = docs.groupBy(mixing.id_class(F.col("doc_id"), F.col("text")).alias("c")).count().collect()
+        assert len(classes) == 256 and max(r["count"] for r in classes) < 200
+    both = ids.unionByName(nulls).withColumn("source", F.lit("s"))
+    assert mixing.mix(both).agg(F.sum("copies")).collect()[0][0] == 40_000
+
+
+def test_words_are_counted_once(spark):
+    docs = table(spark, "/root/testdata/sf0.001", "documents")
+    plan = mixing.mix(docs, keep=("text",))._jdf.queryExecution().toString()
+    assert "regexp_count" not in plan and "Window" in plan
+
+
 def test_shards_of_odd_documents(spark, edge, nothing):
     rows = sharding.shard_documents(edge, 3)[0].collect()
     assert len(rows) == edge.count()
