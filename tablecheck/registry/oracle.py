@@ -553,13 +553,11 @@ ORACLE_SQL: dict[str, str] = {
     "request_flags_side_by_side": _REQUEST_FLAGS,
     "log_of_attempts": """
 WITH begun AS (
-  SELECT user_id, max(CASE event_type WHEN 'view' THEN ts
-    ELSE ts - to_microseconds(CAST(round(value * 1000000) AS BIGINT)) END) AS attempt_begun
-  FROM events WHERE event_type IN ('view', 'purchase') GROUP BY user_id)
-SELECT CAST(e.user_id AS INTEGER) AS id_trigger, event_type AS validation_id,
-  CAST(event_id AS VARCHAR) AS validation_msg
-FROM events e LEFT JOIN begun b ON e.user_id = b.user_id
-WHERE event_type IN ('error', 'click') AND (attempt_begun IS NULL OR ts >= attempt_begun)""",
+  SELECT conv_id, max(CASE WHEN turn % 3 = 0 THEN turn - turn % 5 * 0.5 ELSE turn END) AS attempt_begun
+  FROM conversations WHERE role = 'user' GROUP BY conv_id)
+SELECT c.conv_id AS id_trigger, role AS validation_id, text AS validation_msg
+FROM conversations c LEFT JOIN begun b ON c.conv_id = b.conv_id
+WHERE role <> 'user' AND (attempt_begun IS NULL OR turn >= attempt_begun)""",
     "referential_breaking": """
 SELECT CAST(3 AS INTEGER) AS phase, 'reference' AS check_name, column_name,
   'REF_INTEGRITY_ERROR' AS error_type, n_violations

@@ -590,18 +590,18 @@ def compacted_states(spark, sf_dir):
 @query
 def log_of_attempts(spark, sf_dir):
     """Log rows of the latest attempts, out of a long log and a long status table."""
-    events = table(spark, sf_dir, "events")
-    status = events.where("event_type IN ('view', 'purchase')").select(
-        F.col("user_id").cast("int").alias("id_trigger"),
-        F.expr("CASE event_type WHEN 'view' THEN 1 ELSE 2 END").alias("flag"),
-        F.col("ts").alias("event_time"),
-        F.expr("CASE event_type WHEN 'purchase' THEN value END").alias("duration_s"),
+    turns = table(spark, sf_dir, "conversations").withColumn("at", F.timestamp_seconds("turn"))
+    status = turns.where("role = 'user'").select(
+        F.col("conv_id").alias("id_trigger"),
+        F.expr("if(turn % 3 = 0, 2, 1)").alias("flag"),
+        F.col("at").alias("event_time"),
+        F.expr("if(turn % 3 = 0, turn % 5 * 0.5D, null)").alias("duration_s"),
     )
-    log = events.where("event_type IN ('error', 'click')").select(
-        F.col("user_id").cast("int").alias("id_trigger"),
-        F.col("event_type").alias("validation_id"),
-        F.col("event_id").cast("string").alias("validation_msg"),
-        F.col("ts").alias("execution_timestamp"),
+    log = turns.where("role <> 'user'").select(
+        F.col("conv_id").alias("id_trigger"),
+        F.col("role").alias("validation_id"),
+        F.col("text").alias("validation_msg"),
+        F.col("at").alias("execution_timestamp"),
     )
     return current_log(log, status).drop("execution_timestamp")
 
