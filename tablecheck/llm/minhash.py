@@ -6,10 +6,13 @@
 2. Texts that share a band are candidates. A bucket links its members to its smallest, and families are
    the connected components of these links: texts in different families share no band at all. No pairs
    are made.
-3. Families are dealt into chunks of bounded size. A task compares the packed signatures of two chunks
-   (or one) by bit counts, corrects for chance collisions, and confirms on the full sets, highest
-   estimates first, those pairs at or above the threshold less a margin of ``MARGIN`` standard errors
-   which are not connected yet. Links that connect nothing new need no confirmation and are not written.
+3. Families are dealt into chunks bounded in texts and in shingles. The packed signatures of two chunks
+   (or one) are compared by bit counts, corrected for chance collisions, and the pairs at or above the
+   threshold less a margin of ``MARGIN`` standard errors which are not connected yet are confirmed on the
+   full sets, highest estimates first. Links that connect nothing new need no confirmation and are not
+   written. The chunks of a large family meet in tiles, blocks of chunks against blocks of chunks, each
+   tile with a key of its own: no key brings a family together, and a chunk is sent once per block of its
+   family, not once per chunk.
 4. Components come from the confirmed links and the collapsed copies.
 
 A pair at the threshold is missed only if it shares no band (below 1 in 100,000) or its estimate is off
@@ -37,7 +40,9 @@ from tablecheck.llm.shingles import mix, shingle_sets, text_groups
 
 HASHES, BITS, BANDS, ROWS = 256, 2, 32, 5
 MARGIN = 4.5
-CHUNK = 512
+CHUNK, CHUNK_SHINGLES = 512, 1 << 20
+#: A family of up to so many chunks has tiles of one chunk by one, larger ones up to MAX_SIDE by MAX_SIDE.
+SMALL_FAMILY, MAX_SIDE = 32, 16
 
 SIGNED = "doc_id long, n_shingles long, set_key binary, bits binary, bands array<long>"
 
@@ -174,11 +179,12 @@ def _shared(one: np.ndarray, others: list[np.ndarray]) -> np.ndarray:
     return same[ends] - same[ends - [len(o) for o in others]]
 
 
-LINKED = "family long, part int, a long, b long, chunk binary"
+LINKED = "family long, part int, parts int, a long, b long, chunk binary"
 _LINKED = pa.schema(
     [
         ("family", pa.int64()),
         ("part", pa.int32()),
+        ("parts", pa.int32()),
         ("a", pa.int64()),
         ("b", pa.int64()),
         ("chunk", pa.binary()),
@@ -197,10 +203,10 @@ def _within(k: int, percent: int):
             np.frombuffer(b"".join(r[2] for r in rows), dtype=np.uint64).reshape(len(rows), -1),
         )
         label = np.arange(len(rows))
-        out = [(family, part, a, b, None) for a, b in confirm(chunk, None, label, percent)]
+        out = [(family, part, parts, a, b, None) for a, b in confirm(chunk, None, label, percent)]
         if parts > 1:
             blob = pickle.dumps((chunk.ids, chunk.sets, chunk.bits, label), protocol=5)
-            out.append((family, part, None, None, blob))
+            out.append((family, part, parts, None, None, blob))
         return out
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -218,7 +224,7 @@ def _within(k: int, percent: int):
                         if rows:
                             out += finish(*current, rows)
                         current, rows, seen = (family, part, parts), [], set()
-                        if len(out) >= 1000 or any(o[4] for o in out):
+                        if len(out) >= 1000 or any(o[5] for o in out):
                             yield pa.RecordBatch.from_pylist(_dicts(out), schema=_LINKED)
                             out = []
                     # Rows that repeat an id may have other texts; the key tells which is meant.
@@ -238,32 +244,61 @@ def _dicts(rows: list[tuple]) -> list[dict]:
 
 
 def _across(percent: int):
-    """Pairs of chunks of a family -> links between them that connect what is not connected inside."""
+    """Sorted rows (family, i, j, own, chunk), the chunks of blocks i and j of a family, block i first ->
+    links between different chunks that connect what is not connected inside."""
 
     def load(blob):
         ids, sets, bits, label = pickle.loads(blob)
         return Chunk(ids, sets, bits), label
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        current, held = None, []
         for batch in batches:
             for row in range(batch.num_rows):
-                a, label_a = load(batch.column(0)[row].as_py())
-                b, label_b = load(batch.column(1)[row].as_py())
-                label = np.concatenate([label_a, label_b + len(a.ids)])
-                links = confirm(a, b, label, percent)
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array([x[i] for x in links], pa.int64()) for i in (0, 1)], names=["a", "b"]
-                )
+                family, i, j, own = (batch.column(c)[row].as_py() for c in range(4))
+                if current != (family, i, j):
+                    current, held = (family, i, j), []
+                b, label_b = load(batch.column(4)[row].as_py())
+                links = []
+                if own == j:
+                    for a, label_a in held:
+                        label = np.concatenate([label_a, label_b + len(a.ids)])
+                        links += confirm(a, b, label, percent)
+                if own == i:
+                    held.append((b, label_b))
+                if links:
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array(ends, pa.int64()) for ends in zip(*links, strict=True)], names=["a", "b"]
+                    )
 
     return run
 
 
+def in_tiles(chunks: DataFrame, small: int = SMALL_FAMILY, most: int = MAX_SIDE) -> DataFrame:
+    """(family, i, j, own, part, chunk): every chunk (family, part, parts, chunk) in each tile of its family
+    that it belongs to, a tile being the blocks i <= j; two chunks of a family meet in exactly one tile."""
+    side = F.least(F.lit(most), F.ceil(F.col("parts") / small)).cast("int")
+    sided = chunks.select("family", "part", "parts", "chunk", side.alias("side"))
+    own = F.floor(F.col("part") / F.col("side")).cast("int")
+    blocks = F.ceil(F.col("parts") / F.col("side")).cast("int")
+    return (
+        sided.select(
+            "family", "part", "side", "chunk", own.alias("own"), F.sequence(F.lit(0), blocks - 1).alias("all")
+        )
+        .select("family", "part", "side", "chunk", "own", F.explode("all").alias("other"))
+        .where("side > 1 or own <> other")
+        .select("family", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "own", "part", "chunk")
+    )
+
+
 def links_of(
     spark: SparkSession, docs: DataFrame, signed: DataFrame, k: int, percent: int, chunk: int = CHUNK
 ) -> DataFrame:
     """(a, b): confirmed links that connect all near-duplicates with different sets."""
     ones = signed.where("set_key is not null and doc_id is not null").groupBy("set_key").agg(
-        F.min_by(F.struct("bits", "bands"), "doc_id").alias("sketch"), F.min("doc_id").alias("doc_id")
+        F.min_by(F.struct("bits", "bands"), "doc_id").alias("sketch"),
+        F.min("doc_id").alias("doc_id"),
+        F.max("n_shingles").alias("n_shingles"),
     )
     banded = ones.select("doc_id", F.explode("sketch.bands").alias("band"))
     lowest = banded.groupBy("band").agg(F.min("doc_id").alias("low"), F.max("doc_id").alias("high"))
@@ -271,19 +306,20 @@ def links_of(
     shared = banded.select("doc_id", F.bitwise_not("band").alias("key")).join(
         lowest.where("low < high").select("low", F.bitwise_not("band").alias("key")), "key"
     )
-    families = stored(
-        spark,
-        components(spark, shared.select(F.col("doc_id").alias("a"), F.col("low").alias("b"))),
-        "families",
+    members = components(spark, shared.select(F.col("doc_id").alias("a"), F.col("low").alias("b")))
+    lengths = ones.select(F.col("doc_id").alias("node"), "n_shingles")
+    families = stored(spark, members.join(lengths, "node"), "families")
+    sizes = families.groupBy("component").agg(
+        F.count(F.lit(1)).alias("n"), F.sum("n_shingles").alias("shingles")
     )
-    sizes = families.groupBy("component").agg(F.count(F.lit(1)).alias("n"))
-    parts = F.ceil(F.col("n") / chunk).cast("int")
+    by_size = F.greatest(F.ceil(F.col("n") / chunk), F.ceil(F.col("shingles") / CHUNK_SHINGLES))
+    parts = F.least("n", by_size).cast("int")
     placed = (
-        families.select("node", (-F.col("component")).alias("key"))
-        .join(sizes.select((-F.col("component")).alias("key"), parts.alias("parts")), "key")
+        families.select("node", F.bitwise_not("component").alias("key"))
+        .join(sizes.select(F.bitwise_not("component").alias("key"), parts.alias("parts")), "key")
         .select(
             F.col("node").alias("doc_id"),
-            (-F.col("key")).alias("family"),
+            F.bitwise_not("key").alias("family"),
             "parts",
             F.pmod(F.xxhash64("node"), F.col("parts")).cast("int").alias("part"),
         )
@@ -297,15 +333,14 @@ def links_of(
         .sortWithinPartitions("family", "part", "doc_id")
     )
     inside = stored(spark, rows.mapInArrow(_within(k, percent), LINKED), "links")
-    chunks = inside.where("chunk is not null")
-    pairs = (
-        chunks.select("family", F.col("part").alias("p"), F.col("chunk").alias("chunk_a"))
-        .join(chunks.select("family", F.col("part").alias("q"), F.col("chunk").alias("chunk_b")), "family")
-        .where("p < q")
-        .select("chunk_a", "chunk_b")
-        .repartition(4 * spark.sparkContext.defaultParallelism)
+    chunks = inside.where("chunk is not null").select("family", "part", "parts", "chunk")
+    tiles = (
+        in_tiles(chunks)
+        .repartition(2 * shuffle_partitions(spark), "family", "i", "j")
+        .sortWithinPartitions("family", "i", "j", "part")
+        .select("family", "i", "j", "own", "chunk")
     )
-    across = pairs.mapInArrow(_across(percent), "a long, b long")
+    across = tiles.mapInArrow(_across(percent), "a long, b long")
     return inside.where("a is not null").select("a", "b").unionAll(across)
 
 
