@@ -10,6 +10,10 @@ compared vector by vector, in double precision. A traversal gives each vector's
 smallest connected vector in that pair of chunks, so a dense group costs rows in proportion to its
 members, not to its pairs. Components come from those rows.
 
+Equal vectors are one entry with a weight before any of this, so that copies cost one row. Pairs of
+chunks are done in tiles of ``SIDE`` by ``SIDE`` chunks, and a chunk's tree is sent once per tile that asks
+for it.
+
 How much is dropped depends on the data: clustered vectors leave few pairs of cells; vectors spread
 evenly in many dimensions leave all of them, and the work grows with the square of the table, in blocks
 of matrix products.
@@ -33,12 +37,12 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import IntegerType, StructField, StructType
+from pyspark.sql.types import FloatType, IntegerType, StructField, StructType
 
-from tablecheck.llm.common import components, stored
+from tablecheck.llm.common import components, shuffle_partitions, stored
 from tablecheck.local import local_frame
 
-CHUNK, MAX_CELLS = 4096, 1024
+CHUNK, MAX_CELLS, SIDE = 4096, 1024, 2
 LEAST_RADIUS = 0.05
 SLACK = 1e-9
 
@@ -50,14 +54,32 @@ def usable(vector: str = "embedding"):
 
 
 class Tree:
-    """Vectors in tree order; nodes as (first, end, radius, children); a node's centre is its first."""
+    """Entries in tree order; nodes as (first, end, radius, children); a node's centre is its first.
+
+    An entry has an id, a vector, the number of rows it stands for (``weights``) and how many of them are
+    rows of its own id (``times``).
+    """
 
-    def __init__(self, ids: np.ndarray, unit: np.ndarray):
+    def __init__(self, ids: np.ndarray, vectors: np.ndarray, weights: np.ndarray, times: np.ndarray):
+        unit = unit_vectors(vectors)
         gram = unit @ unit.T
         self.order: list[int] = []
         self.nodes: list[tuple[int, int, float, list[int]]] = []
         self.root = self._build(np.arange(len(ids)), 2.0, gram)
-        self.ids, self.unit = ids[self.order], unit[self.order]
+        self.ids, self.vectors = ids[self.order], vectors[self.order]
+        self.weights, self.times = weights[self.order], times[self.order]
+        self.unit = unit[self.order]
+
+    def packed(self) -> bytes:
+        """Vectors as they came: unit vectors in double precision are made again from them."""
+        return pickle.dumps((self.ids, self.vectors, self.weights, self.times, self.nodes), protocol=5)
+
+    @classmethod
+    def unpacked(cls, blob: bytes) -> Tree:
+        tree = cls.__new__(cls)
+        tree.ids, tree.vectors, tree.weights, tree.times, tree.nodes = pickle.loads(blob)
+        tree.unit, tree.root = unit_vectors(tree.vectors), 0
+        return tree
 
     def _build(self, members: np.ndarray, radius: float, gram: np.ndarray) -> int:
         """A node for the members, whose first is the centre; returns its number."""
@@ -89,8 +111,12 @@ class Tree:
         return 0
 
 
-def cover_tree(ids: np.ndarray, vectors: np.ndarray) -> Tree:
-    return Tree(ids, vectors / np.linalg.norm(vectors, axis=1, keepdims=True))
+def unit_vectors(vectors: np.ndarray) -> np.ndarray:
+    """In double precision; scaled by a power of two first, so that no square overflows or vanishes."""
+    vectors = np.asarray(vectors, dtype=float)
+    _, exponent = np.frexp(np.abs(vectors).max(axis=1, keepdims=True))
+    vectors = np.ldexp(vectors, -exponent)
+    return vectors / np.linalg.norm(vectors, axis=1, keepdims=True)
 
 
 class Traversal:
@@ -140,16 +166,17 @@ class Traversal:
     def _link(self, i: np.ndarray, j: np.ndarray) -> None:
         other = self.a.ids[i] != self.b.ids[j]
         i, j = i[other], j[other]
-        np.add.at(self.links, i, 1)
-        np.add.at(self.back, j, 1)
+        np.add.at(self.links, i, self.b.weights[j])
+        np.add.at(self.back, j, self.a.weights[i])
         for x, y in zip(i.tolist(), j.tolist(), strict=True):
             self._union(x, len(self.a.ids) + y)
 
     def _whole(self, a, b) -> None:
         rows_a, rows_b = slice(a[0], a[1]), slice(b[0], b[1])
         ids_a, ids_b = self.a.ids[rows_a], self.b.ids[rows_b]
-        self.links[rows_a] += len(ids_b) - _times_in(ids_a, ids_b)
-        self.back[rows_b] += len(ids_a) - _times_in(ids_b, ids_a)
+        weights_a, weights_b = self.a.weights[rows_a], self.b.weights[rows_b]
+        self.links[rows_a] += weights_b.sum() - _weight_in(ids_a, ids_b, weights_b)
+        self.back[rows_b] += weights_a.sum() - _weight_in(ids_b, ids_a, weights_a)
         for x in range(a[0], a[1]):
             self._union(x, len(self.a.ids) + b[0])
         for y in range(b[0], b[1]):
@@ -158,8 +185,8 @@ class Traversal:
     def _leaves(self, a, b) -> None:
         near = self.a.unit[a[0] : a[1]] @ self.b.unit[b[0] : b[1]].T >= self.cosine
         near &= self.a.ids[a[0] : a[1], None] != self.b.ids[b[0] : b[1]]
-        self.links[a[0] : a[1]] += near.sum(axis=1)
-        self.back[b[0] : b[1]] += near.sum(axis=0)
+        self.links[a[0] : a[1]] += near @ self.b.weights[b[0] : b[1]]
+        self.back[b[0] : b[1]] += self.a.weights[a[0] : a[1]] @ near
         # Each row's links are joined through its first column and, column by column, that is enough:
         # all columns of a row join the row.
         for x, row in enumerate(near):
@@ -179,9 +206,10 @@ class Traversal:
             self.parent[max(x, y)] = min(x, y)
 
     def result(self, same: bool) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """(id, links, smallest connected id) of vectors with links."""
+        """(id, links, smallest connected id) of entries with links."""
         ids = np.concatenate([self.a.ids, self.b.ids])
         links = np.concatenate([self.links, 0 * self.back if same else self.back])
+        links = links * np.concatenate([self.a.times, self.b.times])
         used = np.concatenate([self.links, self.back]) > 0
         tops = np.array([self._find(x) for x in np.flatnonzero(used)], dtype=np.int64)
         low = np.full(len(ids), np.iinfo(np.int64).max)
@@ -193,56 +221,61 @@ class Traversal:
         return out
 
 
-def _times_in(these: np.ndarray, those: np.ndarray) -> np.ndarray:
-    """How often each of these ids is among those."""
-    ordered = np.sort(those)
-    return np.searchsorted(ordered, these, "right") - np.searchsorted(ordered, these, "left")
+def _weight_in(these: np.ndarray, those: np.ndarray, weights: np.ndarray) -> np.ndarray:
+    """The weight that each of these ids has among those."""
+    order = np.argsort(those, kind="stable")
+    below = np.concatenate([[0], np.cumsum(weights[order])])
+    ordered = those[order]
+    return below[np.searchsorted(ordered, these, "right")] - below[np.searchsorted(ordered, these, "left")]
 
 
 def _cells(pivots: np.ndarray):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        unit = pivots / np.linalg.norm(pivots, axis=1, keepdims=True)
+        unit = unit_vectors(pivots)
         for batch in batches:
             if not batch.num_rows:
                 continue
             vectors = np.array(batch.column(1).flatten(), dtype=float).reshape(batch.num_rows, -1)
-            cos = vectors / np.linalg.norm(vectors, axis=1, keepdims=True) @ unit.T
+            cos = unit_vectors(vectors) @ unit.T
             cell = cos.argmax(axis=1)
             apart = np.sqrt(np.maximum(0, 2 - 2 * cos[np.arange(len(cell)), cell]))
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), batch.column(1), pa.array(cell, pa.int32()), pa.array(apart)],
-                names=["vec_id", "vector", "cell", "apart"],
+                [*batch.columns, pa.array(cell, pa.int32()), pa.array(apart)],
+                names=["vec_id", "vector", "weight", "times", "cell", "apart"],
             )
 
     return run
 
 
 def _plant(pdf: pd.DataFrame) -> pd.DataFrame:
-    vectors = np.stack(pdf["vector"].to_numpy()).astype(float)
-    tree = cover_tree(pdf["vec_id"].to_numpy(np.int64), vectors)
-    blob = pickle.dumps((tree.ids, tree.unit, tree.nodes), protocol=5)
-    return pd.DataFrame({"cell": [pdf["cell"].iloc[0]], "part": [pdf["part"].iloc[0]], "tree": [blob]})
+    columns = [pdf[c].to_numpy(np.int64) for c in ("vec_id", "weight", "times")]
+    tree = Tree(columns[0], np.stack(pdf["vector"].to_numpy()), *columns[1:])
+    return pd.DataFrame({"cell": [pdf["cell"].iloc[0]], "part": [pdf["part"].iloc[0]], "tree": [tree.packed()]})
 
 
-def _tree(blob: bytes) -> Tree:
-    tree = Tree.__new__(Tree)
-    (tree.ids, tree.unit, tree.nodes), tree.root = pickle.loads(blob), 0
-    return tree
+def _traverse(cosine: float):
+    """Sorted rows (i, j, number, partners, tree): the trees of a tile, each with the numbers of those that
+    it is to be compared with. At most ``2 * SIDE`` trees are held."""
 
+    def finish(trees: dict[int, Tree], asked: list[tuple[int, int]]):
+        for x, y in asked:
+            traversal = Traversal(trees[x], trees[y], cosine)
+            traversal.run()
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(c, pa.int64()) for c in traversal.result(x == y)], names=["vec_id", "n", "low"]
+            )
 
-def _traverse(cosine: float):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        current, trees, asked = None, {}, []
         for batch in batches:
             for row in range(batch.num_rows):
-                same = batch.column(0)[row].as_py()
-                a = _tree(batch.column(1)[row].as_py())
-                b = a if same else _tree(batch.column(2)[row].as_py())
-                traversal = Traversal(a, b, cosine)
-                traversal.run()
-                columns = traversal.result(same)
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(c, pa.int64()) for c in columns], names=["vec_id", "n", "low"]
-                )
+                i, j, number, partners, blob = (column[row].as_py() for column in batch.columns)
+                if current != (i, j):
+                    yield from finish(trees, asked)
+                    current, trees, asked = (i, j), {}, []
+                trees[number] = Tree.unpacked(blob)
+                asked += [(number, other) for other in partners]
+        yield from finish(trees, asked)
 
     return run
 
@@ -250,13 +283,40 @@ def _traverse(cosine: float):
 _PAIRS = StructType([StructField("cell_a", IntegerType()), StructField("cell_b", IntegerType())])
 
 
-def near_pairs(spark: SparkSession, vectors: DataFrame, cosine: float, chunk: int = CHUNK) -> DataFrame:
-    """(vec_id, n, low) per vector with links and pair of chunks: its links there, and the smallest id
-    that it is connected with there. ``vectors`` has ``vec_id`` and ``embedding``."""
+def rows_to_compare(vectors: DataFrame) -> DataFrame:
+    """(vec_id, vector, own): the usable rows; ``own`` is the id where several of them have it."""
+    single = isinstance(vectors.schema["embedding"].dataType.elementType, FloatType)
     good = vectors.where(usable()).where("vec_id is not null").select(
         F.col("vec_id").cast("long").alias("vec_id"),
-        F.col("embedding").cast("array<double>").alias("vector"),
+        F.col("embedding").cast(f"array<{'float' if single else 'double'}>").alias("vector"),
+    )
+    # The join's key is computed, so that a very frequent id can be split.
+    several = good.groupBy("vec_id").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
+    several = several.select(F.bitwise_not("vec_id").alias("key"), F.lit(True).alias("several"))
+    return good.withColumn("key", F.bitwise_not("vec_id")).join(several, "key", "left").select(
+        "vec_id", "vector", F.when(F.col("several"), F.col("vec_id")).alias("own")
+    )
+
+
+def entries(rows: DataFrame) -> DataFrame:
+    """(vec_id, vector, weight, times, print): equal vectors as one, with their smallest id. An id of
+    several rows keeps entries of its own, because rows of one id do not link with each other."""
+    merged = rows.groupBy("own", "vector").agg(
+        F.min("vec_id").alias("vec_id"), F.count(F.lit(1)).alias("weight")
     )
+    times = F.when(F.col("own").isNull(), F.lit(1).cast("long")).otherwise(F.col("weight"))
+    return merged.select("vec_id", "vector", "weight", times.alias("times"), _print().alias("print"))
+
+
+def _print():
+    """128 bits that tell vectors apart."""
+    return F.struct(F.xxhash64("vector").alias("a"), F.xxhash64(F.lit(1), "vector").alias("b"))
+
+
+def near_pairs(spark: SparkSession, merged: DataFrame, cosine: float, chunk: int = CHUNK) -> DataFrame:
+    """(vec_id, n, low) per entry with links and pair of chunks: its links there, and the smallest id
+    that it is connected with there. ``merged`` has ``entries``."""
+    good = merged.drop("print")
     lengths = good.groupBy(F.size("vector").alias("length")).agg(F.count(F.lit(1)).alias("n")).collect()
     found = spark.createDataFrame([], "vec_id long, n long, low long")
     for row in sorted(lengths):
@@ -272,10 +332,11 @@ def _near_pairs_of_length(
     spark: SparkSession, good: DataFrame, n: int, cosine: float, chunk: int
 ) -> DataFrame:
     k = max(1, min(MAX_CELLS, n // chunk))
-    pivots = good.orderBy(F.xxhash64("vec_id"), "vec_id").limit(k).collect()
+    pivots = good.orderBy(F.xxhash64("vec_id", "vector"), "vec_id").limit(k).collect()
     pivots = np.array([p.vector for p in pivots])
+    vector_type = good.schema["vector"].dataType.simpleString()
     celled = good.mapInArrow(
-        _cells(pivots), "vec_id long, vector array<double>, cell int, apart double"
+        _cells(pivots), f"vec_id long, vector {vector_type}, weight long, times long, cell int, apart double"
     )
     celled = stored(spark, celled, "cells")
     stats = {
@@ -284,32 +345,38 @@ def _near_pairs_of_length(
         .agg(F.count(F.lit(1)).alias("n"), F.max("apart").alias("radius"))
         .collect()
     }
-    parts = {c: -(-count // chunk) for c, (count, _) in stats.items()}
-    parts_of = F.element_at(F.lit([parts.get(c, 1) for c in range(len(pivots))]), F.col("cell") + 1)
+    parts = [-(-stats[c][0] // chunk) if c in stats else 0 for c in range(len(pivots))]
+    before = [0, *np.cumsum(parts).tolist()]
+    # No two entries agree in id and vector, so the hash deals them evenly.
+    parts_of = F.element_at(F.lit([max(1, p) for p in parts]), F.col("cell") + 1)
     part = F.pmod(F.xxhash64("vec_id", "vector"), parts_of).cast("int")
     trees = (
         celled.withColumn("part", part)
         .groupBy("cell", "part")
         .applyInPandas(_plant, "cell int, part int, tree binary")
     )
-    trees = stored(spark, trees, "trees")
-    pairs = local_frame(spark, _cell_pairs(pivots, stats, cosine), _PAIRS)
-    known = trees.select("cell", "part")
+    number = F.element_at(F.lit(before), F.col("cell") + 1) + F.col("part")
+    trees = stored(spark, trees.select("cell", number.cast("int").alias("number"), "tree"), "trees")
+    known = trees.select("cell", "number")
     pairs = (
-        pairs.join(known.toDF("cell_a", "part_a"), "cell_a")
-        .join(known.toDF("cell_b", "part_b"), "cell_b")
-        .where("cell_a < cell_b or part_a <= part_b")
+        local_frame(spark, _cell_pairs(pivots, stats, cosine), _PAIRS)
+        .join(known.toDF("cell_a", "x"), "cell_a")
+        .join(known.toDF("cell_b", "y"), "cell_b")
+        .where("x <= y")
+        .selectExpr(f"int(x div {SIDE}) AS i", f"int(y div {SIDE}) AS j", "x", "y")
     )
-    both = (
-        pairs.join(trees.toDF("cell_a", "part_a", "tree_a"), ["cell_a", "part_a"])
-        .join(trees.toDF("cell_b", "part_b", "tree_b"), ["cell_b", "part_b"])
-        .select(
-            ((F.col("cell_a") == F.col("cell_b")) & (F.col("part_a") == F.col("part_b"))).alias("same"),
-            "tree_a",
-            "tree_b",
-        )
+    asked = (
+        pairs.select("i", "j", F.col("x").alias("number"), F.col("y").alias("partner"))
+        .unionAll(pairs.select("i", "j", "y", F.lit(None).cast("int")))
+        .groupBy("i", "j", "number")
+        .agg(F.collect_set("partner").alias("partners"))  # at most SIDE of them
     )
-    return both.repartition(4 * spark.sparkContext.defaultParallelism).mapInArrow(
+    tiles = (
+        asked.join(trees.select("number", "tree"), "number")
+        .repartition(2 * shuffle_partitions(spark), "i", "j")
+        .sortWithinPartitions("i", "j", "number")
+    )
+    return tiles.select("i", "j", "number", "partners", "tree").mapInArrow(
         _traverse(cosine), "vec_id long, n long, low long"
     )
 
@@ -317,7 +384,7 @@ def _near_pairs_of_length(
 def _cell_pairs(pivots: np.ndarray, stats: dict, cosine: float) -> list[tuple[int, int]]:
     """Pairs of cells, a <= b, that the covering radii leave; at most MAX_CELLS^2 / 2."""
     cells = sorted(stats)
-    unit = pivots / np.linalg.norm(pivots, axis=1, keepdims=True)
+    unit = unit_vectors(pivots)
     apart = np.sqrt(np.maximum(0, 2 - 2 * unit @ unit.T))
     eps = math.sqrt(2 - 2 * cosine)
     return [
@@ -330,13 +397,25 @@ def _cell_pairs(pivots: np.ndarray, stats: dict, cosine: float) -> list[tuple[in
 
 def near_duplicates(spark: SparkSession, vectors: DataFrame, cosine: float) -> DataFrame:
     """(vec_id, n_links, component_id, kept) for every row."""
-    found = stored(spark, near_pairs(spark, vectors, cosine), "near")
+    rows = stored(spark, rows_to_compare(vectors), "rows")
+    merged = stored(spark, entries(rows), "entries")
+    found = stored(spark, near_pairs(spark, merged, cosine), "near")
     links = found.groupBy("vec_id").agg(F.sum("n").alias("n_links"))
     classes = components(spark, found.select(F.col("vec_id").alias("a"), F.col("low").alias("b")))
+    linked = links.join(classes.toDF("vec_id", "component"), "vec_id", "left")
+    # What an entry of several ids found holds for each of them, beside the links among themselves.
+    shared = merged.where("weight > times").select("vec_id", "print", "weight").join(linked, "vec_id", "left")
+    shared = shared.select(
+        "print",
+        (F.coalesce("n_links", F.lit(0)) + F.col("weight") - 1).alias("n_links"),
+        F.coalesce("component", "vec_id").alias("component"),
+    )
+    members = rows.where("own is null").select("vec_id", _print().alias("print"))
+    members = members.join(shared, "print").select("vec_id", "n_links", "component")
+    alone = linked.join(merged.where("weight > times").select("vec_id"), "vec_id", "left_anti")
     return (
         vectors.select(F.col("vec_id").cast("long").alias("vec_id"))
-        .join(links, "vec_id", "left")
-        .join(classes.withColumnRenamed("node", "vec_id"), "vec_id", "left")
+        .join(alone.unionByName(members), "vec_id", "left")
         .select(
             "vec_id",
             F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"),

@@ -106,6 +106,35 @@ def test_cover_tree(spark, monkeypatch, chunk):
             assert r.kept == (r.vec_id == r.component_id)
 
 
+def test_equal_vectors_are_one_entry(spark):
+    many = [(i, [0.0, 1.0, 2.0]) for i in range(20000)]
+    rows = many + [(30000, [-0.0, 2.0, 4.0]), (30001, [5.0, 0.0, 0.0]), (30002, [0.0, 3.0, -1.0])]
+    # An id of several rows, equal and unequal; squares that neither overflow nor vanish.
+    rows += [(40000, [0.0, 1.0, 2.0]), (40000, [0.0, 1.0, 2.0]), (40000, [0.0, 1.0, 2.1])]
+    rows += [(50000, [1e200, -1e200, 0.0]), (50001, [1e-200, -1e-200, 0.0])]
+    frame = spark.createDataFrame(rows, "vec_id long, embedding array<double>").repartition(8)
+    merged = cover_tree.entries(cover_tree.rows_to_compare(frame))
+    assert merged.count() == 8
+    found = {r.vec_id: (r.n_links, r.component_id) for r in cover_tree.near_duplicates(spark, frame, 0.9).collect()}
+    # 20,001 others of one row and three rows of 40000; that id counts the others once per row.
+    expected = {i: (20000 + 3, 0) for i in [*range(20000), 30000]} | {40000: (3 * 20001, 0)}
+    expected |= {30001: (0, 30001), 30002: (0, 30002), 50000: (1, 50000), 50001: (1, 50000)}
+    assert found == expected
+
+
+def test_single_precision_and_doubles_agree(spark):
+    rng = np.random.default_rng(3)
+    base = rng.normal(size=(12, 8))
+    rows = [(i, [float(x) for x in base[i % 12] + rng.normal(size=8) * 0.2]) for i in range(150)]
+    single = spark.createDataFrame(rows, "vec_id long, embedding array<float>")
+    double = single.selectExpr("vec_id", "cast(embedding AS array<double>) AS embedding")
+    results = [
+        {tuple(r) for r in cover_tree.near_duplicates(spark, f, 0.9).collect()} for f in (single, double)
+    ]
+    assert results[0] == results[1]
+    assert len({component for _, _, component, _ in results[0]}) < 150
+
+
 def test_cover_tree_of_nothing(spark):
     empty = spark.createDataFrame([], "vec_id long, embedding array<float>")
     assert cover_tree.near_duplicates(spark, empty, 0.9).collect() == []
@@ -151,6 +180,41 @@ def test_minhash(spark, monkeypatch, k, percent, chunk):
     assert {r.doc_id: r.n_shingles for r in found} == {i: len(shingles(t, k)) for i, t in rows}
 
 
+@pytest.mark.parametrize(("small", "most"), [(32, 16), (4, 3), (1, 16)])
+def test_every_pair_of_chunks_meets_in_one_tile(spark, small, most):
+    families = {5: 2, -7: 11, 8: 17}
+    rows = [(family, p, parts, b"x") for family, parts in families.items() for p in range(parts)]
+    chunks = spark.createDataFrame(rows, "family long, part int, parts int, chunk binary")
+    tiles = {}
+    for r in minhash.in_tiles(chunks, small, most).collect():
+        tiles.setdefault((r.family, r.i, r.j), []).append((r.own, r.part))
+    met = []
+    for (family, i, j), members in tiles.items():
+        members.sort()
+        for n, (own, part) in enumerate(members):
+            earlier = [p for o, p in members[:n] if o == i] if own == j else []
+            met += [(family, p, part) for p in earlier]
+    wanted = [(f, p, q) for f, parts in families.items() for q in range(parts) for p in range(q)]
+    assert sorted(met) == sorted(wanted)
+
+
+def test_minhash_with_tiles_of_several_chunks(spark, monkeypatch):
+    monkeypatch.setattr(minhash.links_of, "__defaults__", (4,))
+    monkeypatch.setattr(minhash.in_tiles, "__defaults__", (2, 3))
+    rng = random.Random(12)
+    words = [f"w{i}" for i in range(300)]
+    base = rng.choices(words, k=120)
+    rows = []
+    for i in range(90):
+        text = list(base)
+        for _ in range(rng.randrange(14)):
+            text[rng.randrange(120)] = rng.choice(words)
+        rows.append((i * 7 - 200, " ".join(text)))
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    found = {r.doc_id: r.component_id for r in minhash.near_duplicates(spark, docs, 5, 80).collect()}
+    assert found == expected_classes(rows, 5, 80)
+
+
 def test_minhash_odd_documents(spark, edge, nothing):
     found = minhash.near_duplicates(spark, edge, 3, 85).collect()
     rows = [(r.doc_id, r.text) for r in edge.collect()]
