@@ -13,6 +13,9 @@ Suffixes are dealt into shards so that equal windows always meet, without moving
 3. The bytes of those segments are cut from the texts and dealt by anchor. Each task builds the suffix
    array of its segments by induced sorting and the permuted common prefixes; neighbours that share
    ``window`` bytes are one class of equal windows, of which all but the earliest are removed.
+   An anchor whose different segments have more than ``HOT_BYTES`` (the edge of a passage that very many
+   documents share) is dealt further, by the bytes of its single windows: tasks send each different window
+   once, with its earliest place, so no suffix array grows beyond ``ARRAY_BYTES`` and ``HOT_BYTES``.
 4. Spans are gathered by document, merged and cut out.
 
 Cases: null is the empty text; texts shorter than ``window`` keep everything; repeated rows (same id and
@@ -23,10 +26,12 @@ an empty result. Texts of more than 2 GB are not possible in Spark. Columns othe
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute  # noqa: F401
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -37,8 +42,9 @@ from tablecheck.llm.suffix_array import permuted_common_prefixes, suffix_array
 WINDOW, SEED = 100, 20
 #: Sender's packets: so many segments are sorted and sent at a time.
 PACKET_SEGMENTS = 1 << 18
-#: Suffix arrays are built over about so many bytes; all segments of an anchor stay together.
-ARRAY_BYTES = 1 << 20
+#: Suffix arrays are built over about so many bytes; all segments of an anchor stay together, unless they
+#: have more than HOT_BYTES. Tasks hold at most HOT_WINDOWS different windows of such anchors.
+ARRAY_BYTES, HOT_BYTES, HOT_WINDOWS = 1 << 20, 1 << 21, 1 << 16
 NULL_ID = -(1 << 63)
 
 _BASES = tuple(int(b) for b in mix(np.array([11, 12], dtype=np.uint64)) | np.uint64(1))
@@ -219,7 +225,7 @@ def _unpack(packet: bytes) -> np.ndarray:
     return out
 
 
-SPANS = "id long, variant long, start long, end long, anchor long"
+SPANS = "id long, variant long, start long, end long, anchor long, hot boolean"
 _SPANS = pa.schema(
     [
         ("id", pa.int64()),
@@ -227,11 +233,15 @@ _SPANS = pa.schema(
         ("start", pa.int64()),
         ("end", pa.int64()),
         ("anchor", pa.int64()),
+        ("hot", pa.bool_()),
     ]
 )
+_PIECES = pa.schema([*list(_SPANS)[:5], ("bytes", pa.binary())])
 
 
-def _span_batches(rows: np.ndarray, window: int, anchored: bool) -> Iterator[pa.RecordBatch]:
+def _span_batches(rows: np.ndarray, window: int, hot: np.ndarray | None = None) -> Iterator[pa.RecordBatch]:
+    """Segments as spans; with ``hot``, as those to compare."""
+    anchored = hot is not None
     for at in range(0, len(rows), 50_000):
         r = rows[at : at + 50_000]
         start = r["start"].astype(np.int64)
@@ -243,12 +253,13 @@ def _span_batches(rows: np.ndarray, window: int, anchored: bool) -> Iterator[pa.
                 pa.array(start),
                 pa.array(start + r["windows"] + (window - 1)),
                 pa.array(np.ascontiguousarray(anchor), mask=None if anchored else np.ones(len(r), bool)),
+                pa.array(hot[at : at + 50_000]) if anchored else pa.nulls(len(r), pa.bool_()),
             ],
             schema=_SPANS,
         )
 
 
-def _meet(window: int):
+def _meet(window: int, hot_bytes: int):
     """Packets -> spans to remove (anchor null) and segments to compare (anchor set)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -257,7 +268,7 @@ def _meet(window: int):
             for spans, packet in zip(batch.column(1), batch.column(2), strict=True):
                 rows = _unpack(packet.as_py())
                 if spans.as_py():
-                    yield from _span_batches(rows, window, False)
+                    yield from _span_batches(rows, window)
                 else:
                     waiting.append(rows)
         if not waiting:
@@ -271,31 +282,88 @@ def _meet(window: int):
             return
         at = np.minimum(np.searchsorted(repeated, rows["anchor"]), len(repeated) - 1)
         firsts, others = first_of_equal(rows[repeated[at] == rows["anchor"]])
-        yield from _span_batches(others, window, False)
+        yield from _span_batches(others, window)
         anchor = firsts["anchor"]
         next_same = anchor[1:] == anchor[:-1]
         several = np.concatenate([[False], next_same]) | np.concatenate([next_same, [False]])
-        yield from _span_batches(firsts[several], window, True)
+        compared = firsts[several]
+        if len(compared):
+            _, number = np.unique(compared["anchor"], return_inverse=True)
+            size = np.bincount(number, compared["windows"] + np.float64(window - 1))
+            yield from _span_batches(compared, window, size[number] > hot_bytes)
 
     return run
 
 
-def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(id, variant, text, segments) -> the segments' bytes."""
-    schema = pa.schema([*list(_SPANS)[:3], ("anchor", pa.int64()), ("bytes", pa.binary())])
-    for batch in batches:
-        rows, size = [], 0
-        for i, variant, text, found in zip(*batch.columns, strict=True):
-            data = text.as_py().encode()
-            for s in found.as_py():
-                piece = data[s["start"] : s["end"]]
-                rows.append((i.as_py(), variant.as_py(), s["start"], s["anchor"], piece))
-                size += len(piece)
-            if size >= 1 << 22:
-                yield _rows(rows, schema)
-                rows, size = [], 0
-        if rows:
-            yield _rows(rows, schema)
+class HotWindows:
+    """Different windows with their earliest places; the places of the others are spans to remove."""
+
+    def __init__(self, window: int):
+        self.window = window
+        self.first: dict[bytes, tuple[int, int, int]] = {}
+
+    def add(self, i: int, variant: int, start: int, data: bytes) -> Iterator[tuple]:
+        """Takes all windows of a segment; yields what is no longer first, runs as one span."""
+        run = None
+        for at in range(len(data) - self.window + 1):
+            key, place = data[at : at + self.window], (i, variant, start + at)
+            known = self.first.setdefault(key, place)
+            if place < known:
+                self.first[key] = place
+                yield self._span(*known, known[2])
+            elif place > known:
+                if run and run[1] == start + at - 1:
+                    run[1] += 1
+                else:
+                    if run:
+                        yield self._span(i, variant, *run)
+                    run = [start + at, start + at]
+        if run:
+            yield self._span(i, variant, *run)
+
+    def _span(self, i: int, variant: int, start: int, last: int) -> tuple:
+        # Dealt by the place, in want of an anchor.
+        return (i, variant, start, last + self.window, i ^ start, None)
+
+    def pieces(self) -> list[tuple]:
+        """The windows held, each dealt by its bytes; none are held afterwards."""
+        held, self.first = self.first, {}
+        return [(*place, place[2] + self.window, _deal(key), key) for key, place in held.items()]
+
+
+def _deal(data: bytes) -> int:
+    return int.from_bytes(hashlib.blake2b(data, digest_size=8).digest(), "little", signed=True)
+
+
+def _cut(window: int):
+    """(id, variant, text, segments) -> the segments' bytes; of hot anchors, spans to remove (without
+    bytes) and the bytes of windows."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        hot = HotWindows(window)
+        for batch in batches:
+            rows, size = [], 0
+            for i, variant, text, found in zip(*batch.columns, strict=True):
+                i, variant, data = i.as_py(), variant.as_py(), text.as_py().encode()
+                for s in found.as_py():
+                    piece = data[s["start"] : s["end"]]
+                    if s["hot"]:
+                        rows += hot.add(i, variant, s["start"], piece)
+                        if len(hot.first) >= HOT_WINDOWS:
+                            rows += hot.pieces()
+                            size += HOT_WINDOWS * window
+                    else:
+                        rows.append((i, variant, s["start"], s["end"], s["anchor"], piece))
+                        size += len(piece)
+                    if size >= 1 << 22 or len(rows) >= 1 << 17:
+                        yield _rows(rows, _PIECES)
+                        rows, size = [], 0
+            if rows:
+                yield _rows(rows, _PIECES)
+        if hot.first:
+            yield _rows(hot.pieces(), _PIECES)
+
+    return run
 
 
 def _rows(rows: list[tuple], schema: pa.Schema) -> pa.RecordBatch:
@@ -342,10 +410,11 @@ def repeated_windows(
 
 
 def _compare(window: int):
-    """Segments sorted by anchor -> spans to remove, a suffix array at a time."""
+    """Segments sorted by anchor -> spans to remove, a suffix array at a time; spans pass through."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         rows, size, last = [], 0, None
+        places = pa.schema(list(_SPANS)[:4])
 
         def spans():
             ids, variants, starts = (np.array([r[c] for r in rows], dtype=np.int64) for c in range(3))
@@ -357,13 +426,16 @@ def _compare(window: int):
                     pa.array(variants[p]),
                     pa.array(start),
                     pa.array(start + found[:, 2] + (window - 1)),
-                    pa.nulls(len(p), pa.int64()),
                 ],
-                schema=_SPANS,
+                schema=places,
             )
 
         for batch in batches:
-            for i, variant, start, anchor, data in zip(*[c.to_pylist() for c in batch.columns], strict=True):
+            settled = batch.filter(pa.compute.is_null(batch.column(5)))
+            if settled.num_rows:
+                yield pa.RecordBatch.from_arrays(settled.columns[:4], schema=places)
+            batch = batch.filter(pa.compute.is_valid(batch.column(5)))
+            for i, variant, start, _, anchor, data in zip(*[c.to_pylist() for c in batch.columns], strict=True):
                 if size >= ARRAY_BYTES and anchor != last:
                     yield spans()
                     rows, size = [], 0
@@ -377,36 +449,39 @@ def _compare(window: int):
 
 
 def removed_spans(
-    spark: SparkSession, docs: DataFrame, window: int = WINDOW, parts: int | None = None
+    spark: SparkSession,
+    docs: DataFrame,
+    window: int = WINDOW,
+    parts: int | None = None,
+    hot_bytes: int = HOT_BYTES,
 ) -> DataFrame:
     """(id, variant, start, end): spans of bytes to remove; they may overlap."""
     parts = parts or 2 * shuffle_partitions(spark)
     texts = keyed(docs)
     packets = texts.mapInArrow(_send(window, 8 * parts), PACKETS)
-    met = packets.repartition(parts, "bucket").mapInArrow(_meet(window), SPANS)
+    met = packets.repartition(parts, "bucket").mapInArrow(_meet(window, hot_bytes), SPANS)
     met = stored(spark, met, "segments")
     release(spark)
     wanted = (
         met.where("anchor is not null")
         .groupBy("id", "variant")
-        .agg(F.collect_list(F.struct("start", "end", "anchor")).alias("segments"))
+        .agg(F.collect_list(F.struct("start", "end", "anchor", "hot")).alias("segments"))
     )
     # Repeated rows are one text: its segments are cut once. Copies collapse before the shuffle.
     once = texts.groupBy("id", "variant").agg(F.first("text").alias("text"))
     pieces = once.join(wanted, ["id", "variant"])
     cut = pieces.select("id", "variant", "text", "segments").mapInArrow(
-        _cut, "id long, variant long, start long, anchor long, bytes binary"
+        _cut(window), "id long, variant long, start long, end long, anchor long, bytes binary"
     )
     compared = (
         cut.repartition(parts, "anchor")
         .sortWithinPartitions("anchor")
-        .select("id", "variant", "start", "anchor", "bytes")
-        .mapInArrow(_compare(window), SPANS)
+        .select("id", "variant", "start", "end", "anchor", "bytes")
+        .mapInArrow(_compare(window), "id long, variant long, start long, end long")
     )
     compared = stored(spark, compared, "repeats")
     release(spark)
-    columns = ["id", "variant", "start", "end"]
-    return met.where("anchor is null").select(*columns).unionAll(compared.select(*columns))
+    return met.where("anchor is null").select("id", "variant", "start", "end").unionAll(compared)
 
 
 def merged(spans: list[tuple[int, int]]) -> list[tuple[int, int]]:

@@ -139,3 +139,39 @@ def test_many_texts_without_an_id(spark):
     rows = [(None, random_text(rng, 130) + (passage if i % 10 == 0 else "")) for i in range(1000)]
     rows += rows[:5] + [(7, rows[3][1]), (7, rows[20][1])]
     check_rows(spark, rows)
+
+
+@pytest.mark.parametrize("hot_bytes", [0, 3000])
+def test_edges_of_a_passage_that_many_share(spark, monkeypatch, hot_bytes):
+    monkeypatch.setattr(suffix_dedup.removed_spans, "__defaults__", (100, None, hot_bytes))
+    rng = random.Random(hot_bytes)
+    passage = random_text(rng, 260)
+    rows = []
+    for i in range(240):
+        before, after = random_text(rng, rng.randrange(140)), random_text(rng, rng.randrange(140))
+        # Some share a little more than the passage, on either side.
+        if i % 5 == 0:
+            after = "shared " * rng.randrange(1, 4) + after
+        rows.append((i * 11 % 241, before + passage[rng.randrange(40) :] + after))
+    rows += [(500, "a" * 400), (501, "ab" * 300), (502, "a" * 130 + "b"), (503, passage * 2)]
+    check(spark, rows, 100)
+    check_rows(spark, [(None if i % 3 else i, text) for i, text in rows] + rows[:9])
+
+
+def test_hot_windows_hold_the_earliest_place():
+    rng = random.Random(2)
+    passage = random_text(rng, 60)
+    segments = [(i, 0, 5 * i, random_text(rng, 6) + passage + random_text(rng, 6)) for i in range(40)]
+    rng.shuffle(segments)
+    hot, gone = suffix_dedup.HotWindows(50), set()
+    for i, variant, start, text in segments:
+        for span in hot.add(i, variant, start, text.encode()):
+            gone |= {(span[0], s) for s in range(span[2], span[3] - 49)}
+    first, later = {}, set()
+    for i, _, start, text in sorted(segments):
+        for at in range(len(text) - 49):
+            if first.setdefault(text[at : at + 50], (i, start + at)) != (i, start + at):
+                later.add((i, start + at))
+    assert gone == later
+    held = {piece[5].decode(): (piece[0], piece[2]) for piece in hot.pieces()}
+    assert held == first and not hot.first
