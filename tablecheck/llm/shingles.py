@@ -44,8 +44,31 @@ def text_groups(column: pa.Array) -> Iterator[tuple[int, np.ndarray, np.ndarray]
         first = end
 
 
+def between_words(data: np.ndarray, step: int) -> list[int]:
+    """Cuts of a text into pieces of about ``step`` bytes, each but the last at a space."""
+    cuts, at = [0], step
+    while at < len(data):
+        space = np.flatnonzero(_SPACE[data[at : at + step]])
+        if len(space):
+            cuts.append(at + int(space[0]))
+            at = cuts[-1]
+        at += step
+    return [*cuts, len(data)]
+
+
 def word_hashes(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """(hash, text number) of every word, A-Z lower-cased, in order."""
+    """(hash, text number) of every word, A-Z lower-cased, in order.
+
+    A very long text is read piece by piece: the work needs some 60 bytes per byte of a piece.
+    """
+    if len(offsets) != 2 or len(data) <= 2 * GROUP_BYTES:
+        return _word_hashes(data, offsets)
+    cuts = between_words(data, GROUP_BYTES)
+    found = [_word_hashes(data[a:b], np.array([0, b - a])) for a, b in zip(cuts, cuts[1:])]
+    return tuple(np.concatenate(column) for column in zip(*found, strict=True))
+
+
+def _word_hashes(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     n = len(data)
     if n == 0:
         return np.zeros(0, np.uint64), np.zeros(0, np.int64)

@@ -7,6 +7,7 @@ import numpy as np
 import pytest
 
 from tablecheck.llm import cover_tree, minhash
+from tablecheck.llm import shingles as shingle_module
 from tablecheck.llm.common import components
 
 
@@ -226,6 +227,16 @@ def test_minhash_odd_documents(spark, edge, nothing):
     assert minhash.near_duplicates(spark, nothing, 3, 85).collect() == []
 
 
+@pytest.mark.parametrize("text", ["Ab cd  e\tF " * 40, "x" * 300, " " * 90, "a " + "b" * 200 + " c" * 70])
+def test_long_texts_in_pieces(monkeypatch, text):
+    data = np.frombuffer(text.encode(), dtype=np.uint8)
+    offsets = np.array([0, len(data)])
+    words, of = shingle_module.word_hashes(data, offsets)
+    monkeypatch.setattr(shingle_module, "GROUP_BYTES", 16)
+    pieces, piece_of = shingle_module.word_hashes(data, offsets)
+    assert pieces.tolist() == words.tolist() and piece_of.tolist() == of.tolist() == [0] * len(text.split())
+
+
 def test_estimates_are_close():
     rng = np.random.default_rng(8)
     multipliers = minhash._multipliers()
