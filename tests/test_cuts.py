@@ -126,3 +126,25 @@ def test_no_row_leaves_its_task(spark):
     plan = counted._jdf.queryExecution().executedPlan().toString()
     assert "Sort" not in plan and "Window" not in plan and plan.count("Exchange") == 1
     assert {r.b: r["count"] for r in counted.collect()} == {0: 10, 1: 10, 2: 10, 3: 970}
+
+
+def test_short_decimals_days_and_times_are_looked_up_as_arrays(spark, small_samples):
+    prices = [Decimal(RNG.randrange(-(10**6), 10**6)) / 100 for _ in range(500)] + [Decimal("7.00")] * 200
+    found, edges = check(spark, prices + [None] * 5, "decimal(12,2)")
+    assert found.edges == edges
+    found, edges = check(spark, [Decimal(10**18 - 1), Decimal(1 - 10**18), Decimal(0)] * 40, "decimal(18,0)")
+    assert found.edges == edges
+    for of in ("decimal(12,2)", "date", "timestamp", "double", "int"):
+        kind = cuts._kind(spark.createDataFrame([], f"k {of}").schema["k"].dataType)
+        assert kind.is_number, of
+        plan = spark.range(9).select(F.col("id").alias("k")).select(cuts._bucket(kind, [1, 2]))
+        plan = plan._jdf.queryExecution().executedPlan().toString()
+        assert "ArrowEvalPython" in plan and "filter(" not in plan
+
+
+def test_few_rounds_for_many_cuts(spark, monkeypatch):
+    rounds, counted = [], cuts._counted
+    monkeypatch.setattr(cuts, "_counted", lambda *args: rounds.append(1) or counted(*args))
+    df = spark.range(300_000).select((F.col("id") * 7919 % 300_007).alias("k"))
+    assert len(counted_cuts(df, "k", 100).edges) == 99
+    assert len(rounds) <= 3
