@@ -3,9 +3,9 @@
 A text is encoded by a byte-level vocabulary (A) and by a piece vocabulary (B). Both token sequences
 spell the same bytes, so an alignment is given by the byte offsets where tokens of both end. They are
 found by divide and conquer: near the middle of an interval of A tokens, the first common end is located
-by bisecting B's ends for A's and A's for B's in turn; both halves are searched likewise, and an interval
-without a common end is left as one group. All intervals of one depth, over a block of documents, are
-searched together as arrays.
+by going from A's end to B's next and from there to A's next in turn, both looked up for all ends
+beforehand; both halves are searched likewise, and an interval without a common end is left as one group.
+All intervals of one depth, over a block of documents, are searched together as arrays.
 
 An A and a B token whose byte ranges end together are linked. The bytes of one are then a suffix of the
 other's, so the pairs of ids that can ever be linked are a fixed set given by the two vocabularies
@@ -15,7 +15,7 @@ collected and broadcast.
 Cases: a text that is null, empty or that B does not spell byte for byte (it has U+2581, say) has no
 tokens: zeros and an empty string. Strings of special tokens are ordinary text. Very long texts are
 encoded in stretches, cut at single spaces between words, where neither vocabulary has a token that
-reaches across. Equal rows and equal or null ids are documents of their own; an empty table gives no
+reaches across. B's ids of words, of which few are rare, are remembered up to a bound. Equal rows and equal or null ids are documents of their own; an empty table gives no
 rows; other columns are not read.
 """
 
@@ -23,10 +23,12 @@ from __future__ import annotations
 
 import hashlib
 import re
+from array import array
 from collections import defaultdict
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
 from functools import lru_cache
+from itertools import chain, compress
 
 import numpy as np
 import pyarrow as pa
@@ -40,6 +42,8 @@ PIECES = "piece_bpe_32k.model"
 
 #: Characters of a document that are encoded at once, and of a block that is aligned at once.
 STRETCH, BLOCK = 1 << 16, 1 << 20
+#: What is remembered of B's words: characters, and as many more for every word as it costs besides.
+WORDS, WORD_COST = 1 << 23, 16
 
 _BETWEEN_WORDS = re.compile(r"(?<=\S) (?=\S)")
 _SPACE = "▁"
@@ -85,20 +89,68 @@ class Tokenizers:
         self.sizes_b = np.array([len(t) for t in self.bytes_b], dtype=np.int64)
         # No piece goes on after a space inside: then stretches may be encoded one by one.
         self.cuttable = not any(_SPACE in p.lstrip(_SPACE) for p in pieces)
+        self._words: dict[str, bytes] = {}
+        self._words_size = 0
 
     def encode(self, text: str) -> tuple[np.ndarray, np.ndarray] | None:
         """Ids by A of space and text and by B of the text, or None unless both spell the same bytes."""
         stretches = self._stretches(text)
         ids_a = np.concatenate([self.a.encode_plain(" " + s) for s in stretches]).astype(np.int64)
-        by_stretch = self.b.encode(stretches, num_threads=1)
         whole = (" " + text).encode()
         # A's tokens are cut out of the text one after the other: they spell it if none is missing.
         if self.sizes_a[ids_a].sum() != len(whole):
             return None
-        if b"".join(self.bytes_b[i] for ids in by_stretch for i in ids) != whole:
+        ids_b = self._by_words(text)
+        if ids_b is not None:
+            return ids_a, ids_b
+        by_stretch = self.b.encode(stretches, num_threads=1)
+        if b"".join(self._spelled_by_b(ids) for ids in by_stretch) != whole:
             return None
         return ids_a, np.concatenate([np.array(ids, dtype=np.int64) for ids in by_stretch])
 
+    def learn(self, texts: Iterable[str]) -> None:
+        """Encode by B, all at once, the words of these texts that are not remembered yet.
+
+        Words that are not spelled byte for byte are not kept.
+        """
+        words = set()
+        for text in texts:
+            if self._has_words(text):
+                words.update(text.split(" "))
+        if self._words_size > WORDS:
+            self._words.clear()
+            self._words_size = 0
+        new = list(words.difference(self._words))
+        by_word = self.b.encode(new, num_threads=1)
+        if self._spelled_by_b(chain.from_iterable(by_word)) != " ".join(["", *new]).encode():
+            spelled = [self._spelled_by_b(ids) == (" " + word).encode() for word, ids in zip(new, by_word)]
+            new, by_word = list(compress(new, spelled)), list(compress(by_word, spelled))
+        flat = array("i", chain.from_iterable(by_word)).tobytes()
+        at = 0
+        for word, ids in zip(new, by_word, strict=True):
+            to = at + 4 * len(ids)
+            self._words[word] = flat[at:to]
+            at = to
+        self._words_size += sum(map(len, new)) + WORD_COST * len(new)
+
+    def _has_words(self, text: str) -> bool:
+        """Spaces neither meet, which B joins, nor stand at an end: no piece reaches from before a space
+        to behind it."""
+        return self.cuttable and "  " not in text and text[0] != " " and text[-1] != " "
+
+    def _by_words(self, text: str) -> np.ndarray | None:
+        """Ids by B, if it can be put together from words that are remembered."""
+        if not self._has_words(text):
+            return None
+        try:
+            ids = b"".join(map(self._words.__getitem__, text.split(" ")))
+        except KeyError:
+            return None
+        return np.frombuffer(ids, np.int32).astype(np.int64)
+
+    def _spelled_by_b(self, ids: Iterable[int]) -> bytes:
+        return b"".join(map(self.bytes_b.__getitem__, ids))
+
     def _stretches(self, text: str) -> list[str]:
         out, at = [], 0
         while self.cuttable and len(text) - at > STRETCH:
@@ -152,6 +204,10 @@ def shared_cuts(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     """Places in ``a`` of all ends that ``b`` has too; both ascend strictly and end alike."""
     found = [np.array([len(a) - 1], dtype=np.int64)]
     low, high = np.array([0], dtype=np.int64), np.array([len(a) - 1], dtype=np.int64)
+    # B's next end from each of A's, whether it is the same, and A's next end from there.
+    next_b = np.searchsorted(b, a)
+    same = b[next_b] == a
+    onward = np.searchsorted(a, b)[next_b]
     while True:
         open_ = low < high
         low, high = low[open_], high[open_]
@@ -161,11 +217,10 @@ def shared_cuts(a: np.ndarray, b: np.ndarray) -> np.ndarray:
         cut = middle.copy()
         searching = np.arange(len(cut))
         while len(searching):
-            ends = a[cut[searching]]
-            # B's next end, then A's next end from there: equal, or further to the right.
-            in_b = b[np.searchsorted(b, ends)]
-            cut[searching] = np.searchsorted(a, in_b)
-            searching = searching[(in_b != ends) & (cut[searching] < high[searching])]
+            # Equal, or further to the right.
+            ends = cut[searching]
+            cut[searching] = onward[ends]
+            searching = searching[~same[ends] & (cut[searching] < high[searching])]
         hit = cut < high
         found.append(cut[hit])
         low, high = (
@@ -191,21 +246,23 @@ class _Block:
 
 def _blocks(files: Files, batches: Iterator[pa.RecordBatch]) -> Iterator[_Block]:
     tokenizers, _ = _loaded(files)
-    doc_ids, encoded, size = [], [], 0
+    doc_ids, texts, size = [], [], 0
     for batch in batches:
         for doc_id, text in zip(batch.column(0), batch.column(1), strict=True):
             text = text.as_py()
             doc_ids.append(doc_id.as_py())
-            encoded.append(tokenizers.encode(text) if text else None)
+            texts.append(text)
             size += len(text or "")
             if size >= BLOCK:
-                yield _aligned(tokenizers, doc_ids, encoded)
-                doc_ids, encoded, size = [], [], 0
+                yield _aligned(tokenizers, doc_ids, texts)
+                doc_ids, texts, size = [], [], 0
     if doc_ids:
-        yield _aligned(tokenizers, doc_ids, encoded)
+        yield _aligned(tokenizers, doc_ids, texts)
 
 
-def _aligned(tokenizers: Tokenizers, doc_ids: list, encoded: list) -> _Block:
+def _aligned(tokenizers: Tokenizers, doc_ids: list, texts: list[str | None]) -> _Block:
+    tokenizers.learn(text for text in texts if text)
+    encoded = [tokenizers.encode(text) if text else None for text in texts]
     has_tokens = np.array([e is not None for e in encoded])
     none = np.empty(0, dtype=np.int64)
     some = [e for e in encoded if e is not None]

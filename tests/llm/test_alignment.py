@@ -161,3 +161,47 @@ def test_no_link_outside_the_pairs(spark):
         a = np.array([row.a_ids[i] for i in row.a_last], dtype=np.int64)
         b = np.array([row.b_ids[i] for i in row.b_last], dtype=np.int64)
         assert (pairs.codes[pairs.numbers(a, b)] == a * pairs.width + b).all()
+
+
+class Counting:
+    """B that counts the characters it is given."""
+
+    def __init__(self, of):
+        self.of, self.chars = of, 0
+
+    def encode(self, texts, num_threads):
+        self.chars += sum(map(len, texts))
+        return self.of.encode(texts, num_threads=num_threads)
+
+
+def test_words_are_encoded_once(monkeypatch, libraries):
+    tokenizers, _ = alignment._loaded(alignment.Files.public())
+    b = Counting(tokenizers.b)
+    monkeypatch.setattr(tokenizers, "b", b)
+    monkeypatch.setattr(tokenizers, "_words", {}, raising=False)
+    text = "such words\u3000are repeated\nover and over 中文😀"
+    docs = [(i, " ".join([text] * 50)) for i in range(20)]
+    batch = alignment.pa.RecordBatch.from_arrays(
+        [alignment.pa.array(c) for c in zip(*docs, strict=True)], names=["doc_id", "text"]
+    )
+    (block,) = alignment._blocks(alignment.Files.public(), iter([batch]))
+    assert b.chars <= 2 * len(text)
+    assert block.b.tolist() == libraries[1].encode(docs[0][1]) * 20
+
+
+def test_remembered_words_change_no_id(monkeypatch, libraries):
+    tokenizers, _ = alignment._loaded(alignment.Files.public())
+    monkeypatch.setattr(alignment, "WORDS", 200)
+    rng = random.Random(5)
+    parts = ["a", "é", "\n", "\t", "\u3000", "\u00a0", "中", "😀", "▁", "\0", "\u0301", "'s", "<s>", "1", "the", " ", "  "]
+    for _ in range(300):
+        texts = ["".join(rng.choices(parts, k=rng.randint(1, 30))) for _ in range(4)]
+        texts += [" ".join(rng.choices(parts[:-2], k=20)) for _ in range(4)]
+        tokenizers.learn(texts)
+        for text in texts:
+            wanted = tokens_of(libraries, text)
+            found = tokenizers.encode(text)
+            if not wanted[0]:
+                assert found is None
+            else:
+                assert [ids.tolist() for ids in found] == [[i for i, _ in side] for side in wanted]
