@@ -106,14 +106,16 @@ def _from_events(spark, sf_dir, template: str, columns: dict[str, str]) -> DataF
         "event_id", "user_id", F.expr(SHEET).alias("sheet"), F.expr(template).alias("template_code")
     )
     # Ranks up to a small limit are cut per input partition before the shuffle. What is left holds
-    # 5 rows for each of at most 20 codes x 6 sheets, however large the table: safe to broadcast.
+    # 5 rows for each of at most 20 codes x 6 sheets, however large the table: safe to broadcast. They
+    # are found once, not again for every table that is derived from these rows.
     by_age = Window.partitionBy("template_code", "sheet").orderBy("event_id")
     first_rows = (
         events.withColumn("rn", F.row_number().over(by_age))
         .filter("rn <= 5")
         .select("event_id", "rn")
     )
-    rows = events.join(F.broadcast(first_rows), "event_id", "left")
+    found = local_frame(spark, first_rows.collect(), first_rows.schema)
+    rows = events.join(F.broadcast(found), "event_id", "left")
     return rows.select(*[F.expr(sql).alias(name) for name, sql in columns.items()])
 
 

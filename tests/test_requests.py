@@ -266,3 +266,12 @@ def test_log_of_a_reopened_request(job, spark):
     assert [r.validation_id for r in kept.collect()] == ["EXECUTION_ERROR"]
     # Without any state, and with an empty one, every row is kept.
     assert current_log(job.log.frame(), job.status.frame().limit(0)).count() == 2
+
+
+def test_first_rows_are_found_once(spark):
+    """Tables that requests derive from events join a few known rows, and rank none again."""
+    from tablecheck.registry.fixtures import clean, mixed
+
+    for build in (clean, mixed):
+        plan = build(spark, "/root/testdata/sf0.001")._jdf.queryExecution().optimizedPlan().toString()
+        assert "Window" not in plan and "LocalRelation" in plan
