@@ -25,7 +25,7 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
-def text_groups(column: pa.Array) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+def text_groups(column: pa.Array, most: int = GROUP_BYTES) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
     """(first row, bytes, offsets) of runs of rows; null is empty. The bytes are those of Arrow."""
     column = column.cast(pa.large_string())
     if column.null_count:
@@ -37,7 +37,7 @@ def text_groups(column: pa.Array) -> Iterator[tuple[int, np.ndarray, np.ndarray]
     data = np.frombuffer(data, dtype=np.uint8) if data is not None else np.zeros(0, np.uint8)
     first = 0
     while first < len(column):
-        end = int(np.searchsorted(offsets, offsets[first] + GROUP_BYTES, side="right")) - 1
+        end = int(np.searchsorted(offsets, offsets[first] + most, side="right")) - 1
         end = min(max(end, first + 1), len(column))
         low, high = int(offsets[first]), int(offsets[end])
         yield first, data[low:high], offsets[first : end + 1] - low

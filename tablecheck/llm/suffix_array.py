@@ -156,9 +156,11 @@ def _by_doubling(names: np.ndarray, depth: int | None) -> np.ndarray:
             return order
 
 
-def permuted_common_prefixes(data: np.ndarray, order: np.ndarray, most: int) -> np.ndarray:
+def permuted_common_prefixes(
+    data: np.ndarray, order: np.ndarray, most: int, asked: np.ndarray | None = None
+) -> np.ndarray:
     """For each place of ``data`` (bytes), how many bytes it shares with the suffix before it in
-    ``order``, counted up to ``most``."""
+    ``order``, counted up to ``most``; 0 where a place or the one before it is not ``asked`` for."""
     n = len(data)
     words = np.zeros(n + most + 16, dtype=np.uint64)
     padded = np.concatenate([data, np.zeros(most + 24, dtype=np.uint8)])
@@ -168,6 +170,8 @@ def permuted_common_prefixes(data: np.ndarray, order: np.ndarray, most: int) ->
     before[order[1:]] = order[:-1]
     shared = np.zeros(n, dtype=np.int32)
     active = np.flatnonzero(before >= 0)
+    if asked is not None:
+        active = active[asked[active] & asked[before[active]]]
     step = 0
     while len(active) and step < most:
         x = words[active + step] ^ words[before[active] + step]

@@ -1,6 +1,7 @@
 import random
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from tablecheck.llm import suffix_array as sa
@@ -175,3 +176,110 @@ def test_hot_windows_hold_the_earliest_place():
     assert gone == later
     held = {piece[5].decode(): (piece[0], piece[2]) for piece in hot.pieces()}
     assert held == first and not hot.first
+
+
+def cut_pieces(segments):
+    """Batches as they come to the tasks that compare: (id, variant, start, end, anchor, bytes)."""
+    i, variant, start, anchor, data = zip(*segments, strict=True)
+    ends = [s + len(d) for s, d in zip(start, data, strict=True)]
+    columns = [
+        pa.array(c, t)
+        for c, t in zip((i, variant, start, ends, anchor, data), suffix_dedup._PIECES.types, strict=True)
+    ]
+    return pa.RecordBatch.from_arrays(columns, schema=suffix_dedup._PIECES)
+
+
+def test_windows_of_hot_anchors_that_occur_once_are_not_sent():
+    rng = random.Random(3)
+    line = random_text(rng, 76)
+    segments = [(i, 0, 7, 1, (random_text(rng, 40) + line + random_text(rng, 40)).encode()) for i in range(300)]
+    segments += [(i, 0, 400, 1, segments[i][4][:130]) for i in range(5)]
+    rng.shuffle(segments)
+    batch = cut_pieces(segments).select(["id", "variant", "start", "anchor", "bytes"])
+    packets = suffix_dedup._send_windows(100, 4)([batch.slice(0, 170), batch.slice(170)])
+    sent = pa.Table.from_batches(packets).to_batches()
+    found = [r for b in suffix_dedup._meet_windows(sent) for r in b.to_pylist()]
+    places = {}
+    for i, _, start, _, data in segments:
+        for at in range(len(data) - 99):
+            places.setdefault(data[at : at + 100], []).append((i, start, at))
+    expected = {p for same in places.values() if len(same) > 1 for p in same}
+    assert expected and {(r["id"], r["start"], r["inside"]) for r in found} == expected
+    assert len(found) < len(places) / 10
+
+
+@pytest.mark.parametrize(("array_bytes", "rows"), [(1, 3), (400, 7), (1 << 20, 1000)])
+def test_suffix_arrays_end_where_anchors_do(monkeypatch, array_bytes, rows):
+    monkeypatch.setattr(suffix_dedup, "ARRAY_BYTES", array_bytes)
+    rng = random.Random(array_bytes)
+    segments, expected = [], set()
+    for anchor in range(12):
+        passage, seen = random_text(rng, 30).encode(), {}
+        for _ in range(rng.randint(1, 9)):
+            text = random_text(rng, 8).encode() + passage + random_text(rng, 8).encode()
+            segments.append((rng.randrange(50), 0, 100 * len(segments), anchor, text))
+        # A row that came twice is one place, not a repeat.
+        segments.append(segments[-1])
+        for i, _, start, _, data in sorted(s for s in segments if s[3] == anchor):
+            for at in range(len(data) - 24):
+                first = seen.setdefault(data[at : at + 25], (i, start + at))
+                if first != (i, start + at):
+                    expected.add((i, start + at))
+    batch = cut_pieces(segments)
+    found = suffix_dedup._compare(25)([batch.slice(a, rows) for a in range(0, len(segments), rows)])
+    gone = {(r["id"], s) for b in found for r in b.to_pylist() for s in range(r["start"], r["end"] - 24)}
+    assert gone == expected
+
+
+def test_segments_are_the_same_in_any_company():
+    rng = random.Random(8)
+    texts = ["a" * 300, "", random_text(rng, 99), "é" * 130, random_text(rng, 100), "\0" * 150]
+    texts.append(random_text(rng, 2000))
+    hasher = suffix_dedup.Hasher()
+
+    def found(texts):
+        data = "".join(texts).encode()
+        offsets = np.cumsum([0, *(len(t.encode()) for t in texts)])
+        columns = suffix_dedup.segments(np.frombuffer(data, np.uint8), offsets, hasher, 100)
+        return list(zip(*[c.tolist() for c in columns], strict=True))
+
+    together = found(texts)
+    assert together == [(i, *r[1:]) for i, t in enumerate(texts) for r in found([t])]
+    for i, text in enumerate(texts):
+        runs = [r[1:3] for r in together if r[0] == i]
+        assert sum(n for _, n in runs) == max(0, len(text.encode()) - 99)
+        assert all(a + n == b for (a, n), (b, _) in zip(runs, runs[1:]))
+
+
+@pytest.mark.parametrize("characters", [False, True])
+def test_spans_are_cut_out_of_many_texts_at_once(monkeypatch, characters):
+    monkeypatch.setattr(suffix_dedup, "CUT_BYTES", 500)
+    rng = random.Random(4)
+    rows = []
+    for i in range(80):
+        text = "".join(rng.choices("abé😀", k=rng.randrange(90)))
+        n, spans = len(text.encode()), None
+        if i % 4:
+            cuts = [sorted(rng.choices(range(n + 1), k=2)) for _ in range(rng.randrange(6))]
+            spans = [{"start": a, "end": b} for a, b in cuts if a < b]
+        rows.append((i if i % 9 else suffix_dedup.NULL_ID, text, spans, f"s{i}"))
+    names = ["id", "text", "spans", "keep_0"]
+    kinds = (pa.int64(), pa.string(), suffix_dedup._SPAN_LIST, pa.string())
+    columns = [pa.array(c, t) for c, t in zip(zip(*rows, strict=True), kinds, strict=True)]
+    batch = pa.RecordBatch.from_arrays(columns, names=names).slice(7)
+    found = [r for b in suffix_dedup._remove(characters)([batch]) for r in b.to_pylist()]
+    assert len(found) == len(rows) - 7
+    for (i, text, spans, other), r in zip(rows[7:], found, strict=True):
+        data = text.encode()
+        merged = suffix_dedup.merged([(s["start"], s["end"]) for s in spans or ()])
+        if characters:
+            heads = [at for at in range(len(data)) if data[at] & 0xC0 != 0x80] + [len(data)]
+            merged = [(min(h for h in heads if h >= a), max(h for h in heads if h <= b)) for a, b in merged]
+            merged = [(a, b) for a, b in merged if a < b]
+        left = np.ones(len(data), dtype=bool)
+        for a, b in merged:
+            left[a:b] = False
+        doc_id = None if i == suffix_dedup.NULL_ID else i
+        assert (r["doc_id"], r["n_bytes"], r["keep_0"]) == (doc_id, len(data), other)
+        assert [(s["start"], s["end"]) for s in r["spans"]] == merged
+        assert r["kept"] == bytes(np.frombuffer(data, np.uint8)[left])
