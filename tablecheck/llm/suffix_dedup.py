@@ -44,7 +44,7 @@ from tablecheck.llm.suffix_array import permuted_common_prefixes, suffix_array
 WINDOW, SEED = 100, 20
 #: Texts are hashed together up to so many bytes, so that the work stays in the processor's cache; a
 #: longer one alone. Bytes of segments are sent up to so many at a time.
-BLOCK_BYTES, CUT_BYTES = 1 << 16, 1 << 22
+BLOCK_BYTES, CUT_BYTES = 1 << 15, 1 << 22
 #: Sender's packets: so many segments are sorted and sent at a time.
 PACKET_SEGMENTS = 1 << 18
 #: Suffix arrays are built over about so many bytes; all segments of an anchor stay together, unless they
